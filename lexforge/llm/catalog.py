@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import decontamination, repetition, sharding, token_files
+from lexforge.llm import decontamination, jaccard_join, language_id, repetition, sharding, token_files
 from lexforge.llm.shared import table
 
 
+def op1_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.fit(docs))
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 def op3_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(table(spark, sf_dir, "documents"))
 
@@ -25,6 +31,10 @@ def op6_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op8_adaptive_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def public_tokenizer(name: str) -> str:
     """Where the public tokenizer files lie on this machine."""
     import public_tokenizers
@@ -38,7 +48,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op3_repetition_rules, op5_benchmark_decontamination, op6_lpt_sharding, op9_token_files,
+        op1_ppm_language_id, op3_repetition_rules, op5_benchmark_decontamination, op6_lpt_sharding, op8_adaptive_jaccard_join, op9_token_files,
     )}
 
 
