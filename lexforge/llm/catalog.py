@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import decontamination, jaccard_join, language_id, repetition, sharding, token_files
+from lexforge.llm import decontamination, jaccard_join, language_id, repetition, secrets, sharding, token_files
 from lexforge.llm.shared import table
 
 
@@ -19,6 +19,10 @@ def op3_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(table(spark, sf_dir, "documents"))
 
 
+def op4_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, slop=0)
     return found.select(
@@ -48,7 +52,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_ppm_language_id, op3_repetition_rules, op5_benchmark_decontamination, op6_lpt_sharding, op8_adaptive_jaccard_join, op9_token_files,
+        op1_ppm_language_id, op3_repetition_rules, op4_entropy_secrets, op5_benchmark_decontamination, op6_lpt_sharding, op8_adaptive_jaccard_join, op9_token_files,
     )}
 
 
