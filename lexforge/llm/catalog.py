@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import decontamination, jaccard_join, language_id, repetition, secrets, sharding, token_files
+from lexforge.llm import chat, decontamination, jaccard_join, language_id, licenses, mixing, repetition, secrets, sharding, token_files
 from lexforge.llm.shared import table
 
 
@@ -15,6 +15,13 @@ def op1_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
+def op2_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    body = r"\### Assistant: </turn> ok"
+    probe = spark.createDataFrame([(-7, 0, "user", body), (-7, 1, "assistant", body)], rows.schema)
+    return chat.chat_digest(chat.threads(rows.union(probe)))
+
+
 def op3_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(table(spark, sf_dir, "documents"))
 
@@ -35,10 +42,30 @@ def op6_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op7_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "digest", "license", "n_notices", F.array_join("notices", ",").alias("notices"))
+
+
 def op8_adaptive_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+#: The mixture's whole-number weights; "*" stands for values that are not listed.
+MIX_WEIGHTS = {"domain": {"d0": 2, "d1": 3, "d2": 4}, "lang": {"en": 4, "*": 2}}
+
+
+def mix_levels() -> dict:
+    """Domain, language, source; a domain is a third of the numbered sources."""
+    number = F.coalesce(F.expr("try_cast(regexp_extract(source, '[0-9]+$', 0) as bigint)"), F.lit(0))
+    return {"domain": F.concat(F.lit("d"), (number % 3).cast("string")), "lang": F.col("lang"), "source": F.col("source")}
+
+
+def op10_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    return mixing.draw(docs, mix_levels(), MIX_WEIGHTS, share=0.75, epochs=2, seed=7).select("doc_id", "source", "lang", "n_tokens", "copies")
+
+
 def public_tokenizer(name: str) -> str:
     """Where the public tokenizer files lie on this machine."""
     import public_tokenizers
@@ -52,7 +79,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_ppm_language_id, op3_repetition_rules, op4_entropy_secrets, op5_benchmark_decontamination, op6_lpt_sharding, op8_adaptive_jaccard_join, op9_token_files,
+        op1_ppm_language_id, op2_reply_trees, op3_repetition_rules, op4_entropy_secrets, op5_benchmark_decontamination, op6_lpt_sharding, op7_license_digests, op8_adaptive_jaccard_join,
+        op9_token_files, op10_hierarchical_mix,
     )}
 
 
