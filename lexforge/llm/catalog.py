@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexforge.llm import chat, decontamination, jaccard_join, language_id, licenses, mixing, repetition, secrets, sharding, token_files
+from lexforge.llm.catalog_values import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS
+from lexforge.llm.oracles import oracle_sql  # noqa: F401
 from lexforge.llm.shared import table
 
 
@@ -51,10 +53,6 @@ def op8_adaptive_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
-#: The mixture's whole-number weights; "*" stands for values that are not listed.
-MIX_WEIGHTS = {"domain": {"d0": 2, "d1": 3, "d2": 4}, "lang": {"en": 4, "*": 2}}
-
-
 def mix_levels() -> dict:
     """Domain, language, source; a domain is a third of the numbered sources."""
     number = F.coalesce(F.expr("try_cast(regexp_extract(source, '[0-9]+$', 0) as bigint)"), F.lit(0))
@@ -63,7 +61,7 @@ def mix_levels() -> dict:
 
 def op10_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    return mixing.draw(docs, mix_levels(), MIX_WEIGHTS, share=0.75, epochs=2, seed=7).select("doc_id", "source", "lang", "n_tokens", "copies")
+    return mixing.draw(docs, mix_levels(), MIX_WEIGHTS, share=MIX_SHARE, epochs=MIX_EPOCHS, seed=MIX_SEED).select("doc_id", "source", "lang", "n_tokens", "copies")
 
 
 def public_tokenizer(name: str) -> str:
@@ -82,7 +80,3 @@ def queries() -> dict:
         op1_ppm_language_id, op2_reply_trees, op3_repetition_rules, op4_entropy_secrets, op5_benchmark_decontamination, op6_lpt_sharding, op7_license_digests, op8_adaptive_jaccard_join,
         op9_token_files, op10_hierarchical_mix,
     )}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
