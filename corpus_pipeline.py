@@ -1,8 +1,58 @@
-"""Placeholder of the corpus pipeline's stages."""
+"""A corpus pipeline of five training-data stages, each written as Parquet and read again."""
 
-STAGES = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexforge.llm import decontamination, jaccard_join, language_id, mixing, token_files
+from lexforge.llm.catalog import mix_levels, public_tokenizer
+from lexforge.llm.catalog_values import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS
+from lexforge.llm.shared import settle, table
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labelled ones teach stay."""
+    return language_id.accept(docs, language_id.fit(docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents that links connect, the one of smallest id stays."""
+    return jaccard_join.JaccardJoin(docs, words=5, percent=80).keep_one(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of the benchmark go; what a text holds depends on the text alone."""
+    digest = F.md5(F.col("text").cast("binary"))
+    found = decontamination.decontaminate(docs.select(digest.alias("digest"), "text"), table(spark, sf_dir, "benchmark"), key="digest")
+    bad = found.where("contaminated").select("digest").distinct()
+    own = [F.col(c) for c in docs.columns]
+    return docs.withColumn("digest", digest).join(bad, "digest", "left_anti").select(*own)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents to target weights; one that several passes take comes as often."""
+    drawn = mixing.draw(docs, mix_levels(), MIX_WEIGHTS, share=MIX_SHARE, epochs=MIX_EPOCHS, seed=MIX_SEED)
+    return drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of what is left, read back per document."""
+    return token_files.tokens_roundtrip(docs, public_tokenizer("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language_id", identify_language), ("ngram_jaccard_join", drop_near_copies), ("benchmark_decontamination", drop_contaminated),
+    ("mixing", mix_sources), ("token_output", write_tokens),
+]
+
+#: Trained statistics and the public tokenizer have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = settle(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

@@ -147,6 +147,12 @@ def _bodies(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([pa.array(_nodes(sets, first), mask=np.diff(first) == 0), part.column("text")], names=["node", "body"])
 
 
+def _tag(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    for part, sets, first in _parts(batches, words):
+        rest = [c for c in part.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(_nodes(sets, first), mask=np.diff(first) == 0)], names=[*rest, "node"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
@@ -232,6 +238,23 @@ class JaccardJoin:
         rest = across.where("shared >= k").select("a", "b")
         return connected_components(links.union(self.verify(self._near_size(rest, sizes), bodies)))
 
+    def keep_one(self, docs: DataFrame, text: str = "text") -> DataFrame:
+        """The rows of `docs` with the smallest key of each component, all columns as they are.
+
+        Of rows that share text and key one stays; rows without shingles all stay.
+        """
+        rows, count = self.measure()
+        found = self.components(rows, count)
+        placed = rows.where("node is not null").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        chosen = placed.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node")).alias("best")).select("best.key", "best.node")
+        own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+        wide = docs.select(*own, F.col(self.key).alias("key"), F.col(text).alias("text"))
+        schema = T.StructType([*wide.drop("text").schema.fields, T.StructField("node", T.LongType())])
+        tagged = wide.mapInArrow(partial(_tag, words=self.words), schema)
+        same = tagged["node"].eqNullSafe(chosen["node"]) & tagged["key"].eqNullSafe(chosen["key"])
+        kept = tagged.where("node is not null").join(chosen, same, "left_semi").dropDuplicates(["node", "key"])
+        return kept.union(tagged.where("node is null")).drop("key", "node").toDF(*docs.columns)
+
     def run(self) -> DataFrame:
         """Per document: key, n_shingles, component_id (the smallest key that links reach)."""
         rows, count = self.measure()

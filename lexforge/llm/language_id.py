@@ -119,7 +119,7 @@ class ContextTrees:
         return total
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], model, reject_bits: float | None = None) -> Iterator[pa.RecordBatch]:
     trees: ContextTrees = model.value
     for part in slices(batches, "text"):
         raw, offsets = text_bytes(part.column("text"))
@@ -132,6 +132,10 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
         score = np.where(letters, 1 / np.exp2(-gap).sum(axis=1), 0.0)
         names = np.array(trees.languages, object)[best]
         names[~letters] = UNKNOWN
+        if reject_bits is not None:
+            keep = pa.array((names != UNKNOWN) & (bits.min(axis=1) < reject_bits * n))
+            yield part.select([c for c in part.schema.names if c not in ("text", "letters")]).filter(keep)
+            continue
         yield pa.RecordBatch.from_arrays(
             [part.column("key"), pa.array(names, pa.string()), pa.array(score), pa.array(np.where(letters, bits[np.arange(len(best)), best] / n, 0.0))],
             names=["key", "lang_pred", "score", "bits_per_byte"],
@@ -161,14 +165,31 @@ def fit(docs: DataFrame, order: int = 3, sample_rows: int = SAMPLE_ROWS, key: st
     return ContextTrees.fit(samples, order)
 
 
+def _letters(text: str, trees: ContextTrees) -> Column:
+    return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)) if trees.languages else F.lit(False)
+
+
+def accept(docs: DataFrame, trees: ContextTrees, reject_bits: float = 8.0, text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns as they are, whose text is in a learned language.
+
+    Rejected are texts that are `und`, and those that the best language codes in no fewer
+    bits a byte than `reject_bits`; at 8 its statistics say nothing about the text.
+    """
+    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    picked = docs.select(*own, F.col(text).alias("text"), _letters(text, trees).alias("letters"))
+    trees = trees if trees.languages else ContextTrees.fit({UNKNOWN: []}, 1)
+    model = docs.sparkSession.sparkContext.broadcast(trees)
+    kept = picked.mapInArrow(partial(_predict, model=model, reject_bits=reject_bits), picked.drop("text", "letters").schema)
+    return kept.toDF(*docs.columns)
+
+
 def identify(docs: DataFrame, trees: ContextTrees, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, lang_pred, score (0 to 1), bits_per_byte of the best language.
 
     Only the text decides. A null text, or one without a letter, is `und` with score 0,
     as is every text when nothing could be learned. Repeated rows are each scored.
     """
-    letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    picked = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), (letters if trees.languages else F.lit(False)).alias("letters"))
+    picked = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), _letters(text, trees).alias("letters"))
     if not trees.languages:
         trees = ContextTrees.fit({UNKNOWN: []}, 1)
     schema = T.StructType([picked.schema["key"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())])
