@@ -26,7 +26,7 @@ OPEN, MIDDLE, CLOSE = "### ", ": ", " </turn>\n"
 def escape(text: Column, role: bool = False) -> Column:
     out = F.replace(text, F.lit("\\"), F.lit("\\b"))
     out = F.replace(out, F.lit("</turn>"), F.lit("\\l/turn>"))
-    out = F.regexp_replace(out, "#(?=##)", r"\\\\h")
+    out = F.regexp_replace(out, "#(?=##)", r"\\h")
     return F.replace(out, F.lit(":"), F.lit("\\c")) if role else out
 
 
@@ -39,19 +39,19 @@ def unescape(text: Column) -> Column:
 def _jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """Pointers to the 1st, 2nd, 4th ... message above, and (tree, node, depth, total score) of every message."""
     up = nodes.select("tree", "node", F.col("parent").alias("to"))
-    reach = nodes.select("tree", "node", "parent", F.lit(1).cast("long").alias("depth"), F.col("score").alias("total")).withColumnRenamed("parent", "to")
-    pointers = []
+    start = nodes.select("tree", "node", F.col("parent").alias("to"), F.lit(1).cast("long").alias("depth"), F.col("score").alias("total"))
+    open_, done, pointers = start.where("to is not null"), start.where("to is null"), []
     while True:
         up = settle(up.where("to is not null"), "jump")
         if up.limit(1).count() == 0:
-            return pointers, reach.select("tree", "node", "depth", "total")
+            return pointers, done.select("tree", "node", "depth", "total")
         pointers.append(up)
-        far = reach.select(F.col("tree"), F.col("node").alias("to"), F.col("to").alias("to_2"), F.col("depth").alias("depth_2"), F.col("total").alias("total_2"))
-        joined = reach.join(far, ["tree", "to"], "left")
-        reach = settle(joined.select(
-            "tree", "node", F.col("to_2").alias("to"), (F.col("depth") + F.coalesce("depth_2", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("total_2", F.lit(0.0))).alias("total"),
+        # Messages whose branch is summed up to its root are only looked at, not carried on.
+        far = open_.union(done).select("tree", F.col("node").alias("to"), F.col("to").alias("to_2"), F.col("depth").alias("depth_2"), F.col("total").alias("total_2"))
+        further = settle(open_.join(far, ["tree", "to"]).select(
+            "tree", "node", F.col("to_2").alias("to"), (F.col("depth") + F.col("depth_2")).alias("depth"), (F.col("total") + F.col("total_2")).alias("total"),
         ), "reach")
+        open_, done = further.where("to is not null"), done.union(further.where("to is null"))
         next_up = up.select("tree", F.col("node").alias("to"), F.col("to").alias("to_2"))
         up = up.join(next_up, ["tree", "to"]).select("tree", "node", F.col("to_2").alias("to"))
 
@@ -63,6 +63,8 @@ def branches(messages: DataFrame, best: int | None = 1) -> DataFrame:
     ranked by their mean score, the longer and then the lower leaf first on ties; None takes
     all. A parent that does not exist ends the branch; parents must not form a ring.
     """
+    # A struct of the tree's id is never null itself, so that a null id is a tree like others.
+    messages = messages.withColumn("tree", F.struct("tree"))
     known = messages.select("tree", F.col("node").alias("parent")).distinct().withColumn("known", F.lit(True))
     nodes = settle(
         messages.join(known, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("parent"), "role", "text", "score"), "messages",
@@ -78,7 +80,7 @@ def branches(messages: DataFrame, best: int | None = 1) -> DataFrame:
     for power, up in reversed(list(enumerate(pointers))):
         higher = path.join(up, ["tree", "node"]).select("tree", "leaf", "rank", F.col("to").alias("node"), (F.col("above") + (1 << power)).alias("above"))
         path = settle(path.union(higher), "paths")
-    return path.join(nodes.select("tree", "node", "role", "text"), ["tree", "node"]).select("tree", "leaf", "rank", (-F.col("above")).alias("step"), "role", "text")
+    return path.join(nodes.select("tree", "node", "role", "text"), ["tree", "node"]).select("tree.tree", "leaf", "rank", (-F.col("above")).alias("step"), "role", "text")
 
 
 def format_paths(paths: DataFrame, loss_role: str = "assistant") -> DataFrame:
