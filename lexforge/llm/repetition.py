@@ -91,8 +91,10 @@ def _lines(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     cut[w.raw == 0x0A] = True
     begins = np.union1d(w.offsets[:-1][w.offsets[:-1] < w.offsets[1:]], np.flatnonzero(cut) + 1)
     begins = begins[begins < len(w.raw)]
+    if not len(begins):
+        return (np.zeros(0, np.int64), np.zeros(0, bool), begins, begins)
     ends = np.r_[begins[1:], len(w.raw)].astype(np.int64)
-    ends = ends - cut[ends - 1] if len(ends) else ends
+    ends = ends - cut[ends - 1]
     low, high = np.searchsorted(w.start, begins), np.searchsorted(w.start, ends)
     used = high > low
     begins, ends, low, high = begins[used], ends[used], low[used], high[used]
