@@ -38,17 +38,17 @@ SCORE_BYTES = 64
 class ContextTrees:
     """Frozen statistics of all languages; `fit` counts them."""
 
-    def __init__(self, languages: list[str], symbol: np.ndarray, states: list[np.ndarray], cost: np.ndarray) -> None:
-        self.languages, self.symbol, self.states, self.cost = languages, symbol, states, cost
+    def __init__(self, languages: list[str], order: int, symbol: np.ndarray, states: np.ndarray, cost: np.ndarray) -> None:
+        self.languages, self.order, self.symbol, self.states, self.cost = languages, order, symbol, states, cost
 
     @classmethod
     def fit(cls, samples: dict[str, list[bytes]], order: int = 3) -> ContextTrees:
-        """Symbol 0 stands for the start of a text and for bytes that no sample has."""
+        """Symbol 0 stands before the start of a text, and 1 for all bytes that no sample has."""
         languages = sorted(samples)
         used = sorted({b for texts in samples.values() for t in texts for b in set(t)})
-        symbol = np.zeros(256, np.int64)
-        symbol[used] = np.arange(1, len(used) + 1)
-        size = len(used) + 1
+        symbol = np.ones(256, np.int64)
+        symbol[used] = np.arange(2, len(used) + 2)
+        size = len(used) + 2
         history = {lang: cls._histories(samples[lang], symbol, order) for lang in languages}
 
         # One state per context that some language has; codes of length k are numbers to the base `size`.
@@ -69,7 +69,7 @@ class ContextTrees:
                 prob = np.where(counts > 0, counts / np.maximum(total + kinds, 1), escape * shorter[parent])
                 cost[offset[k] : offset[k + 1], :, n] = -np.log2(prob)
                 shorter = prob
-        return cls(languages, symbol, cls._lookup(seen, offset, size, order), cost)
+        return cls(languages, order, symbol, cls._lookup(seen, offset, size, order), cost)
 
     @staticmethod
     def _histories(texts: list[bytes], symbol: np.ndarray, order: int) -> np.ndarray:
@@ -100,8 +100,7 @@ class ContextTrees:
     def code_lengths(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits of each row in each language."""
         size = self.cost.shape[1]
-        order = round(np.log(len(self.states)) / np.log(size))
-        rows, n = len(offsets) - 1, len(raw)
+        order, rows, n = self.order, len(offsets) - 1, len(raw)
         lengths = np.diff(offsets)
         flat = np.zeros(n + order * rows, np.int64)  # `order` start symbols before each row
         at = np.arange(n) + order * (np.repeat(np.arange(rows), lengths) + 1)
@@ -177,7 +176,7 @@ def accept(docs: DataFrame, trees: ContextTrees, reject_bits: float = 8.0, text:
     """
     own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
     picked = docs.select(*own, F.col(text).alias("text"), _letters(text, trees).alias("letters"))
-    trees = trees if trees.languages else ContextTrees.fit({UNKNOWN: []}, 1)
+    trees = trees if trees.languages else ContextTrees.fit({UNKNOWN: [b" "]}, 1)
     model = docs.sparkSession.sparkContext.broadcast(trees)
     kept = picked.mapInArrow(partial(_predict, model=model, reject_bits=reject_bits), picked.drop("text", "letters").schema)
     return kept.toDF(*docs.columns)
@@ -191,7 +190,7 @@ def identify(docs: DataFrame, trees: ContextTrees, key: str = "doc_id", text: st
     """
     picked = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), _letters(text, trees).alias("letters"))
     if not trees.languages:
-        trees = ContextTrees.fit({UNKNOWN: []}, 1)
+        trees = ContextTrees.fit({UNKNOWN: [b" "]}, 1)
     schema = T.StructType([picked.schema["key"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())])
     model = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by the sample, not by the corpus
     return picked.mapInArrow(partial(_predict, model=model), schema).withColumnRenamed("key", key)
