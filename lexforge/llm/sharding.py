@@ -47,13 +47,13 @@ def shard_documents(docs: DataFrame, shards: int = 40, fine: int = 256, key: str
     """One row per input row: key, size, text_crc32, law, shard, slot, grown_shard.
 
     `slot` numbers the rows of a shard from 0 without gaps. Only `key` and `text` are
-    read, so further columns of any name do no harm. Null texts form a group of their
-    own, apart from empty ones. Repeated rows are kept and get slots of their own. An
+    read, so further columns of any name do no harm. Null texts count as empty, in one
+    group with those. Repeated rows are kept and get slots of their own. An
     empty table gives an empty result.
     """
     spark = docs.sparkSession
     body = F.col(text)
-    group = F.coalesce(F.unhex(F.md5(body.cast("binary"))), F.lit(b"").cast("binary"))
+    group = F.unhex(F.md5(F.coalesce(body, F.lit("")).cast("binary")))
     rows = settle(docs.select(
         F.col(key).alias("key"), text_size(body).alias("size"),
         F.coalesce(F.crc32(body.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"), group.alias("grp"),
