@@ -1,0 +1,84 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from lexforge.llm import jaccard_join as J
+from lexforge.llm.components import connected_components
+
+
+def sets_of(text, n):
+    words = re.findall("[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))) if words else frozenset()
+
+
+def brute(rows, n, percent):
+    sets, label = [sets_of(t, n) for _, t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    best = {}
+    for (key, _), part in zip(rows, label, strict=True):
+        best[part] = min(best.get(part, key), key)
+    return sorted((key, len(s), best[part]) for (key, _), s, part in zip(rows, sets, label, strict=True))
+
+
+def corpus(seed):
+    rnd = random.Random(seed)
+    out, common = [], " ".join(f"c{i}" for i in range(12))
+    for g in range(6):
+        body = [f"w{g}_{i}" for i in range(rnd.randrange(6, 60))]
+        for _ in range(rnd.randrange(1, 12)):
+            own = body[:]
+            for _ in range(rnd.randrange(3)):
+                own[rnd.randrange(len(own))] = f"e{rnd.randrange(10**6)}"
+            out.append(" ".join(own) + (" " + common if rnd.random() < 0.4 else ""))
+    out += [None, "", "one", "One", "one two", "one two three", "a b c d"]
+    rnd.shuffle(out)
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_brute_force(spark, seed):
+    rows = corpus(seed)
+    got = J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, got.collect())) == brute(rows, 4, 85)
+
+
+def test_more_pivot_rounds_and_long_lists(spark, monkeypatch):
+    """Chains of near copies that no single pivot joins."""
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for k in range(30):
+        body = base[:]
+        body[:k] = [f"n{i}" for i in range(k)]
+        rows.append((100 - k, " ".join(body)))
+    monkeypatch.setattr(J, "PAIRS_PER_ENTRY", 0)
+    got = J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == brute(rows, 4, 85)
+
+
+def test_common_shingles_ask_for_more_matches(spark):
+    rows = [(1, [2] * 30), (2, [2] * 5 + [900] * 25), (3, [500] * 30)]
+    frame = spark.createDataFrame(rows, "id int, d array<int>").selectExpr("id", "transform(d, (x, i) -> struct(x as df, cast(i as bigint) as shingle)) as listed")
+    got = {r.id: r.k for r in frame.select("id", J.chosen_matches(frame.listed, F.lit(4), F.lit(25)).alias("k")).collect()}
+    assert got[2] == 1 and got[3] > 1
+    assert frame.select(J.chosen_matches(frame.listed, F.lit(0), F.lit(1)).alias("k")).distinct().collect()[0].k == 1
+
+
+def test_components_of_a_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(50, 40)], "a long, b long")
+    got = {r.node: r.component for r in connected_components(edges).collect()}
+    assert all(got[i] == 0 for i in range(21)) and got[50] == got[40] == 40
+
+
+def test_keep_one_and_edge_rows(docs, no_docs):
+    rows = J.jaccard_components(docs).collect()
+    assert len(rows) == 10 and all(r.component_id == r.doc_id for r in rows)
+    kept = J.JaccardJoin(docs).keep_one(docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id is None, r.doc_id) for r in kept.collect()) == sorted((k is None, k) for k in (1, 2, 3, 4, 5, 6, 7, 8, None))
+    assert J.jaccard_components(no_docs).count() == 0 and J.JaccardJoin(no_docs).keep_one(no_docs).count() == 0
