@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from lexforge.functions import ipa
 from lexforge.operators import align, clean, examples, monitor, parse, quality, senses, stats
-from lexforge.sources.catalog import Catalog
+from lexforge.sources.catalog import Catalog, Dataset
 
 
 @dataclass(frozen=True)
@@ -70,12 +70,16 @@ def ordered(steps: list[Step]) -> list[Step]:
     return out
 
 
-def run(catalog: Catalog, *names: str, metrics: monitor.MetricsCollector | None = None) -> Catalog:
-    """Run the named sub-pipelines, or all, over the catalogue's datasets."""
+def run(catalog: Catalog, *names: str, folder: str, metrics: monitor.MetricsCollector | None = None) -> Catalog:
+    """Run the named sub-pipelines, or all, over the catalogue's datasets.
+
+    What a step makes is written to `folder`, which all executors share, and read from there
+    by the steps after it; so a plan never spans two steps, and nothing is computed twice.
+    """
     for step in ordered([s for n in names or PIPELINES for s in PIPELINES[n]]):
         began = time.time()
-        out = step.run(*(catalog.load(i) for i in step.inputs))
-        for name, value in zip(step.outputs, (out,), strict=True):
+        for name, value in zip(step.outputs, (step.run(*(catalog.load(i) for i in step.inputs)),), strict=True):
+            catalog.datasets.setdefault(name, Dataset("parquet", f"{folder}/{name}"))
             catalog.save(name, value)
         if metrics:
             metrics.duration("step", time.time() - began, {"output": step.outputs[0]})
