@@ -1,41 +1,47 @@
 """Exact Jaccard join on word shingles with adaptive multi-match prefixes (operator 8).
 
 Two texts are linked when their sets of w-word shingles have a similarity of at least
-t percent. Shingles are ordered globally by how many texts have them, rarest first. A
-text of n shingles shares at least a = ceil(t n / 100) with any partner, so that among its
-first n - a + k shingles there are at least k that stand in the partner's prefix of the
-same kind. Each text chooses its own k: a longer prefix costs more look-ups, but then
-candidates must share k shingles before they are verified, so k grows where the
-estimated candidates of the shorter prefix are many. A pair must share the smaller of
-its two k.
-
-Scale. Equal sets collapse into one node before anything is joined. Shingles that one node
-alone has in its prefix, nearly all, fall away in an aggregation. Of each other shingle's
-list, one pivot is first verified against the rest, which costs as many pairs as
-the list has members; what that links is one component, and only pairs across
-components remain to be compared. So thousands of near copies cost thousands of pairs, not
-their square, and no link that could join two components is left out.
+t percent. A text of n shingles shares at least a = ceil(t n / 100) with any partner. So in
+any order that all texts follow, at least k of its first n - a + k shingles stand in the
+partner's prefix of the same kind: a longer prefix asks for more shared shingles before
+anything is verified.
+
+1. In the order of the shingles' hashes, each text's prefix is lengthened by a share of its
+   size. A text that has too few shingles there which any other prefix has, has no
+   partner, and nearly all texts end here. One aggregation and one join of prefix rows.
+2. For the texts left, all shingles are counted. A shingle that one text alone has links
+   nothing; a text with fewer than a others ends here. Now the order is rarest first, and
+   each text chooses its own k: the longer prefix costs more look-ups, but its candidates
+   must share k, so that k grows where the estimated candidates of the shorter are many.
+   A pair must share the smaller of its two k.
+3. Of each list of a prefix shingle, one pivot, the text with the fewest shingles of its own,
+   is verified against the rest: as many pairs as entries. What that links is one
+   component. Then only pairs across components are compared, and of those only such as sizes
+   and shared shingles allow.
+
+Equal sets are one node throughout. Thousands of near copies cost thousands of pairs, not
+their square, and no link that could join two components is left out. Hot shingles
+are met by partial aggregation and by joins whose large side Spark can split.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexforge.llm.components import connected_components
 from lexforge.llm.shared import settle
-from lexforge.llm.words import NON_SPACE, gram_hashes, hash_vocabulary, mix, slices, split
+from lexforge.llm.words import NON_SPACE, gram_hashes, mix, slices, spans, word_hashes
 
-#: Counters of the shingle frequencies (a fixed 4 MB, whatever the corpus); they only order shingles.
-BUCKETS = 1 << 20
-#: Counters that travel as one row.
-CHUNK = 1 << 14
+#: By how much of its shingles a text's first prefix is longer than it must be, in percent.
+LONGER = 5
 #: Longest multi-match prefix: up to so many shared shingles before verification.
 MOST_MATCHES = 4
 #: Cost of verifying a candidate, in look-ups.
@@ -49,9 +55,9 @@ def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
 
     A row with fewer words than a shingle has its whole sequence as its only one.
     """
-    w = split(texts, NON_SPACE, fold=True)
+    w = spans(texts, NON_SPACE)
     rows = len(w.counts)
-    hashes = hash_vocabulary(w.vocabulary)[w.ids] if len(w.ids) else np.zeros(0, np.uint64)
+    hashes = word_hashes(w, fold=True)
     grams, at = gram_hashes(hashes, w.row, words)
     row = w.row[at]
     for n in range(1, words):
@@ -60,7 +66,8 @@ def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
         for k in range(n):
             whole = mix(whole ^ hashes[w.first[few] + k])
         grams, row = np.concatenate([grams, whole]), np.concatenate([row, few])
-    keyed = np.unique((row.astype(np.uint64) << np.uint64(48)) | (grams >> np.uint64(16)))
+    keyed = np.sort((row.astype(np.uint64) << np.uint64(48)) | (grams >> np.uint64(16)))
+    keyed = keyed[np.r_[True, keyed[1:] != keyed[:-1]]] if len(keyed) else keyed
     first = np.searchsorted(keyed >> np.uint64(48), np.arange(rows + 1))
     return (keyed & np.uint64((1 << 48) - 1)).astype(np.int64), first
 
@@ -81,70 +88,44 @@ def _nodes(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix((total[first[1:]] - total[first[:-1]]) ^ mix(again[first[1:]] - again[first[:-1]] + size)).view(np.int64)
 
 
-def _measure(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """A row per document (key, node, n_shingles), then the frequency counters of the task in chunks."""
-    counters = np.zeros(BUCKETS, np.int32)
-    key = None
+def _need(n: np.ndarray, percent: int) -> np.ndarray:
+    """Shingles that a text of n shares with any partner, at least."""
+    return (percent * n + 99) // 100
+
+
+def _measure(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Per document: key, digest, node, n_shingles, matches, prefix in the order of the hashes."""
     for part, sets, first in _parts(batches, words):
-        counters += np.bincount(sets & (BUCKETS - 1), minlength=BUCKETS).astype(np.int32)
-        n, key = np.diff(first), part.schema.field("key").type
-        none = pa.nulls(part.num_rows)
-        yield pa.RecordBatch.from_arrays(
-            [part.column("key"), pa.array(_nodes(sets, first), mask=n == 0), pa.array(n), none.cast(pa.int32()), none.cast(pa.binary())],
-            names=["key", "node", "n_shingles", "chunk", "counters"],
-        )
-    if key is not None:
-        used = [c for c in range(BUCKETS // CHUNK) if counters[c * CHUNK : (c + 1) * CHUNK].any()]
+        n = np.diff(first)
+        need = _need(n, percent)
+        matches = np.minimum(1 + LONGER * n // 100, need)
+        length = n - need + matches
+        bounds = np.concatenate([[0], np.cumsum(length)])
+        prefix = sets[np.repeat(first[:-1] - bounds[:-1], length) + np.arange(bounds[-1])]
         yield pa.RecordBatch.from_arrays([
-            pa.nulls(len(used), key), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), pa.array(used, pa.int32()),
-            pa.array([counters[c * CHUNK : (c + 1) * CHUNK].astype("<i4").tobytes() for c in used], pa.binary()),
-        ], names=["key", "node", "n_shingles", "chunk", "counters"])
-
-
-def _add(key: tuple, table: pa.Table) -> pa.Table:
-    total = np.zeros(CHUNK, np.int64)
-    for x in table.column("counters"):
-        total += np.frombuffer(x.as_py(), "<i4")
-    return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "counters": pa.array([total.tobytes()], pa.binary())})
-
-
-def prefix_matches(frequency: np.ndarray, n: int, percent: int) -> int:
-    """How many shared shingles a text should ask for; `frequency`: estimated list lengths in prefix order."""
-    need = (percent * n + 99) // 100
-    best, at = np.inf, 1
-    for k in range(1, min(MOST_MATCHES, need) + 1):
-        load = float(frequency[: n - need + k].sum())
-        cost = (n - need + k) + load + VERIFY_COST * load / k
-        if cost < best:
-            best, at = cost, k
-    return at
-
-
-def _prefixes(batches: Iterator[pa.RecordBatch], words: int, percent: int, counts) -> Iterator[pa.RecordBatch]:
-    """(node, shingle) of each prefix, and the k of the node."""
-    count = counts.value
-    mean = count.mean()
-    for _, sets, first in _parts(batches, words):
-        nodes, n = _nodes(sets, first), np.diff(first)
-        _, keep = np.unique(nodes, return_index=True)  # copies in one slice go once
-        keep = keep[n[keep] > 0]
-        out_node, out_set, out_k = [], [], []
-        load = np.maximum(count[sets & (BUCKETS - 1)] - 1 - 2 * mean, 0)
-        order = np.lexsort((sets, count[sets & (BUCKETS - 1)], np.repeat(np.arange(len(n)), n)))
-        for i in keep.tolist():
-            own = order[first[i] : first[i + 1]]
-            k = prefix_matches(load[own], len(own), percent)
-            own = own[: len(own) - (percent * len(own) + 99) // 100 + k]
-            out_set.append(sets[own])
-            out_node.append(np.full(len(own), nodes[i]))
-            out_k.append(np.full(len(own), k, np.int8))
-        if out_set:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_set, out_node, out_k)], names=["shingle", "node", "k"])
-
-
-def _bodies(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+            part.column("key"), part.column("digest"), pa.array(_nodes(sets, first), mask=n == 0), pa.array(n), pa.array(matches),
+            pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(prefix)),
+        ], names=["key", "digest", "node", "n_shingles", "matches", "prefix"])
+
+
+def _full(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for part, sets, first in _parts(batches, words):
-        yield pa.RecordBatch.from_arrays([pa.array(_nodes(sets, first), mask=np.diff(first) == 0), part.column("text")], names=["node", "body"])
+        yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(sets))], names=["node", "shingles"])
+
+
+def chosen_matches(listed: Column, spare: Column, need: Column) -> Column:
+    """How many shared shingles a text should ask for.
+
+    `listed`: (df, shingle) of its shared shingles, rarest first; with k matches the
+    prefix holds the first `spare` + k of them. A prefix costs a look-up for each entry of its lists, and the
+    candidates, at most the look-ups over k, are verified.
+    """
+
+    def cost(k: int) -> Column:
+        load = F.aggregate(F.slice(listed, 1, spare + k), F.lit(0.0), lambda acc, x: acc + x["df"] - 1)
+        return F.when(need >= k, F.struct((load + F.lit(VERIFY_COST) * load / k + spare + k).alias("cost"), F.lit(k).alias("k")))
+
+    return F.array_min(F.filter(F.array(*(cost(k) for k in range(1, MOST_MATCHES + 1))), lambda x: x.isNotNull()))["k"]
 
 
 def _tag(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -170,31 +151,55 @@ class JaccardJoin:
     """The join of one table with itself; `run` gives a row per document."""
 
     def __init__(self, docs: DataFrame, words: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> None:
-        self.spark, self.words, self.percent, self.key = docs.sparkSession, words, percent, key
-        self.docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+        self.words, self.percent, self.key = words, percent, key
+        self.docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("digest"))
         self.kind = self.docs.schema["key"].dataType
 
-    def measure(self) -> tuple[DataFrame, np.ndarray]:
-        """Every document's node and set size, and the frequency counters over all documents."""
+    def measure(self) -> DataFrame:
+        """Every document's node, set size and first prefix."""
         schema = T.StructType([
-            T.StructField("key", self.kind), T.StructField("node", T.LongType()), T.StructField("n_shingles", T.LongType()),
-            T.StructField("chunk", T.IntegerType()), T.StructField("counters", T.BinaryType()),
+            T.StructField("key", self.kind), *(T.StructField(c, T.LongType()) for c in ("digest", "node", "n_shingles", "matches")),
+            T.StructField("prefix", T.ArrayType(T.LongType())),
         ])
-        both = settle(self.docs.mapInArrow(partial(_measure, words=self.words), schema), "shingle-counts")
-        added = both.where("chunk is not null").select("chunk", "counters").groupBy("chunk").applyInArrow(_add, "chunk int, counters binary")
-        count = np.zeros(BUCKETS, np.int64)
-        for r in added.collect():  # at most BUCKETS / CHUNK rows
-            count[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(r.counters, np.int64)
-        return both.where("chunk is null").select("key", "node", "n_shingles"), np.minimum(count, 2**31 - 1).astype(np.int32)
-
-    def lists(self, count: np.ndarray) -> DataFrame:
-        """(shingle, node, k) of prefix shingles that two nodes or more have."""
-        held = self.spark.sparkContext.broadcast(count)
-        entries = self.docs.mapInArrow(
-            partial(_prefixes, words=self.words, percent=self.percent, counts=held), "shingle long, node long, k byte",
-        )
+        return settle(self.docs.mapInArrow(partial(_measure, words=self.words, percent=self.percent), schema), "shingle-prefixes")
+
+    def survivors(self, rows: DataFrame) -> DataFrame:
+        """(node, n, body): nodes whose prefixes share enough with others, each with one text."""
+        rows = rows.where("node is not null")
+        entries = rows.select("node", F.explode("prefix").alias("shingle"))
         shared = entries.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("shingle")
-        return settle(entries.join(shared, "shingle").distinct(), "prefix-lists")
+        hits = entries.join(shared, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("hits"))
+        nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n"), F.max("matches").alias("matches"), F.min("digest").alias("digest"))
+        left = settle(nodes.join(hits, "node").where("hits >= matches * copies").select("node", "n", "digest"), "survivors")
+        bodies = self.docs.groupBy("digest").agg(F.first("text").alias("body"))
+        return settle(bodies.join(left, "digest").select("node", "n", "body"), "bodies")
+
+    def lists(self, bodies: DataFrame) -> DataFrame:
+        """(shingle, i, node, n, s, k): rarest-first prefixes of shared shingles, the i-th from 0; s of the node's n shingles are shared."""
+        full = settle(bodies.select("node", F.col("body").alias("text")).mapInArrow(partial(_full, words=self.words), "node long, shingles array<long>"), "shingles")
+        each = full.select("node", F.explode("shingles").alias("shingle"))
+        shared = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+        held = each.join(shared, "shingle").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("listed"))
+        need = F.floor((F.lit(self.percent) * F.col("n") + 99) / 100).cast("int")
+        held = held.join(bodies.select("node", "n"), "node").withColumn("s", F.size("listed")).withColumn("need", need).where("s >= need")
+        held = held.withColumn("k", chosen_matches(F.col("listed"), F.col("s") - F.col("need"), F.col("need")))
+        prefix = F.slice("listed", 1, F.col("s") - F.col("need") + F.col("k"))
+        return settle(held.select("node", "n", "s", "k", F.posexplode(prefix).alias("i", "x")).select("x.shingle", "i", "node", "n", "s", "k"), "prefix-lists")
+
+    def _may_link(self, a: str, b: str) -> Column:
+        """What sizes and shared shingles allow: the common ones are shared, and are t / (100 + t) of both sizes together."""
+        s, n = F.least(F.col(f"{a}.s"), F.col(f"{b}.s")), F.col(f"{a}.n") + F.col(f"{b}.n")
+        near = 100 * F.least(F.col(f"{a}.n"), F.col(f"{b}.n")) >= self.percent * F.greatest(F.col(f"{a}.n"), F.col(f"{b}.n"))
+        return near & ((100 + self.percent) * s >= self.percent * n)
+
+    def _place_allows(self, a: str, b: str) -> Column:
+        """What the places of a common shingle allow.
+
+        Behind the m-th common one, counted from 1, lie at most the rest of either list, so that all
+        of the first k have no fewer than need - k + 1 from themselves on.
+        """
+        rest = F.least(F.col(f"{a}.s") - F.col(f"{a}.i"), F.col(f"{b}.s") - F.col(f"{b}.i")) + F.least(f"{a}.k", f"{b}.k") - 1
+        return (100 + self.percent) * rest >= self.percent * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
     def verify(self, pairs: DataFrame, bodies: DataFrame) -> DataFrame:
         """Those of `pairs` (a, b) that are similar enough, by their whole texts."""
@@ -202,49 +207,50 @@ class JaccardJoin:
         both = with_a.join(bodies.select(F.col("node").alias("b"), F.col("body").alias("text_b")), "b")
         return settle(both.select("a", "b", "text_a", "text_b").mapInArrow(partial(_verify, words=self.words, percent=self.percent), "a long, b long"), "links")
 
-    def _near_size(self, pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-        """Pairs whose set sizes allow the similarity."""
-        for side in "ab":
-            pairs = pairs.join(sizes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}")), side)
-        return pairs.where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")).drop("n_a", "n_b")
-
-    def components(self, rows: DataFrame, count: np.ndarray) -> DataFrame:
+    def _stars(self, left: DataFrame, turn: int) -> DataFrame:
+        """Pairs of each list's pivot with the rest: first the entry of the fewest shingles of its own, later any."""
+        own = (F.col("n") - F.col("s")) / F.col("n") if turn == 0 else F.lit(0.0)
+        pivot = F.min_by(F.struct("node", "n", "s"), F.struct(own, F.xxhash64("node", F.lit(turn))))
+        pivots = left.groupBy("shingle").agg(pivot.alias("p")).select("shingle", "p.*")
+        stars = left.alias("x").join(pivots.alias("p"), F.col("x.shingle") == F.col("p.shingle")).where((F.col("x.node") != F.col("p.node")) & self._may_link("x", "p"))
+        return stars.select(F.least("x.node", "p.node").alias("a"), F.greatest("x.node", "p.node").alias("b")).distinct()
+
+    def _open(self, lists: DataFrame, found: DataFrame) -> DataFrame:
+        """Entries that may still join two components: lists of several, and nodes that some size in the list allows."""
+        tagged = lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        several = tagged.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least")).where("low != high")
+        most = (100 + self.percent) * (F.col("s") - F.col("i") + F.col("k") - 1) - self.percent * F.col("n")
+        return settle(tagged.join(several.select("shingle", "least"), "shingle").where(most >= self.percent * F.col("least")).drop("least"), "open-lists")
+
+    def components(self, rows: DataFrame) -> DataFrame:
         """(node, component) of all nodes that have a link."""
-        lists = self.lists(count)
-        sizes = settle(rows.where("node is not null").groupBy("node").agg(F.max("n_shingles").alias("n")).join(lists.select("node").distinct(), "node"), "node-sizes")
-        bodies = self.docs.mapInArrow(partial(_bodies, words=self.words), "node long, body string").where("node is not null")
-        bodies = settle(bodies.groupBy("node").agg(F.first("body").alias("body")).join(sizes.select("node"), "node", "left_semi"), "bodies")
-        links, found, left, before, turn = None, None, lists, None, 0
-        while True:
-            pivot = F.min_by("node", F.xxhash64("node", F.lit(turn)))
-            stars = left.join(left.groupBy("shingle").agg(pivot.alias("pivot")), "shingle").where("node != pivot")
-            stars = stars.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-            fresh = self.verify(self._near_size(stars, sizes), bodies)
+        bodies = self.survivors(rows)
+        lists = self.lists(bodies)
+        links, left, before = None, lists, None
+        for turn in itertools.count():
+            fresh = self.verify(self._stars(left, turn), bodies)
             links = fresh if links is None else links.union(fresh)
-            found = connected_components(links)
-            tagged = lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            open_lists = tagged.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("shingle")
-            left = settle(tagged.join(open_lists, "shingle"), "open-lists")
-            by_part = left.groupBy("shingle", "component").count()
-            pairs_left = by_part.groupBy("shingle").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("own"))
-            remaining, entries = pairs_left.agg(F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-            turn += 1
+            left = self._open(lists, connected_components(links))
+            parts = left.groupBy("shingle", "component").count().groupBy("shingle").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("own"))
+            remaining, entries = parts.agg(F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0))).first()
             if remaining <= PAIRS_PER_ENTRY * entries or (before is not None and remaining > before / 2):
                 break
             before = remaining
-        x = left.select("shingle", F.col("node").alias("a"), F.col("k").alias("k_a"), F.col("component").alias("c_a"))
-        y = left.select("shingle", F.col("node").alias("b"), F.col("k").alias("k_b"), F.col("component").alias("c_b"))
-        across = x.join(y, "shingle").where("c_a < c_b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("k_a", "k_b")).alias("k"))
+        if not entries:
+            return connected_components(links)
+        x, y = left.alias("x"), left.alias("y")
+        across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") < F.col("y.component")) & self._may_link("x", "y") & self._place_allows("x", "y"))
+        across = across.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x.k", "y.k")).alias("k"))
         rest = across.where("shared >= k").select("a", "b")
-        return connected_components(links.union(self.verify(self._near_size(rest, sizes), bodies)))
+        return connected_components(links.union(self.verify(rest, bodies)))
 
     def keep_one(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """The rows of `docs` with the smallest key of each component, all columns as they are.
 
         Of rows that share text and key one stays; rows without shingles all stay.
         """
-        rows, count = self.measure()
-        found = self.components(rows, count)
+        rows = self.measure()
+        found = self.components(rows)
         placed = rows.where("node is not null").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         chosen = placed.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node")).alias("best")).select("best.key", "best.node")
         own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
@@ -257,8 +263,8 @@ class JaccardJoin:
 
     def run(self) -> DataFrame:
         """Per document: key, n_shingles, component_id (the smallest key that links reach)."""
-        rows, count = self.measure()
-        found = self.components(rows, count)
+        rows = self.measure()
+        found = self.components(rows)
         placed = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         smallest = placed.where("component is not null").groupBy("component").agg(F.min("key").alias("smallest"))
         return placed.join(smallest, "component", "left").select(

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import xxhash
 
 #: Bytes of text that one numpy pass handles; bounds the memory of a Python worker.
 SLICE_BYTES = 4 << 20
@@ -51,21 +52,28 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 @dataclass
-class Words:
-    """The words of a run of rows. `ids` number the distinct words from 0."""
+class Spans:
+    """Where the words of a run of rows stand."""
 
-    ids: np.ndarray  # int32, one per word
     row: np.ndarray  # int64, the row that a word stands in
     counts: np.ndarray  # int64, words of each row
     first: np.ndarray  # int64, index of each row's first word; one more at the end
     start: np.ndarray  # int64, byte where a word starts
     end: np.ndarray  # int64, byte after a word
-    raw: np.ndarray  # uint8, all bytes of the rows, not folded
+    raw: np.ndarray  # uint8, all bytes of the rows
     offsets: np.ndarray  # int64, where each row starts in raw
+    inside: np.ndarray  # bool, the bytes of words
+
+
+@dataclass
+class Words(Spans):
+    """Spans whose words are numbered: `ids` counts the distinct words from 0."""
+
+    ids: np.ndarray  # int32, one per word
     vocabulary: pa.Array  # binary, the distinct words
 
 
-def split(texts: pa.Array, keep: np.ndarray, fold: bool, cut: tuple[np.ndarray, np.ndarray] | None = None) -> Words:
+def spans(texts: pa.Array, keep: np.ndarray, cut: tuple[np.ndarray, np.ndarray] | None = None) -> Spans:
     """Words as maximal runs of `keep` bytes inside each row; with `cut`, they also end between a byte of the first table and one of the second."""
     raw, offsets = text_bytes(texts)
     inside = np.zeros(len(raw) + 1, dtype=bool)
@@ -77,22 +85,43 @@ def split(texts: pa.Array, keep: np.ndarray, fold: bool, cut: tuple[np.ndarray,
         between = cut[0][raw[:-1]] & cut[1][raw[1:]]
         begins[1:] |= between
         ends[:-1] |= between
-    edge = offsets[:-1][offsets[:-1] < offsets[1:]]  # first byte of each row that has one
-    begins[edge] = inside[edge]
-    last = offsets[1:][offsets[:-1] < offsets[1:]] - 1
-    ends[last] = inside[last]
+    full = offsets[:-1] < offsets[1:]
+    edge, last = offsets[:-1][full], offsets[1:][full] - 1  # words do not run on into the next row
+    begins[edge], ends[last] = inside[edge], inside[last]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    kept = (FOLD[raw] if fold else raw)[inside[:-1]]
-    bounds = np.zeros(len(start) + 1, np.int32)
-    np.cumsum(end - start, out=bounds[1:])
-    words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(kept))])
-    coded = words.dictionary_encode()
     first = np.searchsorted(start, offsets)
     counts = np.diff(first)
-    return Words(
-        coded.indices.to_numpy(zero_copy_only=False).astype(np.int32, copy=False),
-        np.repeat(np.arange(len(counts)), counts), counts, first, start, end, raw, offsets, coded.dictionary,
-    )
+    return Spans(np.repeat(np.arange(len(counts)), counts), counts, first, start, end, raw, offsets, inside[:-1])
+
+
+def split(texts: pa.Array, keep: np.ndarray, fold: bool, cut: tuple[np.ndarray, np.ndarray] | None = None) -> Words:
+    """The same with the words numbered exactly, A-Z as a-z if `fold`."""
+    w = spans(texts, keep, cut)
+    kept = (FOLD[w.raw] if fold else w.raw)[w.inside]
+    bounds = np.zeros(len(w.start) + 1, np.int32)
+    np.cumsum(w.end - w.start, out=bounds[1:])
+    words = pa.Array.from_buffers(pa.binary(), len(w.start), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(kept))])
+    coded = words.dictionary_encode()
+    return Words(**vars(w), ids=coded.indices.to_numpy(zero_copy_only=False).astype(np.int32, copy=False), vocabulary=coded.dictionary)
+
+
+def word_hashes(w: Spans, fold: bool) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, the same in every task: eight bytes a step."""
+    padded = np.zeros(len(w.raw) + 8, np.uint8)
+    padded[:-8] = FOLD[w.raw] if fold else w.raw
+    eight = np.ndarray((len(w.raw) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    size = w.end - w.start
+    out = mix(size)
+    for step in range(8):
+        at = np.flatnonzero(size > 8 * step)
+        if not len(at):
+            return out
+        left = np.minimum(size[at] - 8 * step, 8).astype(np.uint64)
+        block = eight[w.start[at] + 8 * step] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left))
+        out[at] = mix(out[at] ^ block)
+    for i in np.flatnonzero(size > 64).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(padded[w.start[i] : w.end[i]].tobytes())
+    return out
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -119,13 +148,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def hash_vocabulary(vocabulary: pa.Array) -> np.ndarray:
-    """One 64-bit hash for each word, the same in every task."""
-    import xxhash
-
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in vocabulary.to_pylist()), np.uint64, len(vocabulary))
-
-
 def gram_hashes(words: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, start index) of each n-gram that lies inside one row; words: uint64 hashes of the words."""
     m = len(words) - n + 1
