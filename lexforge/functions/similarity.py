@@ -63,6 +63,8 @@ def length_bucket(length: Column, cutoff: float) -> Column:
 
 
 def may_reach(a: Column, b: Column, cutoff: float) -> Column:
-    """The bound on lengths; cheap, and never false for a pair that reaches the cutoff."""
-    short, total = F.least(F.length(a), F.length(b)), F.length(a) + F.length(b)
-    return (total == 0) | (200.0 * short >= cutoff * total)
+    """Bounds on lengths and on common characters; cheap, and never false for a pair that reaches the cutoff."""
+    total, none = F.length(a) + F.length(b), F.lit("")
+    short = F.least(F.length(a), F.length(b))
+    common = F.length(a) - F.length(F.call_function("translate", a, b, none))  # characters of a that b has
+    return (total == 0) | ((200.0 * short >= cutoff * total) & (200.0 * common >= cutoff * total))
