@@ -16,8 +16,8 @@ anything is verified.
    A pair must share the smaller of its two k.
 3. Of each list of a prefix shingle, one pivot, the text with the fewest shingles of its own,
    is verified against the rest: as many pairs as entries. What that links is one
-   component. Then only pairs across components are compared, and of those only such as sizes
-   and shared shingles allow.
+   component. Then only pairs across components are compared, and of those only such as sizes,
+   shared shingles, their places in the lists, and sketches of the sets allow.
 
 Equal sets are one node throughout. Thousands of near copies cost thousands of pairs, not
 their square, and no link that could join two components is left out. Hot shingles
@@ -44,6 +44,8 @@ from lexforge.llm.words import NON_SPACE, gram_hashes, mix, slices, spans, word_
 LONGER = 5
 #: Longest multi-match prefix: up to so many shared shingles before verification.
 MOST_MATCHES = 4
+#: Bits of a node's sketch, in words of 64; a shingle sets the bit that its fingerprint names.
+SKETCH_WORDS = 16
 #: Cost of verifying a candidate, in look-ups.
 VERIFY_COST = 16.0
 #: Remaining pairs across components for each list entry above which another pivot round is run first.
@@ -72,11 +74,11 @@ def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     return (keyed & np.uint64((1 << 48) - 1)).astype(np.int64), first
 
 
-def _parts(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    for part in slices(batches, "text"):
+def _parts(batches: Iterator[pa.RecordBatch], words: int, text: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    for part in slices(batches, text):
         for at in range(0, part.num_rows, 1 << 15):
             own = part.slice(at, 1 << 15)
-            yield own, *shingle_sets(own.column("text"), words)
+            yield own, *shingle_sets(own.column(text), words)
 
 
 def _nodes(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -108,9 +110,20 @@ def _measure(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Ite
         ], names=["key", "digest", "node", "n_shingles", "matches", "prefix"])
 
 
+def _sketches(sets: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    bits = np.zeros((rows, SKETCH_WORDS), np.uint64)
+    np.bitwise_or.at(bits, (row, (sets >> 6) % SKETCH_WORDS), np.uint64(1) << (sets & 63).astype(np.uint64))
+    return bits
+
+
 def _full(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """Per node: all its shingles, and their sketch."""
     for part, sets, first in _parts(batches, words):
-        yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(sets))], names=["node", "shingles"])
+        bits = _sketches(sets, np.repeat(np.arange(part.num_rows), np.diff(first)), part.num_rows).view(np.int64)
+        yield pa.RecordBatch.from_arrays([
+            part.column("node"), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(sets)),
+            pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1) * SKETCH_WORDS, pa.int32()), pa.array(bits.ravel())),
+        ], names=["node", "shingles", "sketch"])
 
 
 def chosen_matches(listed: Column, spare: Column, need: Column) -> Column:
@@ -128,10 +141,9 @@ def chosen_matches(listed: Column, spare: Column, need: Column) -> Column:
     return F.array_min(F.filter(F.array(*(cost(k) for k in range(1, MOST_MATCHES + 1))), lambda x: x.isNotNull()))["k"]
 
 
-def _tag(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    for part, sets, first in _parts(batches, words):
-        rest = [c for c in part.schema.names if c != "text"]
-        yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(_nodes(sets, first), mask=np.diff(first) == 0)], names=[*rest, "node"])
+def _tag(batches: Iterator[pa.RecordBatch], words: int, text: str) -> Iterator[pa.RecordBatch]:
+    for part, sets, first in _parts(batches, words, text):
+        yield part.append_column("node", pa.array(_nodes(sets, first), mask=np.diff(first) == 0))
 
 
 def _verify(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -174,9 +186,11 @@ class JaccardJoin:
         bodies = self.docs.groupBy("digest").agg(F.first("text").alias("body"))
         return settle(bodies.join(left, "digest").select("node", "n", "body"), "bodies")
 
-    def lists(self, bodies: DataFrame) -> DataFrame:
+    def shingles(self, bodies: DataFrame) -> DataFrame:
+        return settle(bodies.select("node", F.col("body").alias("text")).mapInArrow(partial(_full, words=self.words), "node long, shingles array<long>, sketch array<long>"), "shingles")
+
+    def lists(self, bodies: DataFrame, full: DataFrame) -> DataFrame:
         """(shingle, i, node, n, s, k): rarest-first prefixes of shared shingles, the i-th from 0; s of the node's n shingles are shared."""
-        full = settle(bodies.select("node", F.col("body").alias("text")).mapInArrow(partial(_full, words=self.words), "node long, shingles array<long>"), "shingles")
         each = full.select("node", F.explode("shingles").alias("shingle"))
         shared = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
         held = each.join(shared, "shingle").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("listed"))
@@ -201,6 +215,11 @@ class JaccardJoin:
         rest = F.least(F.col(f"{a}.s") - F.col(f"{a}.i"), F.col(f"{b}.s") - F.col(f"{b}.i")) + F.least(f"{a}.k", f"{b}.k") - 1
         return (100 + self.percent) * rest >= self.percent * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
+    def _sketch_allows(self, a: str, b: str) -> Column:
+        """What the sketches allow: each bit that one alone has is a shingle that one alone has, and of those a link has few."""
+        apart = sum((F.bit_count(F.get(f"{a}.sketch", F.lit(w)).bitwiseXOR(F.get(f"{b}.sketch", F.lit(w)))) for w in range(SKETCH_WORDS)), F.lit(0))
+        return (100 + self.percent) * apart <= (100 - self.percent) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
     def verify(self, pairs: DataFrame, bodies: DataFrame) -> DataFrame:
         """Those of `pairs` (a, b) that are similar enough, by their whole texts."""
         with_a = pairs.join(bodies.select(F.col("node").alias("a"), F.col("body").alias("text_a")), "a")
@@ -225,7 +244,8 @@ class JaccardJoin:
     def components(self, rows: DataFrame) -> DataFrame:
         """(node, component) of all nodes that have a link."""
         bodies = self.survivors(rows)
-        lists = self.lists(bodies)
+        full = self.shingles(bodies)
+        lists = self.lists(bodies, full)
         links, left, before = None, lists, None
         for turn in itertools.count():
             fresh = self.verify(self._stars(left, turn), bodies)
@@ -238,8 +258,9 @@ class JaccardJoin:
             before = remaining
         if not entries:
             return connected_components(links)
+        left = settle(left.join(full.select("node", "sketch"), "node"), "sketched-lists")
         x, y = left.alias("x"), left.alias("y")
-        across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") < F.col("y.component")) & self._may_link("x", "y") & self._place_allows("x", "y"))
+        across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") < F.col("y.component")) & self._may_link("x", "y") & self._place_allows("x", "y") & self._sketch_allows("x", "y"))
         across = across.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x.k", "y.k")).alias("k"))
         rest = across.where("shared >= k").select("a", "b")
         return connected_components(links.union(self.verify(rest, bodies)))
@@ -253,10 +274,10 @@ class JaccardJoin:
         found = self.components(rows)
         placed = rows.where("node is not null").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         chosen = placed.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node")).alias("best")).select("best.key", "best.node")
-        own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
-        wide = docs.select(*own, F.col(self.key).alias("key"), F.col(text).alias("text"))
-        schema = T.StructType([*wide.drop("text").schema.fields, T.StructField("node", T.LongType())])
-        tagged = wide.mapInArrow(partial(_tag, words=self.words), schema)
+        own = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+        body, key = (f"c{docs.columns.index(c)}" for c in (text, self.key))
+        schema = T.StructType([*own.schema.fields, T.StructField("node", T.LongType())])
+        tagged = own.mapInArrow(partial(_tag, words=self.words, text=body), schema).withColumn("key", F.col(key))
         same = tagged["node"].eqNullSafe(chosen["node"]) & tagged["key"].eqNullSafe(chosen["key"])
         kept = tagged.where("node is not null").join(chosen, same, "left_semi").dropDuplicates(["node", "key"])
         return kept.union(tagged.where("node is null")).drop("key", "node").toDF(*docs.columns)
