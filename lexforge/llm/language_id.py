@@ -118,10 +118,10 @@ class ContextTrees:
         return total
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model, reject_bits: float | None = None) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], model, text: str = "text", reject_bits: float | None = None) -> Iterator[pa.RecordBatch]:
     trees: ContextTrees = model.value
-    for part in slices(batches, "text"):
-        raw, offsets = text_bytes(part.column("text"))
+    for part in slices(batches, text):
+        raw, offsets = text_bytes(part.column(text))
         bits = trees.code_lengths(raw, offsets)
         letters = part.column("letters").to_numpy(zero_copy_only=False).astype(bool)
         n = np.maximum(np.diff(offsets), 1)
@@ -133,7 +133,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model, reject_bits: float | None
         names[~letters] = UNKNOWN
         if reject_bits is not None:
             keep = pa.array((names != UNKNOWN) & (bits.min(axis=1) < reject_bits * n))
-            yield part.select([c for c in part.schema.names if c not in ("text", "letters")]).filter(keep)
+            yield part.select([c for c in part.schema.names if c != "letters"]).filter(keep)
             continue
         yield pa.RecordBatch.from_arrays(
             [part.column("key"), pa.array(names, pa.string()), pa.array(score), pa.array(np.where(letters, bits[np.arange(len(best)), best] / n, 0.0))],
@@ -175,10 +175,10 @@ def accept(docs: DataFrame, trees: ContextTrees, reject_bits: float = 8.0, text:
     bits a byte than `reject_bits`; at 8 its statistics say nothing about the text.
     """
     own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    picked = docs.select(*own, F.col(text).alias("text"), _letters(text, trees).alias("letters"))
+    picked = docs.select(*own, _letters(text, trees).alias("letters"))  # the text travels once
     trees = trees if trees.languages else ContextTrees.fit({UNKNOWN: [b" "]}, 1)
     model = docs.sparkSession.sparkContext.broadcast(trees)
-    kept = picked.mapInArrow(partial(_predict, model=model, reject_bits=reject_bits), picked.drop("text", "letters").schema)
+    kept = picked.mapInArrow(partial(_predict, model=model, text=f"c{docs.columns.index(text)}", reject_bits=reject_bits), picked.drop("letters").schema)
     return kept.toDF(*docs.columns)
 
 
