@@ -264,13 +264,29 @@ d AS (SELECT DISTINCT doc_id, unnest(w) AS es_word, h FROM t)
 SELECT b.es_word, count(doc_id) AS n_examples, coalesce(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id), '') AS ids
 FROM b LEFT JOIN (SELECT * FROM d WHERE list_contains(h, es_word)) d USING (es_word) GROUP BY b.es_word""")
 def enrich_examples(spark, sf):
-    words = table(spark, sf, "benchmark").where("item_id < 10").select(F.explode(text.tokenize_spanish(F.col("text"))).alias("es_word")).distinct()
+    return _examples_of(spark, sf, table(spark, sf, "benchmark").where("item_id < 10"))
+
+
+def _examples_of(spark: SparkSession, sf: str, items: DataFrame) -> DataFrame:
+    words = items.select(F.explode(text.tokenize_spanish(F.col("text"))).alias("es_word")).distinct()
     docs = table(spark, sf, "documents").where("lang = 'en'")
     pairs = docs.select(F.col("doc_id").alias("row_idx"), F.col("doc_id").cast("string").alias("es"), F.lit("").alias("he"), text.tokenize_spanish(F.col("text")).alias("es_words"), text.tokenize_hebrew(F.col("text")).alias("he_words"))
     out = examples.enrich(words.withColumn("he_word", F.col("es_word")), pairs)
     return out.select("es_word", F.size("examples").cast("long").alias("n_examples"), F.array_join(F.transform("examples", lambda e: e["es"]), ",").alias("ids"))
 
 
+@query(f"""
+WITH b AS (SELECT DISTINCT unnest({ES_TOKENS}) AS es_word FROM benchmark),
+t AS (SELECT doc_id, {ES_TOKENS} AS w, {HE_TOKENS} AS h FROM documents WHERE lang = 'en'),
+d AS (SELECT DISTINCT doc_id, unnest(w) AS es_word FROM t),
+o AS (SELECT DISTINCT doc_id, unnest(h) AS es_word FROM t)
+SELECT b.es_word, count(doc_id) AS n_examples, coalesce(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id), '') AS ids
+FROM b LEFT JOIN (SELECT doc_id, es_word FROM d JOIN o USING (doc_id, es_word)) d USING (es_word) GROUP BY b.es_word""")
+def enrich_examples_all(spark, sf):
+    """Words of the whole benchmark table; the SQL of `enrich_examples` takes ten of its items."""
+    return _examples_of(spark, sf, table(spark, sf, "benchmark"))
+
+
 def _cluster_sql(group: str, largest: int) -> str:
     return f"""
 WITH RECURSIVE p AS (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY p_partkey) AS k, count(*) OVER (PARTITION BY {group}) AS n FROM part),
