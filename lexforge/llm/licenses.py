@@ -53,6 +53,11 @@ Permission is granted to anyone to use this software for any purpose, including
 
 3. This notice may not be removed or altered from any source distribution.""",
 }
+TEXTS["BSD-3-Clause"] = TEXTS["BSD-2-Clause"].replace(
+    "\n\nTHIS SOFTWARE IS PROVIDED",
+    "\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n\nTHIS SOFTWARE IS PROVIDED",
+)
+TEXTS["MIT-0"] = "\n\n".join(p.removesuffix(", subject to the following conditions:") + "." * p.endswith("conditions:") for p in TEXTS["MIT"].split("\n\n") if not p.startswith("The above copyright"))
 
 #: The names that a notice may give a licence.
 NAMES = {
@@ -70,19 +75,35 @@ SENTENCES = (
     "This work is licensed under {0}.", "This work is licensed under the {0}.", "This work is licensed under a {0}.",
     "This file is licensed under the {0}.", "This software is licensed under the {0}.", "This project is licensed under the {0}.",
 )
-COPYRIGHT_LINE = r"(?m)^[\x20\t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+#: The titles that a file may put above a whole text.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)"), "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License", "Modified BSD License"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"), "MIT-0": ("MIT No Attribution", "MIT No Attribution License", "MIT-0"),
+}
+#: Prose that speaks of copyright, as a wrapped line may begin with it; no holder is named so.
+PROSE = "notices?|holders?|owners?|statements?|laws?|licen[sc]es?|permissions?|protections?|interests?|rights?|and|or|in|on|of|to|is|as|act"
+#: A line of its own that names a holder or a year after the word: a mark, a year, or a capitalised name. Prose that a line break puts there stays.
+COPYRIGHT_LINE = (
+    r"(?m)^[\x20\t]*((?i:copyright)[\x20\t:,]*((?i:\(c\)|©|&copy;|\(r\)|®)|(?i:by[\x20\t])|[12][0-9]{3}\b|<year>|\[year\])"
+    rf"|[Cc]opyright:?[\x20\t]+(?!(?i:{PROSE})\b)\p{{Lu}}"
+    r"|(?i:\(c\)|©|all rights reserved))[^\n]*"
+)
 
 
 def known_texts() -> list[tuple[str, str, str]]:
     """(licence, kind, text) of all known texts and notices; a list fixed in this file."""
     whole = [(name, "text", text) for name, text in TEXTS.items()]
+    whole += [(name, "text", f"{title}\n\n{TEXTS[name]}") for name, titles in TITLES.items() for title in titles]
     notices = {(s.format(n), name) for name, names in NAMES.items() for n in names for s in SENTENCES}
     return whole + [(name, "notice", text) for text, name in sorted(notices)]
 
 
 def canonical_lines(text: Column) -> Column:
     """The canonical form with its line breaks."""
-    text = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
+    text = F.lower(F.regexp_replace(text, COPYRIGHT_LINE, ""))
     text = F.regexp_replace(text, r"[^\p{L}\p{N}\n]+", " ")
     plain = text
     for old, new in SPELLINGS.items():

@@ -1,3 +1,5 @@
+import textwrap
+
 from lexforge.llm import licenses as L
 
 
@@ -22,3 +24,16 @@ def test_edge_rows(docs, no_docs):
     rows = L.scan_licenses(docs).collect()
     assert len(rows) == 10 and not any(r.license or r.n_notices for r in rows)
     assert L.scan_licenses(no_docs).count() == 0
+
+
+def test_standard_wrapped_files(spark):
+    """Files as they are published: a title, a copyright line, and prose that the line breaks begin with 'copyright'."""
+    isc = "ISC License\n\nCopyright (c) 2021, A. Body\n\n" + L.TEXTS["ISC"].replace("that the above copyright", "that the above\ncopyright")
+    bsd = L.TEXTS["BSD-3-Clause"].replace("the above copyright", "the above\n   copyright").replace("the copyright holder", "the\n   copyright holder").replace("THE COPYRIGHT", "THE\nCOPYRIGHT")
+    wrapped = ["\n".join(textwrap.fill(p, n) for p in L.TEXTS["MIT"].split("\n\n")) for n in range(40, 80)]
+    texts = [isc, "BSD 3-Clause License\n\nCopyright 2020 The Body Project\nAll rights reserved.\n\n" + bsd, "The MIT License (MIT)\n\nCopyright: A. Body\n\n" + L.TEXTS["MIT"], "MIT License\n\n" + L.TEXTS["MIT-0"], *wrapped]
+    got = scan(spark, texts)
+    assert [got[i].license for i in range(4)] == ["ISC", "BSD-3-Clause", "MIT", None]
+    assert all(got[i].license == "MIT" for i in range(4, len(texts)))
+    kept = scan(spark, ["x\ncopyright holders\ny", "x\nCopyright Body Ltd\ny", "x\nCOPYRIGHT NOTICE\ny", "x y", "x copyright holders y"])
+    assert kept[0].digest == kept[4].digest and kept[1].digest == kept[3].digest != kept[2].digest
