@@ -50,7 +50,7 @@ def op7_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_adaptive_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+    return jaccard_join.jaccard_links(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
 def mix_levels() -> dict:

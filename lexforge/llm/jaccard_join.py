@@ -19,8 +19,11 @@ anything is verified.
    component. Then only pairs across components are compared, and of those only such as sizes,
    shared shingles, their places in the lists, and sketches of the sets allow.
 
-Equal sets are one node throughout. Thousands of near copies cost thousands of pairs, not
-their square, and no link that could join two components is left out. Hot shingles
+4. Where links are asked for, all sets of a component are compared with each other, block
+   against block, by products of 0/1 matrices. No link leaves a component, so these are all.
+
+Equal sets are one node throughout. For components, thousands of near copies cost thousands of
+pairs, not their square, and no link that could join two components is left out. Hot shingles
 are met by partial aggregation and by joins whose large side Spark can split.
 """
 
@@ -50,6 +53,10 @@ SKETCH_WORDS = 16
 VERIFY_COST = 16.0
 #: Remaining pairs across components for each list entry above which another pivot round is run first.
 PAIRS_PER_ENTRY = 4
+#: A component is dealt into blocks of about so many nodes, or so many shingles if these are fewer nodes.
+BLOCK_NODES, BLOCK_SHINGLES = 256, 1 << 19
+#: Columns of a 0/1 matrix of a block's shingles at a time.
+COLUMNS = 1 << 12
 
 
 def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -159,8 +166,45 @@ def _verify(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iter
             yield pa.RecordBatch.from_arrays([part.column(c).filter(good) for c in ("a", "b")], names=["a", "b"])
 
 
+def _block_links(group: pa.Table, percent: int, count: bool) -> pa.Table:
+    """The links between two blocks of a component, or inside one: each pair, or per node the documents that it is linked with."""
+    at = group.column("block").to_numpy()
+    first = np.flatnonzero(at == group.column("low")[0].as_py())
+    second = np.flatnonzero(at == group.column("high")[0].as_py())
+    sets = group.column("shingles").combine_chunks()
+    n = np.diff(sets.offsets.to_numpy())
+    row = np.repeat(np.arange(len(n)), n)
+    _, ids, held = np.unique(sets.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    several = held > 1  # the others are common to no two
+    width = int(several.sum())
+    row, ids = row[several[ids]], (np.cumsum(several) - 1)[ids[several[ids]]]
+    order = np.argsort(ids, kind="stable")
+    row, ids = row[order], ids[order]
+    common = np.zeros((len(first), len(second)), np.int64)
+    for low in range(0, width, COLUMNS):
+        own = slice(*np.searchsorted(ids, [low, low + COLUMNS]))
+        holds = np.zeros((len(n), min(COLUMNS, width - low)), np.float32)
+        holds[row[own], ids[own] - low] = 1
+        common += (holds[first] @ holds[second].T).astype(np.int64)
+    union = n[first][:, None] + n[second][None, :] - common
+    linked = (100 * common >= percent * union) & (common > 0)
+    node, inside = group.column("node").to_numpy(), len(first) > 0 and np.array_equal(first, second)
+    if inside:
+        np.fill_diagonal(linked, False)
+    if count:
+        copies = group.column("copies").to_numpy()
+        out = np.zeros(len(n), np.int64)
+        out[first] += linked @ copies[second]
+        if not inside:
+            out[second] += copies[first] @ linked
+        return pa.table({"node": node, "linked": out})
+    i, j = np.nonzero(np.triu(linked) if inside else linked)
+    x, y = node[first[i]], node[second[j]]
+    return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y), "common": common[i, j], "union": union[i, j]})
+
+
 class JaccardJoin:
-    """The join of one table with itself; `run` gives a row per document."""
+    """The join of one table with itself; `run` gives a row per document, `links` one per pair of different sets."""
 
     def __init__(self, docs: DataFrame, words: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> None:
         self.words, self.percent, self.key = words, percent, key
@@ -243,6 +287,10 @@ class JaccardJoin:
 
     def components(self, rows: DataFrame) -> DataFrame:
         """(node, component) of all nodes that have a link."""
+        return self._components(rows)[0]
+
+    def _components(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The components, and the shingles of the nodes that may have a link."""
         bodies = self.survivors(rows)
         full = self.shingles(bodies)
         lists = self.lists(bodies, full)
@@ -257,13 +305,54 @@ class JaccardJoin:
                 break
             before = remaining
         if not entries:
-            return connected_components(links)
+            return connected_components(links), full
         left = settle(left.join(full.select("node", "sketch"), "node"), "sketched-lists")
         x, y = left.alias("x"), left.alias("y")
         across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") < F.col("y.component")) & self._may_link("x", "y") & self._place_allows("x", "y") & self._sketch_allows("x", "y"))
         across = across.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x.k", "y.k")).alias("k"))
         rest = across.where("shared >= k").select("a", "b")
-        return connected_components(links.union(self.verify(rest, bodies)))
+        return connected_components(links.union(self.verify(rest, bodies))), full
+
+    def _nodes(self, rows: DataFrame) -> DataFrame:
+        """(node, copies, size, smallest): the documents of each set, its shingles, and its smallest key."""
+        return rows.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("size"), F.min("key").alias("smallest"))
+
+    def _linked(self, nodes: DataFrame, found: DataFrame, full: DataFrame, count: bool) -> DataFrame:
+        """Per node and block the documents of other sets that it is linked with, or else all pairs of linked sets.
+
+        A row goes to as many groups as its component has blocks: one for all but large components.
+        """
+        held = found.join(nodes.select("node", "copies", "size"), "node")
+        many = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int")
+        held = held.join(held.groupBy("component").agg(many.alias("blocks")), "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        each = held.join(full.select("node", "shingles"), "node").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        each = each.select("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "copies", "shingles")
+        schema = "node long, linked long" if count else "a long, b long, common long, union long"
+        percent = self.percent
+        return each.groupBy("component", "low", "high").applyInArrow(lambda group: _block_links(group, percent, count), schema)
+
+    def links(self) -> DataFrame:
+        """Every link between different sets once: a, b, common, union, key_a, key_b, copies_a, copies_b.
+
+        a < b are fingerprints of sets, `common` and `union` count shingles, a key is the smallest of
+        the set's documents (null if all are null), and copies are its documents, all linked with each other.
+        """
+        rows = self.measure()
+        found, full = self._components(rows)
+        nodes = self._nodes(rows)
+        out = self._linked(nodes, found, full, count=False)
+        for x in ("a", "b"):
+            out = out.join(nodes.select(F.col("node").alias(x), F.col("smallest").alias(f"key_{x}"), F.col("copies").alias(f"copies_{x}")), x)
+        return out.select("a", "b", "common", "union", "key_a", "key_b", "copies_a", "copies_b")
+
+    def run_with_links(self) -> DataFrame:
+        """`run`, and n_links: the other documents that each is linked with, those of an equal set among them."""
+        rows = self.measure()
+        found, full = self._components(rows)
+        nodes = settle(self._nodes(rows), "nodes")
+        linked = self._linked(nodes, found, full, count=True).groupBy("node").agg(F.sum("linked").alias("linked"))
+        own = nodes.join(linked, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+        return self._placed(rows, found.join(own, "node", "right"), "n_links").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
 
     def keep_one(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """The rows of `docs` with the smallest key of each component, all columns as they are.
@@ -285,11 +374,13 @@ class JaccardJoin:
     def run(self) -> DataFrame:
         """Per document: key, n_shingles, component_id (the smallest key that links reach)."""
         rows = self.measure()
-        found = self.components(rows)
+        return self._placed(rows, self.components(rows))
+
+    def _placed(self, rows: DataFrame, found: DataFrame, *more: str) -> DataFrame:
         placed = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         smallest = placed.where("component is not null").groupBy("component").agg(F.min("key").alias("smallest"))
         return placed.join(smallest, "component", "left").select(
-            F.col("key").alias(self.key), "n_shingles", F.coalesce("smallest", "key").alias("component_id"),
+            F.col("key").alias(self.key), "n_shingles", F.coalesce("smallest", "key").alias("component_id"), *more,
         )
 
 
@@ -302,3 +393,8 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, key:
     table gives an empty result.
     """
     return JaccardJoin(docs, words, percent, key, text).run()
+
+
+def jaccard_links(docs: DataFrame, words: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`jaccard_components` with n_links: how many other documents each is linked with, its copies among them."""
+    return JaccardJoin(docs, words, percent, key, text).run_with_links()

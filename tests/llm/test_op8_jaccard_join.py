@@ -82,3 +82,28 @@ def test_keep_one_and_edge_rows(docs, no_docs):
     kept = J.JaccardJoin(docs).keep_one(docs)
     assert kept.columns == docs.columns and sorted((r.doc_id is None, r.doc_id) for r in kept.collect()) == sorted((k is None, k) for k in (1, 2, 3, 4, 5, 6, 7, 8, None))
     assert J.jaccard_components(no_docs).count() == 0 and J.JaccardJoin(no_docs).keep_one(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("block", [256, 3])
+def test_all_links_inside_components(spark, monkeypatch, block):
+    """Also those between sets that a pivot has connected; in one block and in several."""
+    monkeypatch.setattr(J, "BLOCK_NODES", block)
+    monkeypatch.setattr(J, "COLUMNS", 7 if block == 3 else J.COLUMNS)
+    rows = corpus(3)
+    rows += [(1000 + k, rows[k][1]) for k in range(0, len(rows), 5)]
+    sets = {key: sets_of(t, 4) for key, t in rows}
+    near = {(i, j) for i in sets for j in sets if i != j and (both := len(sets[i] & sets[j])) and 100 * both >= 85 * len(sets[i] | sets[j])}
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = J.jaccard_links(frame)
+    want = {key: sum(i == key for i, _ in near) for key in sets}
+    assert sorted((r.doc_id, r.n_links) for r in got.collect()) == sorted(want.items())
+    assert sorted(map(tuple, got.drop("n_links").collect())) == brute(rows, 4, 85)
+    pairs = J.JaccardJoin(frame).links().collect()
+    different = {frozenset((sets[i], sets[j])) for i, j in near if sets[i] != sets[j]}
+    assert len(pairs) == len(different) and {frozenset((sets[p.key_a], sets[p.key_b])) for p in pairs} == different
+    assert all(p.common == len(sets[p.key_a] & sets[p.key_b]) and p.union == len(sets[p.key_a] | sets[p.key_b]) for p in pairs)
+
+
+def test_links_of_edge_rows(docs, no_docs):
+    assert sorted(r.n_links for r in J.jaccard_links(docs).collect()) == [0] * 8 + [1, 1]
+    assert J.jaccard_links(no_docs).count() == 0 and J.JaccardJoin(no_docs).links().count() == 0
