@@ -65,18 +65,26 @@ def similarity_join(left: DataFrame, right: DataFrame, cutoff: float) -> DataFra
     return left.join(scored, "text")
 
 
-def align_fuzzy(es: DataFrame, he: DataFrame, cutoff: float = 80.0) -> DataFrame:
+def align_fuzzy(es: DataFrame, he: DataFrame, cutoff: float = 80.0, apart: bool = False) -> DataFrame:
     """The Hebrew entry whose definitions are most alike those of the Spanish one, from `cutoff` on.
 
     Of equal scores the text that comes first wins, and of equal texts the row that comes last.
+    With `apart`, both are one table and no row matches itself: `row_idx` tells.
     """
     some = lambda df: df.where(F.coalesce(F.size("definitions"), F.lit(0)) > 0)
-    texts = some(he).withColumn("match", joined(F.col("definitions"))).groupBy("match").agg(
+    merged = (
         F.min("row_idx").alias("first_idx"),
         F.max_by(F.struct(F.col("word").alias("he_word"), F.col("ipa").alias("he_ipa"), pick(F.col("definitions"), F.lit(0)).alias("he_definition")), "row_idx").alias("he"),
     )
+    matches = some(he).withColumn("match", joined(F.col("definitions")))
+    texts = matches.groupBy("match").agg(*merged)
     rows = _spanish(some(es)).withColumn("text", joined(F.col("definitions")))
-    pairs = similarity_join(rows, texts.select(F.col("match").alias("text")), cutoff).join(texts, "match")
+    pairs = similarity_join(rows, texts.select(F.col("match").alias("text")), cutoff)
+    if apart:
+        others = pairs.select(F.col("row_idx").alias("own"), "match").join(matches, "match").where("own != row_idx")
+        pairs = pairs.join(others.groupBy(F.col("own").alias("row_idx"), "match").agg(*merged), ["row_idx", "match"])
+    else:
+        pairs = pairs.join(texts, "match")
     best = W.partitionBy("row_idx").orderBy(F.desc("score"), "first_idx")
     top = pairs.withColumn("_n", F.row_number().over(best)).where("_n = 1").select("*", "he.*")
     kind = F.concat(F.lit("fuzzy_"), F.col("score").cast("string"))

@@ -203,11 +203,27 @@ uniq AS (SELECT DISTINCT x, y FROM pairs), {lcs_sql('uniq')}
 WITH RECURSIVE {FUZZY_SQL}
 SELECT x AS es_word, arg_min(y, (-score, j)) AS he_word, max(score) AS score, max(score) / 100 AS confidence FROM pairs JOIN scored USING (x, y) WHERE score >= 80 GROUP BY x""")
 def align_fuzzy(spark, sf):
-    nation = table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("row_idx"), F.col("n_name").alias("word"), F.lit("").alias("ipa"), F.lit("").alias("pos"), F.array("n_name").alias("definitions"), F.array().cast("array<string>").alias("translations_he"))
-    out = align.align_fuzzy(nation.where("row_idx < 5"), nation.where("row_idx >= 5"))
+    nation = _nations(spark, sf)
+    return _fuzzy_columns(align.align_fuzzy(nation.where("row_idx < 5"), nation.where("row_idx >= 5")))
+
+
+def _nations(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("row_idx"), F.col("n_name").alias("word"), F.lit("").alias("ipa"), F.lit("").alias("pos"), F.array("n_name").alias("definitions"), F.array().cast("array<string>").alias("translations_he"))
+
+
+def _fuzzy_columns(out: DataFrame) -> DataFrame:
     return out.select("es_word", "he_word", F.regexp_extract("match_type", r"fuzzy_(.*)", 1).cast("double").alias("score"), "confidence")
 
 
+@query(f"""
+WITH RECURSIVE pairs AS (SELECT a.n_name AS x, b.n_name AS y, a.n_nationkey AS i, b.n_nationkey AS j FROM nation a JOIN nation b ON a.n_nationkey != b.n_nationkey),
+uniq AS (SELECT DISTINCT x, y FROM pairs), {lcs_sql('uniq')}
+SELECT x AS es_word, arg_min(y, (-score, j)) AS he_word, max(score) AS score, max(score) / 100 AS confidence FROM pairs JOIN scored USING (x, y) WHERE score >= 80 GROUP BY i, x""")
+def align_fuzzy_all(spark, sf):
+    """Every nation against all others; the SQL of `align_fuzzy` has the first five against the rest."""
+    return _fuzzy_columns(align.align_fuzzy(_nations(spark, sf), _nations(spark, sf), apart=True))
+
+
 @query(f"""
 WITH RECURSIVE k AS (SELECT DISTINCT p_name || ' ' || p_type AS t FROM part),
 pairs AS (SELECT a.t AS x, b.t AS y FROM k a, k b WHERE a.t != b.t AND 200.0 * least(length(a.t), length(b.t)) >= 80 * (length(a.t) + length(b.t))),

@@ -134,3 +134,11 @@ def test_clusters_follow_leaders(spark):
     out = senses.cluster_senses(spark.createDataFrame(data, "es_word string, ord long, es_definition string"))
     got = {w: [r.semantic_cluster for r in sorted(out.where(F.col("es_word") == w).collect(), key=lambda r: r.ord)] for w in texts}
     assert got == {"banco": [1, 2, 1, 3, 3], "casa": [1], "mucho": [1] * 11}
+
+
+def test_fuzzy_apart_from_its_own_row(spark):
+    """One table on both sides: every row may match any other, also one of the same text, but not itself."""
+    rows = [(i, w, "", "noun", [t], [], [], 1) for i, (w, t) in enumerate([("a", "NATION_0"), ("b", "NATION_1"), ("c", "same text"), ("d", "same text"), ("e", "quite alone")])]
+    es = spark.createDataFrame(rows, ES)
+    got = {r.es_word: (r.he_word, r.match_type) for r in align.align_fuzzy(es, es, apart=True).collect()}
+    assert got == {"a": ("b", "fuzzy_87.5"), "b": ("a", "fuzzy_87.5"), "c": ("d", "fuzzy_100.0"), "d": ("c", "fuzzy_100.0")}
