@@ -7,11 +7,14 @@ seen there, the escape probability, and the question goes on to the context that
 byte shorter, down to 1/256 for each byte. The cost of a text in a language is the
 exact sum over its bytes; the cheapest language is predicted.
 
-As statistics are frozen, a byte's cost depends on the last `order` bytes and itself, so the
-trees of all languages are laid out as one table of states: a state is the longest
-suffix of the history that any tree has as a context, and each (state, byte) holds the
-cost in every language. Scoring a text is two table look-ups per byte, in numpy, and no
-language is walked on its own.
+As statistics are frozen, a byte's cost depends on the last `order` bytes and itself, so a
+tree is laid out as a table of states: a state is the longest suffix of the history that
+the tree has as a context, and each (state, byte) holds the cost. Each language has its own
+alphabet, states and table, so that a model grows with the number of languages and not with its square.
+Costs are whole numbers of 2^-22 bits: sums are exact, whatever the order and the cuts.
+
+A text is scored in windows of `WINDOW_BYTES` that take the `order` bytes before them along,
+so a text of any length needs the memory of one window beside its own bytes.
 """
 
 from __future__ import annotations
@@ -29,112 +32,132 @@ from pyspark.sql import Window as W
 from lexforge.llm.words import slices, text_bytes
 
 UNKNOWN = "und"
-#: Labelled rows of each language that a model is fitted on, at most.
-SAMPLE_ROWS = 400
+#: A model is fitted on at most so many labelled rows of each language, and so many bytes of them.
+SAMPLE_ROWS, SAMPLE_BYTES = 400, 2 << 20
 #: Bytes for which a score weighs the languages against each other (fewer if a text has fewer).
 SCORE_BYTES = 64
+#: Bytes that one pass scores, and bytes of text that are handled together.
+WINDOW_BYTES = 1 << 18
+#: Costs are counted in this part of a bit.
+UNIT = float(1 << 22)
+#: A model is broadcast, so its size is checked; beyond this, fewer languages or a lower order are needed.
+MODEL_BYTES = 512 << 20
+
+
+class ContextTree:
+    """Frozen statistics of one language."""
+
+    def __init__(self, texts: list[bytes], order: int) -> None:
+        """Symbol 0 stands before the start of a text, and 1 for all bytes that no text has."""
+        used = sorted({b for t in texts for b in set(t)})
+        self.order, self.size = order, len(used) + 2
+        self.symbol = np.ones(256, np.int32)
+        self.symbol[used] = np.arange(2, self.size)
+        flat, at = self._flat(texts)
+        last = flat[at]
+        # Codes of length k are numbers to the base `size`; one state per context that is there.
+        codes = [np.zeros(len(at), np.int64)]
+        for k in range(1, order + 1):
+            codes.append(codes[-1] + flat[at - k].astype(np.int64) * self.size ** (k - 1))
+        seen = [np.unique(c) if len(c) else np.zeros(1 - min(k, 1), np.int64) for k, c in enumerate(codes)]
+        offset = np.cumsum([0, *map(len, seen)])
+        self.cost = np.empty((offset[-1], self.size), np.int32)
+        shorter = np.full((1, self.size), 1 / 256)  # order -1: every byte alike
+        for k in range(order + 1):
+            row = np.searchsorted(seen[k], codes[k])
+            counts = np.bincount(row * self.size + last, minlength=len(seen[k]) * self.size).reshape(-1, self.size)
+            kinds, total = (counts > 0).sum(1, keepdims=True), counts.sum(1, keepdims=True)
+            parent = np.searchsorted(seen[k - 1], seen[k] % self.size ** (k - 1)) if k else np.zeros(len(seen[k]), np.int64)
+            escape = np.where(total > 0, kinds / np.maximum(total + kinds, 1), 1.0)
+            shorter = np.where(counts > 0, counts / np.maximum(total + kinds, 1), escape * shorter[parent])
+            self.cost[offset[k] : offset[k + 1]] = np.rint(-np.log2(shorter) * UNIT)
+        # The state of every code of length `order`: its longest suffix that is a context.
+        self.states = np.zeros(1, np.int32)
+        for k in range(1, order + 1):
+            self.states = np.tile(self.states, self.size)  # the first of k symbols is the highest digit
+            self.states[seen[k]] = offset[k] + np.arange(len(seen[k]))
+
+    def _flat(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all texts with `order` start symbols before each, and where the bytes stand."""
+        start, parts = np.zeros(self.order, np.int32), []
+        for t in texts:
+            parts += [start, self.symbol[np.frombuffer(t, np.uint8)]]
+        flat = np.concatenate(parts or [start])
+        return flat, np.flatnonzero(flat)  # only start symbols are 0
+
+    @property
+    def nbytes(self) -> int:
+        return self.states.nbytes + self.cost.nbytes
+
+    def costs(self, history: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Cost of each byte of `history` behind its first `order`; `starts` are the places where texts begin, of those too."""
+        n = len(history) - self.order
+        symbols = self.symbol[history]
+        code = np.zeros(n, np.int32 if self.size**self.order < 1 << 31 else np.int64)
+        for j in range(self.order, 0, -1):
+            back = symbols[self.order - j : self.order - j + n].copy()
+            for i in range(j):  # a text's first bytes have start symbols before them
+                at = starts + (i - self.order)
+                back[at[(at >= 0) & (at < n)]] = 0
+            code *= self.size
+            code += back
+        cell = self.states[code]
+        cell *= self.size
+        cell += symbols[self.order :]
+        return self.cost.ravel()[cell]
 
 
 class ContextTrees:
-    """Frozen statistics of all languages; `fit` counts them."""
+    """The trees of all languages."""
 
-    def __init__(self, languages: list[str], order: int, symbol: np.ndarray, states: np.ndarray, cost: np.ndarray) -> None:
-        self.languages, self.order, self.symbol, self.states, self.cost = languages, order, symbol, states, cost
+    def __init__(self, trees: dict[str, ContextTree], order: int) -> None:
+        self.trees, self.order, self.languages = trees, order, list(trees)
 
     @classmethod
     def fit(cls, samples: dict[str, list[bytes]], order: int = 3) -> ContextTrees:
-        """Symbol 0 stands before the start of a text, and 1 for all bytes that no sample has."""
-        languages = sorted(samples)
-        used = sorted({b for texts in samples.values() for t in texts for b in set(t)})
-        symbol = np.ones(256, np.int64)
-        symbol[used] = np.arange(2, len(used) + 2)
-        size = len(used) + 2
-        history = {lang: cls._histories(samples[lang], symbol, order) for lang in languages}
-
-        # One state per context that some language has; codes of length k are numbers to the base `size`.
-        seen = [np.unique(np.concatenate([cls._code(h, k, size) for h in history.values()] or [np.zeros(0, np.int64)])) for k in range(order + 1)]
-        offset = np.cumsum([0, *map(len, seen)])
-        cost = np.empty((offset[-1], size, len(languages)), np.float32)
-        for n, lang in enumerate(languages):
-            h = history[lang]
-            shorter = np.full((1, size), 1 / 256)  # order -1: every byte alike
-            for k in range(order + 1):
-                at = np.searchsorted(seen[k], cls._code(h, k, size))
-                pair, count = np.unique(at * size + h[:, -1], return_counts=True)
-                counts = np.zeros((len(seen[k]), size), np.float64)
-                counts.ravel()[pair] = count
-                kinds, total = (counts > 0).sum(1, keepdims=True), counts.sum(1, keepdims=True)
-                parent = np.searchsorted(seen[k - 1], seen[k] % size ** (k - 1)) if k else np.zeros(len(seen[k]), np.int64)
-                escape = np.where(total > 0, kinds / np.maximum(total + kinds, 1), 1.0)
-                prob = np.where(counts > 0, counts / np.maximum(total + kinds, 1), escape * shorter[parent])
-                cost[offset[k] : offset[k + 1], :, n] = -np.log2(prob)
-                shorter = prob
-        return cls(languages, order, symbol, cls._lookup(seen, offset, size, order), cost)
-
-    @staticmethod
-    def _histories(texts: list[bytes], symbol: np.ndarray, order: int) -> np.ndarray:
-        """Each byte of the texts with the `order` symbols before it."""
-        start = np.zeros(order, np.int64)
-        flat = np.concatenate([x for t in texts for x in (start, symbol[np.frombuffer(t, np.uint8)])] or [start])
-        real = np.concatenate([x for t in texts for x in (np.zeros(order, bool), np.ones(len(t), bool))] or [np.zeros(order, bool)])
-        at = np.flatnonzero(real)
-        return flat[at[:, None] + np.arange(-order, 1)]
-
-    @staticmethod
-    def _code(history: np.ndarray, k: int, size: int) -> np.ndarray:
-        """The k symbols before the last, as one number."""
-        out = np.zeros(len(history), np.int64)
-        for j in range(k):
-            out = out * size + history[:, history.shape[1] - 1 - k + j]
+        out = cls({lang: ContextTree(samples[lang], order) for lang in sorted(samples)}, order)
+        if out.nbytes > MODEL_BYTES:
+            raise ValueError(f"a model of {out.nbytes >> 20} MB is too large to be broadcast: lower the order or the sample")
         return out
 
-    @staticmethod
-    def _lookup(seen: list[np.ndarray], offset: np.ndarray, size: int, order: int) -> np.ndarray:
-        """The state of every code of length `order`: its longest suffix that is a context."""
-        state = np.zeros(1, np.int32)
-        for k in range(1, order + 1):
-            state = np.tile(state, size)  # the first of k symbols is the highest digit
-            state[seen[k]] = offset[k] + np.arange(len(seen[k]))
-        return state
+    @property
+    def nbytes(self) -> int:
+        return sum(t.nbytes for t in self.trees.values())
 
     def code_lengths(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits of each row in each language."""
-        size = self.cost.shape[1]
-        order, rows, n = self.order, len(offsets) - 1, len(raw)
-        lengths = np.diff(offsets)
-        flat = np.zeros(n + order * rows, np.int64)  # `order` start symbols before each row
-        at = np.arange(n) + order * (np.repeat(np.arange(rows), lengths) + 1)
-        flat[at] = self.symbol[raw]
-        code = np.zeros(n, np.int64)
-        for j in range(order, 0, -1):
-            code = code * size + flat[at - j]
-        cell = self.states[code].astype(np.int64) * size + flat[at]
-        total = np.zeros((rows, len(self.languages)))
-        used = np.flatnonzero(lengths)
-        if len(used):
-            table = self.cost.reshape(-1, len(self.languages))
-            for k in range(len(self.languages)):
-                total[used, k] = np.add.reduceat(table[:, k][cell].astype(np.float64), offsets[:-1][used])
-        return total
-
-
-def _predict(batches: Iterator[pa.RecordBatch], model, text: str = "text", reject_bits: float | None = None) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(offsets) - 1, len(self.trees)), np.int64)
+        used = np.flatnonzero(np.diff(offsets))
+        first = offsets[:-1][used]
+        for low in range(0, len(raw), WINDOW_BYTES):
+            high = min(low + WINDOW_BYTES, len(raw))
+            head = min(low, self.order)
+            history = np.concatenate([np.zeros(self.order - head, np.uint8), raw[low - head : high]])
+            a, b = np.searchsorted(first, low, "right") - 1, np.searchsorted(first, high)  # rows with bytes in the window
+            starts = first[np.searchsorted(first, low - head) : b] - low + self.order
+            cuts = np.maximum(first[a:b], low) - low
+            for k, tree in enumerate(self.trees.values()):
+                total[used[a:b], k] += np.add.reduceat(tree.costs(history, starts), cuts, dtype=np.int64)
+        return total / UNIT
+
+
+def _judged(texts: pa.Array, trees: ContextTrees) -> tuple[np.ndarray, np.ndarray]:
+    """(bits of each row in each language, its bytes, 1 at least)."""
+    raw, offsets = text_bytes(texts)
+    return trees.code_lengths(raw, offsets), np.maximum(np.diff(offsets), 1)
+
+
+def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     trees: ContextTrees = model.value
-    for part in slices(batches, text):
-        raw, offsets = text_bytes(part.column(text))
-        bits = trees.code_lengths(raw, offsets)
+    for part in slices(batches, "text", WINDOW_BYTES):
+        bits, n = _judged(part.column("text"), trees)
         letters = part.column("letters").to_numpy(zero_copy_only=False).astype(bool)
-        n = np.maximum(np.diff(offsets), 1)
         best = bits.argmin(axis=1)
         # The share of the best language when each explains SCORE_BYTES average bytes of the text.
         gap = (bits - bits.min(axis=1, keepdims=True)) * (np.minimum(n, SCORE_BYTES) / n)[:, None]
         score = np.where(letters, 1 / np.exp2(-gap).sum(axis=1), 0.0)
         names = np.array(trees.languages, object)[best]
         names[~letters] = UNKNOWN
-        if reject_bits is not None:
-            keep = pa.array((names != UNKNOWN) & (bits.min(axis=1) < reject_bits * n))
-            yield part.select([c for c in part.schema.names if c != "letters"]).filter(keep)
-            continue
         yield pa.RecordBatch.from_arrays(
             [part.column("key"), pa.array(names, pa.string()), pa.array(score), pa.array(np.where(letters, bits[np.arange(len(best)), best] / n, 0.0))],
             names=["key", "lang_pred", "score", "bits_per_byte"],
@@ -146,22 +169,37 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, order: int = 3, sample_rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text", lang: str = "lang") -> ContextTrees:
-    """Context trees from at most `sample_rows` labelled rows of each language that are not held out.
+def fit(docs: DataFrame, order: int = 3, sample_rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_bytes: int = SAMPLE_BYTES) -> ContextTrees:
+    """Context trees from a bounded sample of the labelled rows that are not held out.
 
-    Rows are drawn by a hash of the id, first in a scan of ids and labels alone; only
-    the drawn rows' texts reach the driver.
+    Of each language at most `sample_rows` rows and `sample_bytes` bytes are learned from, the first in
+    an order by a hash of the id; a text that alone has more bytes counts with that many. Rows are
+    drawn in a scan of ids, labels and lengths; only the drawn texts reach the driver. Labels
+    are counted first, so that only rows whose hash is low enough are sorted, a few hundred of a language.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("key").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("key")))
-    order_by = W.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    drawn = rows.select("lang", "key").withColumn("n", F.row_number().over(order_by)).where(F.col("n") <= sample_rows)
+    place = F.pmod(F.xxhash64("key"), F.lit(1 << 40))
+    listed = rows.select("lang", "key", place.alias("place"), F.octet_length("text").cast("long").alias("size"))
+    low = listed.groupBy("lang").agg((F.lit(float(1 << 40)) * (2 * sample_rows + 100) / F.count(F.lit(1))).alias("most"))
+    order_by = W.partitionBy("lang").orderBy("place", "key")
+    first = listed.join(low, "lang").where("place <= most").select("lang", "key", "size", F.row_number().over(order_by).alias("n")).where(F.col("n") <= sample_rows)
+    before = F.coalesce(F.sum("size").over(W.partitionBy("lang").orderBy("n").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    drawn = first.withColumn("before", before).where(F.col("before") < sample_bytes).select("lang", "key").distinct()
+    head = F.substring(F.col("text").cast("binary"), 1, sample_bytes).alias("head")
     samples: dict[str, list[bytes]] = {}
-    for r in rows.join(F.broadcast(drawn.select("lang", "key").distinct()), ["lang", "key"], "left_semi").select("lang", "text").toLocalIterator():
+    for r in rows.join(F.broadcast(drawn), ["lang", "key"], "left_semi").select("lang", head).toLocalIterator():  # sample_rows of each language at most
         own = samples.setdefault(r.lang, [])
-        if len(own) < sample_rows and r.text:
-            own.append(r.text.encode())
-    return ContextTrees.fit(samples, order)
+        if len(own) < sample_rows and r.head:
+            own.append(bytes(r.head))
+    for lang, own in samples.items():
+        own.sort()
+        room = sample_bytes
+        for i, t in enumerate(own):
+            own[i] = t[:room]
+            room -= len(own[i])
+        samples[lang] = [t for t in own if t]
+    return ContextTrees.fit({lang: own for lang, own in samples.items() if own}, order)
 
 
 def _letters(text: str, trees: ContextTrees) -> Column:
@@ -171,26 +209,39 @@ def _letters(text: str, trees: ContextTrees) -> Column:
 def accept(docs: DataFrame, trees: ContextTrees, reject_bits: float = 8.0, text: str = "text") -> DataFrame:
     """The rows of `docs`, all columns as they are, whose text is in a learned language.
 
-    Rejected are texts that are `und`, and those that the best language codes in no fewer
-    bits a byte than `reject_bits`; at 8 its statistics say nothing about the text.
+    Rejected are texts that are `und` (null, empty, without a letter; all if nothing was learned),
+    and those that the best language codes in no fewer bits a byte than `reject_bits`; at 8 its
+    statistics say nothing about the text. Only the text goes to Python, and only a verdict comes
+    back, so columns of any name and number stay where they are. Repeated rows are each judged, ties
+    do not matter, an empty table stays empty, and a text of any length is scored window by window.
     """
-    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    picked = docs.select(*own, _letters(text, trees).alias("letters"))  # the text travels once
-    trees = trees if trees.languages else ContextTrees.fit({UNKNOWN: [b" "]}, 1)
-    model = docs.sparkSession.sparkContext.broadcast(trees)
-    kept = picked.mapInArrow(partial(_predict, model=model, text=f"c{docs.columns.index(text)}", reject_bits=reject_bits), picked.drop("letters").schema)
-    return kept.toDF(*docs.columns)
+    if not trees.languages:
+        return docs.limit(0)
+    model = docs.sparkSession.sparkContext.broadcast(trees)  # no more than MODEL_BYTES
+
+    @F.arrow_udf("boolean")
+    def told(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            verdicts = [pa.array([], pa.bool_())]
+            for part in slices(iter([pa.RecordBatch.from_arrays([batch], names=["text"])]), "text", WINDOW_BYTES):
+                bits, n = _judged(part.column("text"), model.value)
+                verdicts.append(pa.array(bits.min(axis=1) < reject_bits * n))
+            yield pa.concat_arrays(verdicts)
+
+    return docs.where(_letters(text, trees)).where(told(F.col(text)))
 
 
 def identify(docs: DataFrame, trees: ContextTrees, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, lang_pred, score (0 to 1), bits_per_byte of the best language.
 
-    Only the text decides. A null text, or one without a letter, is `und` with score 0,
-    as is every text when nothing could be learned. Repeated rows are each scored.
+    Only the text decides. A null or empty text, or one without a letter, is `und` with score 0,
+    as is every text when nothing could be learned. Of languages that code a text alike the first by name is told.
+    Repeated rows are each scored, an empty table gives an empty result, a text of any length is
+    scored window by window, and columns other than `key` and `text` are not read.
     """
     picked = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), _letters(text, trees).alias("letters"))
     if not trees.languages:
         trees = ContextTrees.fit({UNKNOWN: [b" "]}, 1)
     schema = T.StructType([picked.schema["key"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())])
-    model = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by the sample, not by the corpus
+    model = docs.sparkSession.sparkContext.broadcast(trees)  # no more than MODEL_BYTES
     return picked.mapInArrow(partial(_predict, model=model), schema).withColumnRenamed("key", key)

@@ -40,7 +40,7 @@ def test_code_lengths_equal_a_walk_of_the_tree():
     texts = [b"", b"a", b"abcabc cab", b"zz top", b"dead ace", bytes(rnd.choices(b"abcde z", k=50))]
     raw, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
     got = trees.code_lengths(raw, ends)
-    # Contexts with bytes that only the other language has are states of the shared table as well.
+    # Contexts may have bytes that only the other language has.
     for n, lang in enumerate(trees.languages):
         for i, text in enumerate(texts):
             assert math.isclose(got[i, n], brute_bits(samples[lang], text, 2), rel_tol=1e-5, abs_tol=1e-5), (lang, text)
@@ -72,3 +72,45 @@ def test_edge_rows(docs, no_docs):
     kept = L.accept(docs, trees)
     ids = {r.doc_id for r in kept.collect()}
     assert kept.columns == docs.columns and {1, None, 7, 8} <= ids and not {2, 3, 4, 6} & ids
+
+
+def test_windows_add_up(monkeypatch):
+    """Any cut of the bytes gives the same whole numbers, also inside a text and with empty texts around."""
+    rnd = random.Random(5)
+    trees = L.ContextTrees.fit({"a": [b"the cat sat on the mat"], "b": [b"der hund lag im sand", b"und schlief"]}, order=3)
+    texts = [bytes(rnd.choices(b"abcdeht zq", k=rnd.randrange(12))) for _ in range(60)] + [b"", b"the hund " * 50, b"", b"x"]
+    raw, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    want = trees.code_lengths(raw, ends)
+    for size in (1, 2, 3, 7, 64):
+        monkeypatch.setattr(L, "WINDOW_BYTES", size)
+        assert np.array_equal(trees.code_lengths(raw, ends), want)
+
+
+def test_a_text_of_50_mb_needs_little_memory():
+    import tracemalloc
+
+    trees = L.ContextTrees.fit({"a": [b"the cat sat on the mat"], "b": [b"der hund lag im sand"]})
+    raw = np.frombuffer(b"the hund sat im mat " * 2_500_000, np.uint8)
+    tracemalloc.start()
+    bits = trees.code_lengths(raw, np.array([0, len(raw)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 << 20 and (bits > 0).all()
+
+
+def test_the_sample_is_bounded(spark):
+    rows = [(i, f"{'ab' if i % 2 else 'cd'} {i} " * 20, "x" if i % 2 else "y") for i in range(3000)] + [(9998, "z" * 5000, "long")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = {}
+
+    def keep(samples, order):
+        seen.update(samples)
+        return L.ContextTrees({}, order)
+
+    fit, L.ContextTrees.fit = L.ContextTrees.fit, keep
+    try:
+        L.fit(frame, sample_rows=50, sample_bytes=3000)
+    finally:
+        L.ContextTrees.fit = fit
+    assert all(0 < len(own) <= 50 and sum(map(len, own)) <= 3000 for own in seen.values())
+    assert zlib.crc32(b"9998") % 4 != 2 and set(seen) == {"x", "y", "long"} and sum(map(len, seen["long"])) == 3000
