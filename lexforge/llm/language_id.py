@@ -181,7 +181,7 @@ def fit(docs: DataFrame, order: int = 3, sample_rows: int = SAMPLE_ROWS, key: st
     rows = rows.where(F.col("lang").isNotNull() & F.col("key").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("key")))
     place = F.pmod(F.xxhash64("key"), F.lit(1 << 40))
     listed = rows.select("lang", "key", place.alias("place"), F.octet_length("text").cast("long").alias("size"))
-    low = listed.groupBy("lang").agg((F.lit(float(1 << 40)) * (2 * sample_rows + 100) / F.count(F.lit(1))).alias("most"))
+    low = F.broadcast(listed.groupBy("lang").agg((F.lit(float(1 << 40)) * (2 * sample_rows + 100) / F.count(F.lit(1))).alias("most")))  # a row for each language of the model
     order_by = W.partitionBy("lang").orderBy("place", "key")
     first = listed.join(low, "lang").where("place <= most").select("lang", "key", "size", F.row_number().over(order_by).alias("n")).where(F.col("n") <= sample_rows)
     before = F.coalesce(F.sum("size").over(W.partitionBy("lang").orderBy("n").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
