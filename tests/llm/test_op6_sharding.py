@@ -1,6 +1,10 @@
+import heapq
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+from hypothesis import given
+from hypothesis import strategies as st
 
 from lexforge.llm import sharding as S
 
@@ -31,10 +35,37 @@ def test_equals_plain_lpt_when_small(spark):
     assert all(r.text_crc32 == zlib.crc32(texts[r.doc_id].encode()) and r["size"] == len(texts[r.doc_id]) + 16 for r in rows)
 
 
-def test_bundles_stay_even(spark):
-    rows = S.shard_documents(spark.createDataFrame([(i, f"text {i}") for i in range(3000)], "doc_id long, text string"), shards=4, fine=16).collect()
-    loads = check(rows, 4)
-    assert len(rows) == 3000 and max(loads.values()) < 1.05 * sum(loads.values()) / 4
+def plain_lpt(sizes, shards):
+    heap = [(0, k) for k in range(shards)]
+    for size in sorted(sizes, reverse=True):
+        load, k = heapq.heappop(heap)
+        heapq.heappush(heap, (load + size, k))
+    return [load for load, _ in sorted(heap, key=lambda x: x[1])]
+
+
+@given(st.lists(st.tuples(st.integers(1, 40), st.integers(1, 90)), max_size=12), st.integers(1, 7))
+def test_sizes_with_counts_give_the_loads_of_plain_lpt(classes, shards):
+    sizes = Counter()
+    for size, count in classes:
+        sizes[size] += count
+    plan = S.lpt(list(sizes.items()), shards)
+    assert [int(sum(size * taken[k] for size, taken in plan)) for k in range(shards)] == plain_lpt(sizes.elements(), shards)
+    assert all(taken.sum() == sizes[size] and (taken >= 0).all() for size, taken in plan)
+
+
+def test_many_small_groups_are_plain_lpt(spark, monkeypatch):
+    """No group of note, many of one size, and blocks of ranks and slots."""
+    monkeypatch.setattr(S, "SLOT_ROWS", 100)
+    texts = ["x" * (i % 9) + f" {i:04}" for i in range(3000)]
+    rows = S.shard_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), shards=7).collect()
+    loads = check(rows, 7)
+    assert [loads[k] for k in range(7)] == plain_lpt([len(t) + 16 for t in texts], 7)
+
+
+def test_a_group_with_a_third_of_all_rows(spark):
+    texts = ["copy"] * 500 + [f"text {i}" * (1 + i % 5) for i in range(1000)]
+    loads = check(S.shard_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), shards=4).collect(), 4)
+    assert [loads[k] for k in range(4)] == plain_lpt([500 * 20, *(len(t) + 16 for t in texts[500:])], 4)
 
 
 def test_edge_rows(docs, no_docs):
