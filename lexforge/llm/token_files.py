@@ -3,8 +3,8 @@
 Documents are dealt to tasks by ranges of the key, sorted, encoded, and their ids
 written one after another in sequences of equal length: each record batch holds a
 fixed-size list of ids and one of mask bits (false where the last sequence of a file is
-padded). Batches are not compressed, so a reader that maps the file gets at sequence i
-with one multiplication and no copy. Beside every file stands an index with the key,
+padded). Batches are not compressed and all but the last are of one size, so that `SequenceReader`, which
+maps the file, gets at sequence i with one multiplication and no copy. Beside every file stands an index with the key,
 first id and number of ids of each document.
 
 Writing is safe against lost executors: a task writes under a name of its own attempt,
@@ -13,7 +13,9 @@ and only names that reach the settled manifest are ever read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -43,16 +45,39 @@ BATCH_ROWS = 512
 MEMORY_WORDS = 1_000_000
 
 
+def cuts_at_pieces(config: dict) -> bool:
+    """Whether a tokenizer's configuration shows that no token crosses white space, or runs from an ASCII letter on to an ASCII digit or sign.
+
+    * Its normalisers are NFC, white space to a blank, and lower case. NFC changes a character only together
+      with combining marks behind it, and none of those is ASCII or composes with white space; lower case goes character by character.
+    * Its first splitter keeps the matches of a pattern each of whose alternatives is a run of letters, one number, a run of
+      other signs, or an apostrophe with letters. No such match holds white space, nor a letter and a digit or sign behind it,
+      and as they cover all characters but white space, the search stands at each of those places afresh.
+    * What follows it maps bytes of a match, and the model sees one match at a time.
+    """
+    normal, split_ = config.get("normalizer") or {}, config.get("pre_tokenizer") or {}
+    normals = normal.get("normalizers", [normal] if normal else [])
+    splitters = split_.get("pretokenizers", [split_] if split_ else [])
+    plain = [n["type"] in ("NFC", "Lowercase") or n == {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "} for n in normals]
+    if not all(plain) or not splitters or splitters[0]["type"] != "Split":
+        return False
+    pattern = splitters[0]["pattern"].get("Regex", "")
+    runs = {r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+"}
+    kinds = set(pattern.split("|"))
+    keeps = splitters[0]["invert"] and splitters[0]["behavior"] == "Removed" and runs <= kinds and all(re.fullmatch("'[a-z]+", k) for k in kinds - runs)
+    bytes_ = all(x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"] for x in splitters[1:])
+    return bool(keeps and bytes_ and not config.get("post_processor") and not config["model"].get("dropout"))
+
+
 class WordEncoder:
-    """Encodes texts through their pieces, each distinct piece once.
+    """Encodes whole texts with the library, each distinct piece of them once.
 
     Pieces end at ASCII white space and between an ASCII letter and an ASCII digit or
-    sign, and A-Z counts as a-z. That is exact for tokenizers that drop white space, fold
-    case and end a run of letters there, which `by_piece` checks on probes; others, and
-    texts that hold the string of an added token, are encoded whole.
+    sign. Where the tokenizer's own configuration says that none of its steps looks across such a
+    place (`cuts_at_pieces`), the ids of a text are those of its pieces one after another. Texts that hold the string of an
+    added token, and all texts with other tokenizers, are handed to the library in one piece.
     """
 
-    PROBES = ("a  b\tc", " Don't\n\nStop,it's ", "Été 12 x9 y--z. A'b'S ...'s", "don't.'ve we'LL x'd", "", "q\x0b#\x0c# \r,")
     CUT = (LETTER, SIGN)
 
     def __init__(self, path: str) -> None:
@@ -62,10 +87,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self._forget()
-        flat, counts = self._by_piece(pa.array(self.PROBES))
-        whole = self._plain(list(self.PROBES))
-        self.by_piece = counts.tolist() == [len(x) for x in whole] and flat.tolist() == [i for x in whole for i in x]
+        self.by_piece = cuts_at_pieces(json.loads(self.tokenizer.to_str()))
         self._forget()
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
@@ -87,7 +109,7 @@ class WordEncoder:
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def _by_piece(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        w = split(texts, NON_SPACE, fold=True, cut=self.CUT)
+        w = split(texts, NON_SPACE, fold=False, cut=self.CUT)
         entry = self._numbers(w.vocabulary.to_pylist())
         size = (self.first[entry + 1] - self.first[entry])[w.ids]
         total = np.concatenate([[0], np.cumsum(size)])
@@ -196,6 +218,38 @@ def open_stream(path: str) -> pa.ipc.RecordBatchStreamReader:
     return pa.ipc.open_stream(pa.memory_map(where) if isinstance(store, fs.LocalFileSystem) else store.open_input_stream(where))
 
 
+class SequenceReader:
+    """Random access to the sequences of a file. A local file is mapped, and ids and masks are views of the mapping."""
+
+    def __init__(self, base: str) -> None:
+        store, path = fs.FileSystem.from_uri(base + ".arrows")
+        self.file = pa.memory_map(path) if isinstance(store, fs.LocalFileSystem) else store.open_input_file(path)
+        self.schema = pa.ipc.read_schema(pa.ipc.read_message(self.file))
+        self.head, self.length = self.file.tell(), self.schema.field("ids").type.list_size
+        end = self.file.size() - 8  # the mark of the stream's end
+        self.rows = self.step = self.count = 0
+        if self.head < end:
+            self.rows = self._batch(self.head).num_rows
+            self.step = self.file.tell() - self.head
+            whole = -(-(end - self.head) // self.step) - 1  # batches before the last
+            self.count = whole * self.rows + self._batch(self.head + whole * self.step).num_rows
+
+    def _batch(self, at: int) -> pa.RecordBatch:
+        self.file.seek(at)
+        return pa.ipc.read_record_batch(pa.ipc.read_message(self.file), self.schema)
+
+    def __len__(self) -> int:
+        return self.count
+
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """(ids, mask) of sequence i."""
+        if not 0 <= i < self.count:
+            raise IndexError(i)
+        batch, row = self._batch(self.head + i // self.rows * self.step), i % self.rows
+        ids, mask = (batch.column(c).values.slice(row * self.length, self.length) for c in ("ids", "mask"))
+        return ids.to_numpy(), mask
+
+
 def real_ids(base: str) -> np.ndarray:
     """All ids of a file under its mask, in order."""
     out = []
@@ -234,8 +288,9 @@ def read_tokens(manifest: DataFrame, key_type: T.DataType, key: str = "doc_id")
 def tokens_roundtrip(docs: DataFrame, tokenizer: str, eos: int = 2, length: int = 2048, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Write all documents to token files in the shared folder and read them back.
 
-    Null texts count as empty, repeated rows are written as often as they come, an
-    empty table gives an empty result, and other columns are not read.
+    Null texts count as empty and have the end id alone; repeated rows are written as often as they come, rows
+    of one key in the order of their texts' hashes, with null keys first; a text of any length is encoded whole and lies in one
+    file; an empty table gives an empty result; other columns are not read.
     """
     manifest = write_tokens(docs, scratch(docs.sparkSession, "tokens"), tokenizer, eos, length, key, text)
     return read_tokens(manifest, docs.schema[key].dataType, key)
