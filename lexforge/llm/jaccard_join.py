@@ -22,7 +22,8 @@ anything is verified.
 4. Where links are asked for, all sets of a component are compared with each other, block
    against block, by products of 0/1 matrices. No link leaves a component, so these are all.
 
-Equal sets are one node throughout. For components, thousands of near copies cost thousands of
+Candidates meet by 48-bit fingerprints of shingles, and each link that joins components is verified on the words
+of both texts, exactly. Equal sets, told by 128 bits, are one node throughout. For components, thousands of near copies cost thousands of
 pairs, not their square, and no link that could join two components is left out. Hot shingles
 are met by partial aggregation and by joins whose large side Spark can split.
 """
@@ -41,7 +42,7 @@ from pyspark.sql import types as T
 
 from lexforge.llm.components import connected_components
 from lexforge.llm.shared import settle
-from lexforge.llm.words import NON_SPACE, gram_hashes, mix, slices, spans, word_hashes
+from lexforge.llm.words import NON_SPACE, gram_hashes, mix, slices, spans, split, word_hashes
 
 #: By how much of its shingles a text's first prefix is longer than it must be, in percent.
 LONGER = 5
@@ -88,13 +89,14 @@ def _parts(batches: Iterator[pa.RecordBatch], words: int, text: str = "text") ->
             yield own, *shingle_sets(own.column(text), words)
 
 
-def _nodes(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """A 64-bit fingerprint of each row's set; rows without shingles have none to speak of."""
+def _nodes(sets: np.ndarray, first: np.ndarray, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Two fingerprints of each row's set, the first of `bits` bits, the second of 64; rows without shingles have none to speak of."""
     mixed = mix(sets.astype(np.uint64))
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
     again = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(mixed), dtype=np.uint64)])
     size = np.diff(first).astype(np.uint64)
-    return mix((total[first[1:]] - total[first[:-1]]) ^ mix(again[first[1:]] - again[first[:-1]] + size)).view(np.int64)
+    one, two = total[first[1:]] - total[first[:-1]], again[first[1:]] - again[first[:-1]] + size
+    return (mix(one ^ mix(two)) >> np.uint64(64 - bits)).view(np.int64), mix(two ^ mix(one + np.uint64(1))).view(np.int64)
 
 
 def _need(n: np.ndarray, percent: int) -> np.ndarray:
@@ -102,8 +104,8 @@ def _need(n: np.ndarray, percent: int) -> np.ndarray:
     return (percent * n + 99) // 100
 
 
-def _measure(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Per document: key, digest, node, n_shingles, matches, prefix in the order of the hashes."""
+def _measure(batches: Iterator[pa.RecordBatch], words: int, percent: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Per document: key, digest, digest_2, node, node_2, n_shingles, matches, prefix in the order of the hashes."""
     for part, sets, first in _parts(batches, words):
         n = np.diff(first)
         need = _need(n, percent)
@@ -112,9 +114,9 @@ def _measure(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Ite
         bounds = np.concatenate([[0], np.cumsum(length)])
         prefix = sets[np.repeat(first[:-1] - bounds[:-1], length) + np.arange(bounds[-1])]
         yield pa.RecordBatch.from_arrays([
-            part.column("key"), part.column("digest"), pa.array(_nodes(sets, first), mask=n == 0), pa.array(n), pa.array(matches),
+            *(part.column(c) for c in ("key", "digest", "digest_2")), *(pa.array(x, mask=n == 0) for x in _nodes(sets, first, bits)), pa.array(n), pa.array(matches),
             pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(prefix)),
-        ], names=["key", "digest", "node", "n_shingles", "matches", "prefix"])
+        ], names=["key", "digest", "digest_2", "node", "node_2", "n_shingles", "matches", "prefix"])
 
 
 def _sketches(sets: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
@@ -148,20 +150,30 @@ def chosen_matches(listed: Column, spare: Column, need: Column) -> Column:
     return F.array_min(F.filter(F.array(*(cost(k) for k in range(1, MOST_MATCHES + 1))), lambda x: x.isNotNull()))["k"]
 
 
-def _tag(batches: Iterator[pa.RecordBatch], words: int, text: str) -> Iterator[pa.RecordBatch]:
-    for part, sets, first in _parts(batches, words, text):
-        yield part.append_column("node", pa.array(_nodes(sets, first), mask=np.diff(first) == 0))
+def exact_overlap(a: pa.Array, b: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(common, united) shingles of each pair of texts. Words are numbered, and shingles as pairs of numbers, so that nothing is taken for equal that is not."""
+    n = len(a)
+    w = split(pa.concat_arrays([x.cast(pa.string()) for x in (a, b)]), NON_SPACE, fold=True)
+    at = np.flatnonzero(w.row[: max(0, len(w.row) - words + 1)] == w.row[words - 1 :])
+    few = np.flatnonzero((w.counts > 0) & (w.counts < words))
+    row, first = np.concatenate([w.row[at], few]), np.concatenate([at, w.first[few]])
+    length = np.concatenate([np.full(len(at), words), w.counts[few]])
+    ids = np.zeros(len(first), np.int64)
+    for k in range(words):
+        word = np.where(k < length, w.ids[np.minimum(first + k, max(len(w.ids) - 1, 0))].astype(np.int64) + 1, 0) if len(w.ids) else ids
+        ids = np.unique(ids * (len(w.vocabulary) + 1) + word, return_inverse=True)[1]
+    side, pair = np.divmod(row, n)
+    held = np.unique((pair * (ids.max(initial=0) + 1) + ids) * 2 + side)  # each shingle of a text once
+    both = held[:-1][(held[:-1] >> 1) == (held[1:] >> 1)] >> 1
+    common = np.bincount(both // (ids.max(initial=0) + 1), minlength=n)
+    return common, np.bincount((held >> 1) // (ids.max(initial=0) + 1), minlength=n) - common
 
 
 def _verify(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            n = part.num_rows
-            (x, fx), (y, fy) = (shingle_sets(part.column(c), words) for c in ("text_a", "text_b"))
-            tag = lambda s, f: (np.repeat(np.arange(n, dtype=np.int64), np.diff(f)) << 48) | s
-            common = np.bincount(np.intersect1d(tag(x, fx), tag(y, fy), assume_unique=True) >> 48, minlength=n)
-            union = np.diff(fx) + np.diff(fy) - common
+            common, union = exact_overlap(part.column("text_a"), part.column("text_b"), words)
             good = pa.array((100 * common >= percent * union) & (common > 0))
             yield pa.RecordBatch.from_arrays([part.column(c).filter(good) for c in ("a", "b")], names=["a", "b"])
 
@@ -206,18 +218,26 @@ def _block_links(group: pa.Table, percent: int, count: bool) -> pa.Table:
 class JaccardJoin:
     """The join of one table with itself; `run` gives a row per document, `links` one per pair of different sets."""
 
-    def __init__(self, docs: DataFrame, words: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> None:
-        self.words, self.percent, self.key = words, percent, key
-        self.docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("digest"))
+    def __init__(self, docs: DataFrame, words: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text", node_bits: int = 64) -> None:
+        """`node_bits`: bits of the first fingerprint of a set; sets that it takes for equal are told apart by the second."""
+        self.words, self.percent, self.key, self.bits = words, percent, key, node_bits
+        self.docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("digest"), F.hash(F.col(text)).alias("digest_2"))
         self.kind = self.docs.schema["key"].dataType
 
     def measure(self) -> DataFrame:
         """Every document's node, set size and first prefix."""
         schema = T.StructType([
-            T.StructField("key", self.kind), *(T.StructField(c, T.LongType()) for c in ("digest", "node", "n_shingles", "matches")),
-            T.StructField("prefix", T.ArrayType(T.LongType())),
+            T.StructField("key", self.kind), T.StructField("digest", T.LongType()), T.StructField("digest_2", T.IntegerType()),
+            *(T.StructField(c, T.LongType()) for c in ("node", "node_2", "n_shingles", "matches")), T.StructField("prefix", T.ArrayType(T.LongType())),
         ])
-        return settle(self.docs.mapInArrow(partial(_measure, words=self.words, percent=self.percent), schema), "shingle-prefixes")
+        rows = settle(self.docs.mapInArrow(partial(_measure, words=self.words, percent=self.percent, bits=self.bits), schema), "shingle-prefixes")
+        # Different sets of one first fingerprint get nodes of their own; there are hardly ever any.
+        mixed = rows.where("node is not null").groupBy("node").agg(F.min("node_2").alias("low"), F.max("node_2").alias("high")).where("low != high")
+        mixed = settle(mixed.select("node", F.lit(True).alias("mixed")), "mixed-nodes")
+        if mixed.limit(1).count():
+            apart = F.when(F.col("mixed"), F.xxhash64("node", "node_2")).otherwise(F.col("node"))
+            rows = settle(rows.join(mixed, "node", "left").withColumn("node", apart).drop("mixed"), "shingle-prefixes")
+        return rows
 
     def survivors(self, rows: DataFrame) -> DataFrame:
         """(node, n, body): nodes whose prefixes share enough with others, each with one text."""
@@ -225,10 +245,15 @@ class JaccardJoin:
         entries = rows.select("node", F.explode("prefix").alias("shingle"))
         shared = entries.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("shingle")
         hits = entries.join(shared, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("hits"))
-        nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n"), F.max("matches").alias("matches"), F.min("digest").alias("digest"))
-        left = settle(nodes.join(hits, "node").where("hits >= matches * copies").select("node", "n", "digest"), "survivors")
-        bodies = self.docs.groupBy("digest").agg(F.first("text").alias("body"))
-        return settle(bodies.join(left, "digest").select("node", "n", "body"), "bodies")
+        nodes = rows.groupBy("node").agg(
+            F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n"), F.max("matches").alias("matches"),
+            F.first("digest").alias("digest"), F.first("digest_2").alias("digest_2"),
+        )
+        left = settle(nodes.join(hits, "node").where("hits >= matches * copies").select("node", "n", "digest", "digest_2"), "survivors")
+        # The list is written, so that Spark knows whether it may be broadcast; only texts that are on it are shuffled.
+        own = self.docs.join(left.select("digest", "digest_2"), ["digest", "digest_2"], "left_semi")
+        bodies = own.groupBy("digest", "digest_2").agg(F.first("text").alias("body"))
+        return settle(bodies.join(left, ["digest", "digest_2"]).select("node", "n", "body"), "bodies")
 
     def shingles(self, bodies: DataFrame) -> DataFrame:
         return settle(bodies.select("node", F.col("body").alias("text")).mapInArrow(partial(_full, words=self.words), "node long, shingles array<long>, sketch array<long>"), "shingles")
@@ -363,13 +388,21 @@ class JaccardJoin:
         found = self.components(rows)
         placed = rows.where("node is not null").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         chosen = placed.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node")).alias("best")).select("best.key", "best.node")
+        # Rows that go are fewer than those that stay, and are told by id and two hashes of the text; the texts stay where they are unless the list is too long to be broadcast.
+        best = (placed["node"] == chosen["node"]) & placed["key"].eqNullSafe(chosen["key"])
+        gone = settle(placed.join(chosen, best, "left_anti").select("key", "digest", "digest_2").distinct(), "copies-that-go")
         own = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
-        body, key = (f"c{docs.columns.index(c)}" for c in (text, self.key))
-        schema = T.StructType([*own.schema.fields, T.StructField("node", T.LongType())])
-        tagged = own.mapInArrow(partial(_tag, words=self.words, text=body), schema).withColumn("key", F.col(key))
-        same = tagged["node"].eqNullSafe(chosen["node"]) & tagged["key"].eqNullSafe(chosen["key"])
-        kept = tagged.where("node is not null").join(chosen, same, "left_semi").dropDuplicates(["node", "key"])
-        return kept.union(tagged.where("node is null")).drop("key", "node").toDF(*docs.columns)
+        body, key = (F.col(f"c{docs.columns.index(c)}") for c in (text, self.key))
+        tagged = own.withColumns({"key": key, "digest": F.xxhash64(body), "digest_2": F.hash(body)})
+
+        def in_(x: DataFrame, other: DataFrame, how: str) -> DataFrame:
+            return x.join(other, (x["digest"] == other["digest"]) & (x["digest_2"] == other["digest_2"]) & x["key"].eqNullSafe(other["key"]), how)
+
+        kept = in_(tagged, gone, "left_anti")
+        again = settle(rows.where("node is not null").groupBy("key", "digest", "digest_2").count().where("count > 1").drop("count"), "repeated-rows")
+        if again.limit(1).count():  # rows of one id and text
+            kept = in_(kept, again, "left_anti").union(in_(kept, again, "left_semi").dropDuplicates(["key", "digest", "digest_2"]))
+        return kept.drop("key", "digest", "digest_2").toDF(*docs.columns)
 
     def run(self) -> DataFrame:
         """Per document: key, n_shingles, component_id (the smallest key that links reach)."""

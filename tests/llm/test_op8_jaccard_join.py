@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +108,43 @@ def test_all_links_inside_components(spark, monkeypatch, block):
 def test_links_of_edge_rows(docs, no_docs):
     assert sorted(r.n_links for r in J.jaccard_links(docs).collect()) == [0] * 8 + [1, 1]
     assert J.jaccard_links(no_docs).count() == 0 and J.JaccardJoin(no_docs).links().count() == 0
+
+
+def test_different_sets_of_one_fingerprint_stay_apart(spark):
+    rows = corpus(4)
+    join = J.JaccardJoin(spark.createDataFrame(rows, "doc_id long, text string"), node_bits=2)
+    assert sorted(map(tuple, join.run().collect())) == brute(rows, 4, 85)
+    sets = {key: sets_of(t, 4) for key, t in rows}
+    nodes = {}
+    for r in join.measure().where("node is not null").collect():
+        nodes.setdefault(r.node, set()).add(sets[r.key])
+    assert all(len(x) == 1 for x in nodes.values())
+
+
+def test_verification_counts_words(spark):
+    rnd = random.Random(6)
+    text = lambda: " ".join(rnd.choices("abcdé", k=rnd.randrange(12))) or None
+    a, b = [text() for _ in range(300)], [text() for _ in range(300)]
+    common, union = J.exact_overlap(pa.array(a, pa.string()), pa.array(b, pa.string()), 3)
+    for i in range(300):
+        x, y = sets_of(a[i], 3), sets_of(b[i], 3)
+        assert (common[i], union[i]) == (len(x & y), len(x | y))
+    assert [x.tolist() for x in J.exact_overlap(pa.array([None], pa.string()), pa.array([""]), 3)] == [[0], [0]]
+
+
+def test_keep_one_of_repeated_rows_and_clashing_columns(spark):
+    body = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, body), (1, body), (2, body + " end"), (1, "other words here"), (None, body), (3, None), (3, None), (4, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for c in ("digest", "digest_2", "node", "key", "component"):
+        frame = frame.withColumn(c, F.lit("mine"))
+    kept = J.JaccardJoin(frame, words=4, percent=80).keep_one(frame).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, body), (1, "other words here"), (3, None), (3, None), (4, "")], key=str)
+    assert all(r.digest == r.digest_2 == r.node == r.key == r.component == "mine" for r in kept)
+
+
+def test_long_texts(spark):
+    long = " ".join(str(i * 7919 % 100003) for i in range(300_000))
+    rows = [(1, long), (2, long + " end"), (3, "x " * 100_000), (4, "short text of five words")]
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
