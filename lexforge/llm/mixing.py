@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexforge.llm.shared import settle
+from lexforge.llm.shared import free_name, settle
 
 #: Hexadecimal digits of the order key that name a block: 65,536 blocks a leaf.
 BLOCK_DIGITS = 4
@@ -68,19 +68,22 @@ def _order(key: Column, tokens: Column, seed: int, epoch: Column) -> Column:
 
 
 def draw(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str, int]], share: float = 1.0, epochs: int = 1, seed: int = 0, key: str = "doc_id", text: str = "text", tokens: Column | None = None) -> DataFrame:
-    """Every row that the mixture takes, with its columns, `n_tokens` and `copies`.
+    """Every row that the mixture takes, with all its columns, and behind them `n_tokens` and `copies`.
 
     The total budget is `share` of all tokens. Weights are whole numbers by level and value;
     "*" is the weight of values that a level does not list (else 1). Missing values of
     a level form a branch of their own. Rows that share key and length are taken together.
     A leaf takes the shortest prefix that reaches its budget, so that it exceeds the budget
-    by less than one document's tokens. An empty table gives an empty result.
+    by less than one document's tokens. Null and empty texts have no tokens and come with the rows around them;
+    a null key is a key like others. Repeated rows are each taken; a text of any length is only counted.
+    An empty table gives an empty result. Where `docs` has a column `n_tokens` or `copies`, that stays, and the
+    new one has an underscore more behind its name.
     """
     names, own = list(levels), docs.columns
     tag = [f"_level_{i}" for i in range(len(names))]
     count = tokens if tokens is not None else count_words(F.col(text))
-    tagged = docs.select(*(F.col(f"`{c}`") for c in own), *(F.coalesce(x.cast("string"), F.lit("\x00")).alias(t) for x, t in zip(levels.values(), tag, strict=True)), count.alias("_n"))
-    slim = settle(tagged.select(F.col(f"`{key}`").alias("_key"), *tag, "_n"), "mix-rows")
+    tagged = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(own)), *(F.coalesce(x.cast("string"), F.lit("\x00")).alias(t) for x, t in zip(levels.values(), tag, strict=True)), count.alias("_n"))
+    slim = settle(tagged.select(F.col(f"c{own.index(key)}").alias("_key"), *tag, "_n"), "mix-rows")
     named = {t: weights.get(n, {}) for n, t in zip(names, tag, strict=True)}
     leaves = settle(slim.groupBy(*tag).agg(F.sum("_n").alias("tokens")), "mix-leaves")
     total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
@@ -101,7 +104,7 @@ def draw(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str
     rule = settle(plan.join(cut, tag, "left").select(*tag, "passes", "cut"), "mix-rule")
 
     taken = tagged.join(rule, tag)
-    place = _order(F.col(f"`{key}`"), F.col("_n"), seed, F.col("passes"))
+    place = _order(F.col(f"c{own.index(key)}"), F.col("_n"), seed, F.col("passes"))
     copies = F.col("passes") + F.when(F.col("cut").isNotNull() & (place <= F.col("cut")), F.lit(1)).otherwise(F.lit(0))
     taken = taken.withColumn("_copies", copies.cast("long")).where("_copies > 0")
-    return taken.select(*(F.col(f"`{c}`") for c in own if c not in ("n_tokens", "copies")), F.col("_n").alias("n_tokens"), F.col("_copies").alias("copies"))
+    return taken.select(*(F.col(f"c{i}") for i in range(len(own))), "_n", "_copies").toDF(*own, free_name("n_tokens", own), free_name("copies", own))

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Scratch folders of this process, oldest first.
+SCRATCH: list[str] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A whole input table; only Spark's readers touch the path."""
@@ -16,19 +19,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: `spark.checkpoint.dir`.
 
-    Only where a session names none (tests on one machine) is a temporary folder
-    made and set.
+    Only where a session names none and runs in one process (tests) is a temporary folder
+    made and set; a cluster has to name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lexforge-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, which `clear` removes."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    SCRATCH.append(path)
+    return path
+
+
+def clear(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch folders, all that this process has made if none is named; only when no result that reads them is needed any more."""
+    for path in paths or tuple(SCRATCH):
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        SCRATCH.remove(path)
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """`name`, with as many underscores behind it as it takes to differ from those taken."""
+    while name.lower() in {x.lower() for x in taken}:
+        name += "_"
+    return name
 
 
 def settle(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:

@@ -67,3 +67,18 @@ def test_edge_rows(docs, no_docs):
     assert M.draw(docs, levels, {"lang": {"fr": 0}}, share=1.0).where("lang = 'fr'").count() == 0
     assert M.draw(no_docs, levels, {}).count() == 0
     assert "digest" in M.draw(docs, levels, {}).columns
+
+
+def test_clashing_columns_stay_and_ties_go_together(spark):
+    rows = [(i // 2, "s", "w " * 4, -5, 99, "mine") for i in range(40)] + [(None, None, None, -5, 99, "mine"), (7, "s", "", -5, 99, "mine")]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string, n_tokens int, copies int, _n string")
+    for c in ("_key", "_copies", "_level_0", "place", "cut"):
+        frame = frame.withColumn(c, F.lit("mine"))
+    out = M.draw(frame, {"source": F.col("source")}, {}, share=0.5)
+    assert out.columns == [*frame.columns, "n_tokens_", "copies_"]
+    got = out.collect()
+    assert all((r.n_tokens, r.copies, r["_n"], r["_key"], r["_level_0"]) == (-5, 99, "mine", "mine", "mine") for r in got)
+    taken = [r.doc_id for r in got if r["n_tokens_"]]
+    assert len(taken) == 20 and all(taken.count(i) == 2 for i in taken)  # rows of one id and length
+    long = spark.createDataFrame([(1, "s", "w " * 500_000), (2, "s", "w")], "doc_id long, source string, text string")
+    assert {r.doc_id: r["n_tokens"] for r in M.draw(long, {"source": F.col("source")}, {}).collect()} == {1: 500_000, 2: 1}
