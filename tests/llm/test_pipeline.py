@@ -114,7 +114,7 @@ def test_edge_rows_of_every_stage(spark, sf, docs, no_docs):
         assert all(r[c] == f"my {c}" for r in out.collect() for c in frame.columns[4:]), name
     ids = {name: sorted((r.doc_id is None, r.doc_id) for r in out.select("doc_id").collect()) for name, out in rows.items()}
     none = (True, None)
-    assert ids["language_id"] == [(False, i) for i in (1, 1, 5, 7, 8)] + [none]
+    assert ids["language_id"] == [(False, i) for i in (1, 1, 7, 8)] + [none]  # 5 is in French, of which no row that may be learned has a word
     assert ids["ngram_jaccard_join"] == [(False, i) for i in range(1, 9)] + [none]
     assert len(ids["benchmark_decontamination"]) == len(ids["token_output"]) == 10
     assert set(ids["mixing"]) <= set(ids["token_output"])
