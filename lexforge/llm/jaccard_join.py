@@ -54,8 +54,9 @@ SKETCH_WORDS = 16
 VERIFY_COST = 16.0
 #: Remaining pairs across components for each list entry above which another pivot round is run first.
 PAIRS_PER_ENTRY = 4
-#: A component is dealt into blocks of about so many nodes, or so many shingles if these are fewer nodes.
-BLOCK_NODES, BLOCK_SHINGLES = 256, 1 << 19
+#: A component is dealt into blocks of about so many nodes, or so many shingles if these are fewer nodes. A node is sent to every pair of blocks that its own is in,
+#: so that large blocks keep the shuffle small; two of them, their products and a slice of columns are some 100 MB in a task.
+BLOCK_NODES, BLOCK_SHINGLES = 2048, 1 << 20
 #: Columns of a 0/1 matrix of a block's shingles at a time.
 COLUMNS = 1 << 12
 
@@ -192,12 +193,12 @@ def _block_links(group: pa.Table, percent: int, count: bool) -> pa.Table:
     row, ids = row[several[ids]], (np.cumsum(several) - 1)[ids[several[ids]]]
     order = np.argsort(ids, kind="stable")
     row, ids = row[order], ids[order]
-    common = np.zeros((len(first), len(second)), np.int64)
+    common = np.zeros((len(first), len(second)), np.int32)
     for low in range(0, width, COLUMNS):
         own = slice(*np.searchsorted(ids, [low, low + COLUMNS]))
         holds = np.zeros((len(n), min(COLUMNS, width - low)), np.float32)
         holds[row[own], ids[own] - low] = 1
-        common += (holds[first] @ holds[second].T).astype(np.int64)
+        common += (holds[first] @ holds[second].T).astype(np.int32)
     union = n[first][:, None] + n[second][None, :] - common
     linked = (100 * common >= percent * union) & (common > 0)
     node, inside = group.column("node").to_numpy(), len(first) > 0 and np.array_equal(first, second)
@@ -212,7 +213,7 @@ def _block_links(group: pa.Table, percent: int, count: bool) -> pa.Table:
         return pa.table({"node": node, "linked": out})
     i, j = np.nonzero(np.triu(linked) if inside else linked)
     x, y = node[first[i]], node[second[j]]
-    return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y), "common": common[i, j], "union": union[i, j]})
+    return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y), "common": common[i, j].astype(np.int64), "union": union[i, j].astype(np.int64)})
 
 
 class JaccardJoin:
