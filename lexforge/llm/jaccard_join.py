@@ -351,6 +351,8 @@ class JaccardJoin:
         held = found.join(nodes.select("node", "copies", "size"), "node")
         many = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int")
         held = held.join(held.groupBy("component").agg(many.alias("blocks")), "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        # Written without the sets, so that Spark knows whether the members may be broadcast to where the sets are.
+        held = settle(held.select("component", "blocks", "block", "node", "copies"), "members")
         each = held.join(full.select("node", "shingles"), "node").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         each = each.select("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "copies", "shingles")
         schema = "node long, linked long" if count else "a long, b long, common long, union long"
