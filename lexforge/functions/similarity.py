@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,40 @@ def ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+#: Classes of characters that are counted apart.
+CLASSES = 64
+
+
+def character_counts(texts: list[str]) -> np.ndarray:
+    """Per text, its characters of each class; a class is a remainder of the code point."""
+    out = np.zeros((len(texts), CLASSES), np.int32)
+    for i, text in enumerate(texts):
+        out[i] = np.bincount(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) % CLASSES, minlength=CLASSES)
+    return out
+
+
+def similar_pairs(a: list[str], b: list[str], cutoff: float) -> pa.Table:
+    """The pairs of two blocks of texts whose ratio is `cutoff` or more.
+
+    A common subsequence takes no more of a class than either text has, which rules out nearly
+    all pairs in numpy; only the others are compared.
+    """
+    if not a or not b:
+        return pa.table({"text": pa.array([], pa.string()), "match": pa.array([], pa.string()), "score": pa.array([], pa.float64())})
+    x, y = character_counts(a), character_counts(b)
+    used = np.flatnonzero(x.any(0) & y.any(0))
+    length_a, length_b = x.sum(1), y.sum(1)
+    x, y = x[:, used], np.ascontiguousarray(y[:, used])
+    found: list[tuple[str, str, float]] = []
+    for i, own in enumerate(x):
+        most = np.minimum(own, y).sum(1)
+        for j in np.flatnonzero(200.0 * most >= cutoff * (length_a[i] + length_b)).tolist():
+            if (score := ratio(a[i], b[j])) >= cutoff:
+                found.append((a[i], b[j], score))
+    text, match, score = zip(*found, strict=True) if found else ((), (), ())
+    return pa.table({"text": pa.array(text, pa.string()), "match": pa.array(match, pa.string()), "score": pa.array(score, pa.float64())})
+
+
 def ratio_sql(a: Column, b: Column) -> Column:
     """The same by built-in functions: one row of the table at a time. Exact, and slow for long strings."""
     x, y = (F.filter(F.split(s, ""), lambda c: c != "") for s in (a, b))
@@ -62,9 +98,3 @@ def length_bucket(length: Column, cutoff: float) -> Column:
     return F.floor(F.log(F.greatest(length, F.lit(1)).cast("double")) / F.log(F.lit(step)) + F.lit(1e-9)).cast("int")
 
 
-def may_reach(a: Column, b: Column, cutoff: float) -> Column:
-    """Bounds on lengths and on common characters; cheap, and never false for a pair that reaches the cutoff."""
-    total, none = F.length(a) + F.length(b), F.lit("")
-    short = F.least(F.length(a), F.length(b))
-    common = F.length(a) - F.length(F.call_function("translate", a, b, none))  # characters of a that b has
-    return (total == 0) | ((200.0 * short >= cutoff * total) & (200.0 * common >= cutoff * total))

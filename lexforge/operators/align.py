@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexforge.functions.similarity import length_bucket, may_reach, ratio_udf
+from lexforge.functions.similarity import length_bucket, similar_pairs
 from lexforge.functions.text import joined, pick
 
 
+#: Texts of a block; two blocks are compared in a task.
+BLOCK = 1024
+
+
 def first_per(df: DataFrame, *keys: str, order: str = "row_idx") -> DataFrame:
     """The first row of each key."""
     return df.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(order))).where("_n = 1").drop("_n")
@@ -55,13 +60,25 @@ def similarity_join(left: DataFrame, right: DataFrame, cutoff: float) -> DataFra
     """Pairs of `left` (id, text) and `right` (text) with a ratio of `cutoff` or more, as (id, text, match, score).
 
     Texts meet only in equal or neighbouring length buckets, which loses no pair; equal
-    texts of one side are scored once.
+    texts of one side are scored once. A bucket is dealt into blocks, and each pair of blocks is a group of its own of at
+    most some `BLOCK` by `BLOCK` texts, so that a bucket that holds most texts is worked on by as many tasks as it has pairs of blocks.
     """
     a = left.select(F.col("text").alias("text")).distinct().withColumn("bucket", length_bucket(F.length("text"), cutoff))
-    b = right.select(F.col("text").alias("match")).distinct()
-    b = b.withColumn("bucket", F.explode(F.array(*(length_bucket(F.length("match"), cutoff) + d for d in (-1, 0, 1)))))
-    pairs = a.join(b, "bucket").where(may_reach(F.col("text"), F.col("match"), cutoff))
-    scored = pairs.select("text", "match", ratio_udf("text", "match").alias("score")).where(F.col("score") >= cutoff)
+    b = right.select(F.col("text").alias("text")).distinct()
+    b = b.withColumn("bucket", F.explode(F.array(*(length_bucket(F.length("text"), cutoff) + d for d in (-1, 0, 1)))))
+    blocks = lambda x, name: x.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
+    # Buckets grow by half, so there are fewer than a hundred.
+    plan = F.broadcast(blocks(a, "of_a").join(blocks(b, "of_b"), "bucket"))
+
+    def dealt(x: DataFrame, own: str, other: str, own_blocks: str, other_blocks: str) -> DataFrame:
+        x = x.join(plan, "bucket").withColumn(own, F.pmod(F.xxhash64("text"), F.col(own_blocks)).cast("int"))
+        return x.select("bucket", own, F.explode(F.sequence(F.lit(0), F.col(other_blocks) - 1)).alias(other), "text").groupBy("bucket", "a", "b")
+
+    def compare(x: pa.Table, y: pa.Table) -> pa.Table:
+        return similar_pairs(x.column("text").to_pylist(), y.column("text").to_pylist(), cutoff)
+
+    one, two = dealt(a, "a", "b", "of_a", "of_b"), dealt(b, "b", "a", "of_b", "of_a")
+    scored = one.cogroup(two).applyInArrow(compare, "text string, match string, score double")
     return left.join(scored, "text")
 
 

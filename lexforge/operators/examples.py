@@ -29,10 +29,17 @@ def tokenized(pairs: DataFrame) -> DataFrame:
 
 
 def enrich(aligned: DataFrame, examples: DataFrame) -> DataFrame:
-    """Adds `examples`: in order, the pairs with the Spanish word on one side and the Hebrew one on the other."""
-    words = examples.select("row_idx", "es", "he", "he_words", F.explode(F.array_distinct("es_words")).alias("es_word"))
+    """Adds `examples`: in order, the pairs with the Spanish word on one side and the Hebrew one on the other.
+
+    Words meet in tables of row numbers; the texts are fetched for the rows that were hit, so that no
+    text is copied for each of its words. Rows of one number (a sentence with several links) are told apart by their words.
+    """
     keys = aligned.select("es_word", "he_word").distinct()
-    hits = keys.join(words, "es_word").where(F.array_contains("he_words", F.col("he_word")))
+    es = examples.select("row_idx", F.explode(F.array_distinct("es_words")).alias("es_word")).distinct()
+    he = examples.select("row_idx", F.explode(F.array_distinct("he_words")).alias("he_word")).distinct()
+    rows = keys.join(es, "es_word").join(he, ["row_idx", "he_word"])
+    both = F.array_contains("es_words", F.col("es_word")) & F.array_contains("he_words", F.col("he_word"))
+    hits = rows.join(examples.select("row_idx", "es", "he", "es_words", "he_words"), "row_idx").where(both)
     lists = hits.groupBy("es_word", "he_word").agg(F.array_sort(F.collect_list(F.struct("row_idx", "es", "he"))).alias("found"))
     found = F.transform("found", lambda x: F.struct(x["es"].alias("es"), x["he"].alias("he")))
     none = F.expr("cast(array() as array<struct<es:string,he:string>>)")
