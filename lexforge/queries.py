@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from lexforge.functions import ipa as ipa_functions
 from lexforge.functions import similarity, text
-from lexforge.operators import align, clean, examples, monitor, quality, senses, stats
+from lexforge.operators import align, clean, examples, monitor, parse, quality, senses, stats
+from lexforge.sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,6 +118,64 @@ def frequency_rank(spark, sf):
     return clean.dense_rank_desc(rows, "frequency_score", "frequency_rank")
 
 
+# JSON lines and what is parsed out of them: a part is a record, with parts of it missing or broken as its own columns have it
+
+
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    """(row_idx, value): a line for each part. Lines of the largest sizes lack their end, and those of size 1 are blank."""
+    part = table(spark, sf, "part")
+    sound = lambda key, value: F.create_map(F.lit(key), value)
+    kind, size = F.col("p_type"), F.col("p_size")
+    gloss = lambda *x: F.struct(F.array(*x).cast("array<string>").alias("glosses"))
+    word = lambda language, x: F.struct(F.lit(language).alias("lang_code"), F.lit(language).alias("code"), x.alias("word"))
+    record = F.struct(
+        F.when(size != 2, F.col("p_name")).otherwise("").alias("word"), F.when(kind != "ECONOMY", kind).alias("pos"),
+        F.when(size <= 20, "es").when(size <= 40, "he").otherwise("fr").alias("lang_code"),
+        F.when(size % 4 == 0, F.array(sound("audio", kind), sound("ipa", F.col("p_name")), sound("ipa", kind))).when(size % 4 == 1, F.array(sound("audio", kind))).otherwise(F.array().cast("array<map<string,string>>")).alias("sounds"),
+        F.when(size % 3 == 0, F.array(gloss(), gloss(kind, F.col("p_name")), gloss(F.col("p_brand")))).when(size % 3 == 1, F.array(gloss())).alias("senses"),
+        F.when(size % 5 > 0, F.array(*(word(x, F.col(c)) for x, c in (("he", "p_brand"), ("en", "p_name"), ("he", "p_type"), ("he", "p_brand"), ("es", "p_name"))), word("he", F.lit("")))).alias("translations"),
+    )
+    text = F.to_json(record, {"ignoreNullFields": "false"})
+    lines = part.select(F.col("p_partkey").alias("row_idx"), size.alias("size"), text.alias("text"))
+    cut = F.substring(F.col("text"), F.lit(1), F.length("text") - 2)
+    return lines.select("row_idx", F.when(F.col("size") == 1, "  ").when(F.col("size") >= 48, cut).otherwise(F.col("text")).alias("value"))
+
+
+PARSED_SQL = """
+WITH r AS (
+  SELECT p_partkey AS row_idx, p_size AS s, CASE WHEN p_size != 2 THEN p_name ELSE '' END AS word, CASE WHEN p_type != 'ECONOMY' THEN p_type ELSE 'unknown' END AS pos,
+    CASE WHEN p_size <= 20 THEN 'es' WHEN p_size <= 40 THEN 'he' ELSE 'fr' END AS lang, CASE WHEN p_size % 4 = 0 THEN p_name ELSE '' END AS ipa,
+    CASE WHEN p_size % 3 = 0 THEN p_type || '|' || p_brand ELSE CASE WHEN p_size != 2 THEN p_name ELSE '' END END AS definitions,
+    CASE WHEN p_size % 5 > 0 THEN p_brand || '|' || p_type ELSE '' END AS he, CASE WHEN p_size % 5 > 0 THEN p_name ELSE '' END AS en, CASE WHEN p_size % 5 > 0 THEN p_name ELSE '' END AS es
+  FROM part WHERE p_size != 1 AND p_size < 48
+)"""
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    lists = [c for c, kind in df.dtypes if kind.startswith("array")]
+    return df.select(*(F.array_join(c, "|").alias(c) if c in lists else F.col(c) for c in df.columns))
+
+
+@query(PARSED_SQL + " SELECT row_idx, word, pos, ipa, definitions, en AS translations_en, '' AS translations_fr, '' AS translations_de, he AS translations_he FROM r WHERE lang = 'es' AND word != ''")
+def parse_spanish(spark, sf):
+    return _flat(parse.spanish_entries(readers.parse_json_lines(_lines(spark, sf))))
+
+
+@query(PARSED_SQL + " SELECT row_idx, word, pos, ipa, definitions, en AS translations_en, '' AS translations_fr, '' AS translations_de, es AS translations_es FROM r WHERE lang = 'he' AND word != ''")
+def parse_hebrew(spark, sf):
+    return _flat(parse.hebrew_entries(readers.parse_json_lines(_lines(spark, sf))))
+
+
+@query(PARSED_SQL + " SELECT row_idx, lang AS source_lang, word, pos, ipa, definitions, es AS translations_es, he AS translations_he FROM r WHERE lang IN ('es', 'he') AND s % 5 > 0 AND word != ''")
+def parse_bridge(spark, sf):
+    return _flat(parse.bridge_entries(readers.parse_json_lines(_lines(spark, sf))))
+
+
+@query("SELECT p_partkey AS row_idx FROM part WHERE p_size >= 48")
+def malformed_json_lines(spark, sf):
+    return readers.malformed_lines(_lines(spark, sf)).select("row_idx")
+
+
 # Tokens and pairs
 
 
@@ -156,7 +215,7 @@ def _targets(spark: SparkSession, sf: str) -> DataFrame:
 
 DIRECT_SQL = """
 e AS (SELECT p_brand, p_type, min(p_partkey) AS row_idx, list(p_name ORDER BY p_partkey) AS names FROM part GROUP BY p_brand, p_type),
-h AS (SELECT p_name AS he_word, arg_min(p_type, p_partkey) AS he_definition FROM part WHERE p_size <= 40 GROUP BY p_name),
+h AS (SELECT p_name AS he_word, arg_min(p_type, p_partkey) AS he_definition FROM part GROUP BY p_name),
 x AS (SELECT p_brand, p_type, row_idx, unnest(names) AS he_word, generate_subscripts(names, 1) AS sense_id FROM e)
 """
 
@@ -164,7 +223,7 @@ x AS (SELECT p_brand, p_type, row_idx, unnest(names) AS he_word, generate_subscr
 @query(f"""
 WITH {DIRECT_SQL} SELECT row_idx, p_brand AS es_word, p_type AS es_definition, he_word, he_definition, CAST(sense_id AS INT) AS sense_id, 'direct' AS match_type FROM x JOIN h USING (he_word)""")
 def align_direct(spark, sf):
-    part = table(spark, sf, "part").where("p_size <= 40")
+    part = table(spark, sf, "part")
     he = part.select(F.col("p_partkey").alias("row_idx"), F.col("p_name").alias("word"), F.lit("").alias("ipa"), F.array("p_type").alias("definitions"))
     out = align.align_direct(_entries(spark, sf), he)
     return out.select(F.col("ord.a").alias("row_idx"), "es_word", "es_definition", "he_word", "he_definition", "sense_id", "match_type")
@@ -181,7 +240,7 @@ WITH b AS (
   SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS parts FROM lineitem GROUP BY l_orderkey
 ), first_order AS (SELECT o_custkey, min(o_orderkey) AS l_orderkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM b) GROUP BY o_custkey),
 x AS (SELECT o_custkey, unnest(parts) AS p, generate_subscripts(parts, 1) AS i FROM first_order JOIN b USING (l_orderkey)),
-h AS (SELECT p_partkey AS p, p_name FROM part WHERE p_size <= 25)
+h AS (SELECT p_partkey AS p, p_name FROM part)
 SELECT CAST(o_custkey AS VARCHAR) AS es_word, CAST(arg_min(p, i) AS VARCHAR) AS he_word, arg_min(p_name, i) AS he_definition, 'triangulation' AS match_type FROM x JOIN h USING (p) GROUP BY o_custkey""")
 def align_bridge(spark, sf):
     items = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("x"))
@@ -189,24 +248,10 @@ def align_bridge(spark, sf):
     orders = table(spark, sf, "orders").select("o_custkey", F.col("o_orderkey").alias("l_orderkey"))
     bridge = orders.join(lists, "l_orderkey").select(F.col("l_orderkey").alias("row_idx"), F.lit("es").alias("source_lang"), F.col("o_custkey").cast("string").alias("word"), "translations_he")
     es = table(spark, sf, "customer").select(F.col("c_custkey").alias("row_idx"), F.col("c_custkey").cast("string").alias("word"), F.lit("").alias("ipa"), F.lit("").alias("pos"), F.array("c_name").alias("definitions"), F.array().cast("array<string>").alias("translations_he"))
-    he = table(spark, sf, "part").where("p_size <= 25").select(F.col("p_partkey").alias("row_idx"), F.col("p_partkey").cast("string").alias("word"), F.lit("").alias("ipa"), F.array("p_name").alias("definitions"))
+    he = table(spark, sf, "part").select(F.col("p_partkey").alias("row_idx"), F.col("p_partkey").cast("string").alias("word"), F.lit("").alias("ipa"), F.array("p_name").alias("definitions"))
     return align.align_bridge(es, he, bridge).select("es_word", "he_word", "he_definition", "match_type")
 
 
-FUZZY_SQL = f"""
-pairs AS (SELECT a.n_name AS x, b.n_name AS y, a.n_nationkey AS i, b.n_nationkey AS j FROM nation a JOIN nation b ON a.n_nationkey != b.n_nationkey AND b.n_nationkey >= 5 AND a.n_nationkey < 5),
-uniq AS (SELECT DISTINCT x, y FROM pairs), {lcs_sql('uniq')}
-"""
-
-
-@query(f"""
-WITH RECURSIVE {FUZZY_SQL}
-SELECT x AS es_word, arg_min(y, (-score, j)) AS he_word, max(score) AS score, max(score) / 100 AS confidence FROM pairs JOIN scored USING (x, y) WHERE score >= 80 GROUP BY x""")
-def align_fuzzy(spark, sf):
-    nation = _nations(spark, sf)
-    return _fuzzy_columns(align.align_fuzzy(nation.where("row_idx < 5"), nation.where("row_idx >= 5")))
-
-
 def _nations(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("row_idx"), F.col("n_name").alias("word"), F.lit("").alias("ipa"), F.lit("").alias("pos"), F.array("n_name").alias("definitions"), F.array().cast("array<string>").alias("translations_he"))
 
@@ -219,8 +264,8 @@ def _fuzzy_columns(out: DataFrame) -> DataFrame:
 WITH RECURSIVE pairs AS (SELECT a.n_name AS x, b.n_name AS y, a.n_nationkey AS i, b.n_nationkey AS j FROM nation a JOIN nation b ON a.n_nationkey != b.n_nationkey),
 uniq AS (SELECT DISTINCT x, y FROM pairs), {lcs_sql('uniq')}
 SELECT x AS es_word, arg_min(y, (-score, j)) AS he_word, max(score) AS score, max(score) / 100 AS confidence FROM pairs JOIN scored USING (x, y) WHERE score >= 80 GROUP BY i, x""")
-def align_fuzzy_all(spark, sf):
-    """Every nation against all others; the SQL of `align_fuzzy` has the first five against the rest."""
+def align_fuzzy(spark, sf):
+    """Every nation against all others."""
     return _fuzzy_columns(align.align_fuzzy(_nations(spark, sf), _nations(spark, sf), apart=True))
 
 
@@ -274,35 +319,25 @@ def align_cascade(spark, sf):
 
 
 @query(f"""
-WITH b AS (SELECT DISTINCT unnest({ES_TOKENS}) AS es_word FROM benchmark WHERE item_id < 10),
-t AS (SELECT doc_id, {ES_TOKENS} AS w, {HE_TOKENS} AS h FROM documents WHERE lang = 'en'),
-d AS (SELECT DISTINCT doc_id, unnest(w) AS es_word, h FROM t)
+WITH b AS (SELECT DISTINCT unnest({ES_TOKENS}) AS es_word FROM benchmark),
+t AS (SELECT doc_id, {ES_TOKENS} AS w, {HE_TOKENS} AS h FROM documents),
+d AS (SELECT DISTINCT doc_id, unnest(w) AS es_word FROM t),
+o AS (SELECT DISTINCT doc_id, unnest(h) AS es_word FROM t)
 SELECT b.es_word, count(doc_id) AS n_examples, coalesce(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id), '') AS ids
-FROM b LEFT JOIN (SELECT * FROM d WHERE list_contains(h, es_word)) d USING (es_word) GROUP BY b.es_word""")
+FROM b LEFT JOIN (SELECT doc_id, es_word FROM d JOIN o USING (doc_id, es_word)) d USING (es_word) GROUP BY b.es_word""")
 def enrich_examples(spark, sf):
-    return _examples_of(spark, sf, table(spark, sf, "benchmark").where("item_id < 10"))
+    """Words of the whole benchmark table in all documents."""
+    return _examples_of(spark, sf, table(spark, sf, "benchmark"))
 
 
 def _examples_of(spark: SparkSession, sf: str, items: DataFrame) -> DataFrame:
     words = items.select(F.explode(text.tokenize_spanish(F.col("text"))).alias("es_word")).distinct()
-    docs = table(spark, sf, "documents").where("lang = 'en'")
+    docs = table(spark, sf, "documents")
     pairs = docs.select(F.col("doc_id").alias("row_idx"), F.col("doc_id").cast("string").alias("es"), F.lit("").alias("he"), text.tokenize_spanish(F.col("text")).alias("es_words"), text.tokenize_hebrew(F.col("text")).alias("he_words"))
     out = examples.enrich(words.withColumn("he_word", F.col("es_word")), pairs)
     return out.select("es_word", F.size("examples").cast("long").alias("n_examples"), F.array_join(F.transform("examples", lambda e: e["es"]), ",").alias("ids"))
 
 
-@query(f"""
-WITH b AS (SELECT DISTINCT unnest({ES_TOKENS}) AS es_word FROM benchmark),
-t AS (SELECT doc_id, {ES_TOKENS} AS w, {HE_TOKENS} AS h FROM documents WHERE lang = 'en'),
-d AS (SELECT DISTINCT doc_id, unnest(w) AS es_word FROM t),
-o AS (SELECT DISTINCT doc_id, unnest(h) AS es_word FROM t)
-SELECT b.es_word, count(doc_id) AS n_examples, coalesce(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id), '') AS ids
-FROM b LEFT JOIN (SELECT doc_id, es_word FROM d JOIN o USING (doc_id, es_word)) d USING (es_word) GROUP BY b.es_word""")
-def enrich_examples_all(spark, sf):
-    """Words of the whole benchmark table; the SQL of `enrich_examples` takes ten of its items."""
-    return _examples_of(spark, sf, table(spark, sf, "benchmark"))
-
-
 def _cluster_sql(group: str, largest: int) -> str:
     return f"""
 WITH RECURSIVE p AS (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY p_partkey) AS k, count(*) OVER (PARTITION BY {group}) AS n FROM part),
@@ -606,10 +641,10 @@ def example_checks(spark, sf):
 
 @query("""
 WITH j AS (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
-SELECT 'language' AS check, 0 AS bad, count(DISTINCT o_custkey) AS total FROM j UNION ALL SELECT 'no_senses', 0, count(DISTINCT o_custkey) FROM j
+SELECT c AS check, 0 AS bad, count(DISTINCT o_custkey) AS total FROM j, (SELECT unnest(['missing_id_or_entry', 'missing_word', 'language', 'no_senses', 'missing_sense_id', 'missing_hebrew']) AS c) GROUP BY c
 UNION ALL SELECT 'senses_without_ipa', count(*) FILTER (l_linestatus != 'F'), count(*) FROM j""")
 def document_checks(spark, sf):
-    return quality.document_checks(_documents(spark, sf)).where(F.col("check").isin("language", "no_senses", "senses_without_ipa")).select("check", "bad", "total")
+    return quality.document_checks(_documents(spark, sf)).select("check", "bad", "total")
 
 
 def _report(spark: SparkSession, sf: str) -> DataFrame:
@@ -681,6 +716,7 @@ def metrics_counter(spark, sf):
 
 @query("""SELECT DISTINCT event_type AS name, event_type || '{user="' || CAST(user_id AS VARCHAR) || '"}' AS head FROM events""")
 def metrics_exposition(spark, sf):
+    """The name and labels of each line; its value is held against SQL by `metrics_latest`."""
     return monitor.prometheus_lines(_samples(spark, sf)).select("name", F.substring_index("line", " ", 1).alias("head"))
 
 
@@ -704,9 +740,9 @@ def best_worst(spark, sf):
 @query("""
 WITH n AS (SELECT DISTINCT p_name FROM part), p AS (
   SELECT CAST(len(list_filter(string_split(a.p_name, ''), lambda c: contains(b.p_name, c))) AS DOUBLE) / greatest(length(a.p_name), length(b.p_name)) AS s FROM n a, n b)
-SELECT count(*) AS pairs, count(*) FILTER (s = 1) AS exact, count(*) FILTER (s >= 0.7) AS high, count(*) FILTER (s < 0.3) AS low FROM p""")
+SELECT count(*) AS pairs, round(avg(s), 9) AS mean, count(*) FILTER (s = 1) AS exact, count(*) FILTER (s >= 0.7) AS high, count(*) FILTER (s < 0.3) AS low FROM p""")
 def similarity_summary(spark, sf):
-    return stats.similarity_summary(ipa_overlap(spark, sf)).drop("mean")
+    return stats.similarity_summary(ipa_overlap(spark, sf)).withColumn("mean", F.round("mean", 9))
 
 
 @query("""SELECT count(*) AS words, count(*) FILTER (m > 1) AS clustered_words FROM (SELECT p_name, max(l) AS m FROM (SELECT p_name, dense_rank() OVER (PARTITION BY p_name ORDER BY p_size) AS l FROM part) GROUP BY p_name)""")
