@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexforge.llm.components import connected_components
-from lexforge.llm.shared import settle
+from lexforge.llm.shared import may_match, settle
 from lexforge.llm.words import NON_SPACE, gram_hashes, mix, slices, spans, split, word_hashes
 
 #: By how much of its shingles a text's first prefix is longer than it must be, in percent.
@@ -251,8 +251,9 @@ class JaccardJoin:
             F.first("digest").alias("digest"), F.first("digest_2").alias("digest_2"),
         )
         left = settle(nodes.join(hits, "node").where("hits >= matches * copies").select("node", "n", "digest", "digest_2"), "survivors")
-        # The list is written, so that Spark knows whether it may be broadcast; only texts that are on it are shuffled.
-        own = self.docs.join(left.select("digest", "digest_2"), ["digest", "digest_2"], "left_semi")
+        # The list grows with the documents; a bitmap of it, of fixed size, keeps nearly all texts that are not on it out of the shuffle.
+        near = may_match(self.docs, left, ["digest", "digest_2"], "may_be").where("may_be").drop("may_be")
+        own = near.join(left.select("digest", "digest_2"), ["digest", "digest_2"], "left_semi")
         bodies = own.groupBy("digest", "digest_2").agg(F.first("text").alias("body"))
         return settle(bodies.join(left, ["digest", "digest_2"]).select("node", "n", "body"), "bodies")
 

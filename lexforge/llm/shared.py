@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+#: Bits of a filter by `may_match`, 8 MB however long the list is.
+FILTER_BITS = 1 << 26
 #: Scratch folders of this process, oldest first.
 SCRATCH: list[str] = []
 
@@ -65,3 +68,23 @@ def settle(df: DataFrame, label: str, partition_by: str | None = None) -> DataFr
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def may_match(rows: DataFrame, listed: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """`rows` and a boolean `name`, which is true wherever `listed` has a row of the same hash of `columns`.
+
+    `rows` has no columns _at, _bucket or _bits. It may be true for others too, so that a join has to follow, but that join need not shuffle the
+    rows where it is false. The list is a bitmap of FILTER_BITS, which is all that is broadcast: with a
+    list of n the share of others that are true is about n / FILTER_BITS, and beyond it, nearly all.
+    """
+
+    def place(of: DataFrame) -> Column:
+        return F.pmod(F.xxhash64(*(of[c] for c in columns)), F.lit(FILTER_BITS)) + 1
+
+    bits = listed.select(place(listed).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_bits"))
+    own = rows.select("*", place(rows).alias("_at"))
+    met = own.join(F.broadcast(bits), F.bitmap_bucket_number("_at") == F.col("_bucket"), "left")
+    place_in = F.bitmap_bit_position("_at")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(place_in / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.floor(byte / F.pow(F.lit(2), place_in % 8)).cast("int") % 2
+    return met.select(*(rows[c] for c in rows.columns), F.coalesce(bit == 1, F.lit(False)).alias(name))
