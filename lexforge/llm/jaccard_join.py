@@ -392,7 +392,7 @@ class JaccardJoin:
         found = self.components(rows)
         placed = rows.where("node is not null").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         chosen = placed.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node")).alias("best")).select("best.key", "best.node")
-        # Rows that go are fewer than those that stay, and are told by id and two hashes of the text; the texts stay where they are unless the list is too long to be broadcast.
+        # Rows that go are fewer than those that stay, and are told by id and two hashes of the text.
         best = (placed["node"] == chosen["node"]) & placed["key"].eqNullSafe(chosen["key"])
         gone = settle(placed.join(chosen, best, "left_anti").select("key", "digest", "digest_2").distinct(), "copies-that-go")
         own = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
@@ -402,7 +402,9 @@ class JaccardJoin:
         def in_(x: DataFrame, other: DataFrame, how: str) -> DataFrame:
             return x.join(other, (x["digest"] == other["digest"]) & (x["digest_2"] == other["digest_2"]) & x["key"].eqNullSafe(other["key"]), how)
 
-        kept = in_(tagged, gone, "left_anti")
+        # The list of those that go grows with the documents; only rows that its bitmap does not clear have to meet it.
+        marked = may_match(tagged, gone, ["digest", "digest_2"], "may_be")
+        kept = marked.where("not may_be").union(in_(marked.where("may_be"), gone, "left_anti")).drop("may_be")
         again = settle(rows.where("node is not null").groupBy("key", "digest", "digest_2").count().where("count > 1").drop("count"), "repeated-rows")
         if again.limit(1).count():  # rows of one id and text
             kept = in_(kept, again, "left_anti").union(in_(kept, again, "left_semi").dropDuplicates(["key", "digest", "digest_2"]))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexforge.llm import jaccard_join as J
 from lexforge.llm.components import connected_components
+from lexforge.llm.shared import may_match
 
 
 def sets_of(text, n):
@@ -148,3 +149,15 @@ def test_long_texts(spark):
     rows = [(1, long), (2, long + " end"), (3, "x " * 100_000), (4, "short text of five words")]
     got = {r.doc_id: r.component_id for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_bitmap_misses_no_listed_row(spark):
+    rows = spark.range(5000).select(F.xxhash64("id").alias("digest"), F.hash("id").alias("digest_2"), F.col("id").alias("key"))
+    listed = rows.where("key % 7 = 3").select("digest_2", "digest")
+    marked = may_match(rows, listed, ["digest", "digest_2"], "may_be")
+    assert marked.columns == ["digest", "digest_2", "key", "may_be"] and marked.count() == 5000
+    found = {r["key"] for r in marked.where("may_be").collect()}
+    assert found >= {k for k in range(5000) if k % 7 == 3} and len(found) < 800  # 714 are listed
+    assert not may_match(rows, listed.where("false"), ["digest", "digest_2"], "may_be").where("may_be").count()
+    nulls = spark.createDataFrame([(None, 1), (None, None), (5, 1)], "digest long, digest_2 int")
+    assert may_match(nulls, nulls, ["digest", "digest_2"], "may_be").where("may_be").count() == 3
