@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import chat, decontamination, jaccard_join, language_id, licenses, mixing, repetition, secrets, sharding, token_files
+from lexforge.llm import chat, decontamination, jaccard_join, language_id, licenses, mixing, periodic_runs, repetition, secrets, sharding, token_files, whitening
 from lexforge.llm.catalog_values import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS
 from lexforge.llm.oracles import oracle_sql  # noqa: F401
 from lexforge.llm.shared import table
@@ -75,8 +75,18 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.tokens_roundtrip(table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json"), eos=2)
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(rows, whitening.fit(rows, components=4))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", periodic_runs.plant_period(F.col("text"), F.col("doc_id")).alias("text"))
+    return periodic_runs.periodic_runs(docs, keep_text=False).drop("collapsed")
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_ppm_language_id, op2_reply_trees, op3_repetition_rules, op4_entropy_secrets, op5_benchmark_decontamination, op6_lpt_sharding, op7_license_digests, op8_adaptive_jaccard_join,
-        op9_token_files, op10_hierarchical_mix,
+        op9_token_files, op10_hierarchical_mix, op12_embedding_whitening, op13_periodic_runs,
     )}
