@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import chat, decontamination, jaccard_join, language_id, licenses, mixing, periodic_runs, repetition, secrets, sharding, token_files, whitening
-from lexforge.llm.catalog_values import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS
+from lexforge.llm import chat, decontamination, jaccard_join, language_id, licenses, mixing, periodic_runs, repetition, secrets, sharding, token_files, url_filter, whitening
+from lexforge.llm.catalog_values import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, URL_PATTERNS, URL_RULES
 from lexforge.llm.oracles import oracle_sql  # noqa: F401
 from lexforge.llm.shared import table
 
@@ -75,6 +75,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.tokens_roundtrip(table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json"), eos=2)
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    index = url_filter.build_index(url_filter.rules_of(spark, URL_RULES, URL_PATTERNS), pages)
+    return url_filter.judge(pages, index).select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return whitening.whiten(rows, whitening.fit(rows, components=4))
@@ -88,5 +94,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_ppm_language_id, op2_reply_trees, op3_repetition_rules, op4_entropy_secrets, op5_benchmark_decontamination, op6_lpt_sharding, op7_license_digests, op8_adaptive_jaccard_join,
-        op9_token_files, op10_hierarchical_mix, op12_embedding_whitening, op13_periodic_runs,
+        op9_token_files, op10_hierarchical_mix, op11_url_filter, op12_embedding_whitening, op13_periodic_runs,
     )}

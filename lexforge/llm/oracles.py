@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexforge.llm.catalog_values import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS
+from lexforge.llm.catalog_values import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, URL_RULES
 from lexforge.llm.licenses import SPELLINGS, TEXTS, known_texts
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -123,7 +123,32 @@ FROM cum WHERE passes > 0 OR (need > 0 AND before < need)
 """
 
 
+#: What the patterns of the query say, written out as conditions; the longest first.
+PATTERN_SQL = (
+    ("/affiliate/terms.html|", "allow", "ends_with(address, '/affiliate/terms.html')"), ("/banners/*/click^", "block", r"regexp_matches(address, '(?s)/banners/.*/click([^0-9a-z_.%-]|\z)')"),
+    ("||cheap-pills.", "block", "contains('.' || host, '.cheap-pills.')"), ("||ads-track.", "block", "contains('.' || host, '.ads-track.')"),
+    ("||spam-farm.", "block", "contains('.' || host, '.spam-farm.')"), ("/affiliate^", "block", r"regexp_matches(address, '/affiliate([^0-9a-z_.%-]|\z)')"), ("||adserver.", "block", "contains('.' || host, '.adserver.')"),
+    ("/sponsored/", "block", "contains(address, '/sponsored/')"), ("||tracker.", "block", "contains('.' || host, '.tracker.')"), ("||casino.", "block", "contains('.' || host, '.casino.')"), ("||ads.", "block", "contains('.' || host, '.ads.')"),
+)
+
+
+def op11() -> str:
+    """The rules as a list of cases, the longest first."""
+    fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+    rules = sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
+    rule = " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for _, h, p in rules)
+    verdict = " ".join(f"WHEN '{h}{p}' THEN '{v}'" for v, h, p in rules)
+    parts = r"'(?s)^.*?://([^/?#]*)([^?#]*)(.*)'"
+    return f"""
+WITH u AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, {parts}, 1), ''), '{UPPER}', '{LOWER}') AS host, coalesce(regexp_extract(url, {parts}, 2), '') AS path,
+    coalesce(regexp_extract(url, {parts}, 3), '') AS rest FROM pages
+), r AS (SELECT *, CASE {rule} END AS rule, translate(host || path || rest, '{UPPER}', '{LOWER}') AS address FROM u),
+p AS (SELECT *, CASE WHEN rule IS NULL THEN CASE {" ".join(f"WHEN {sql} THEN '{name}'" for name, _, sql in PATTERN_SQL)} END END AS pattern FROM r)
+SELECT page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN CASE rule {verdict} END WHEN pattern IS NOT NULL THEN CASE pattern {" ".join(f"WHEN '{name}' THEN '{v}'" for name, v, _ in PATTERN_SQL)} END ELSE 'allow' END AS verdict, pattern FROM p"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
-        "op2_reply_trees": OP2, "op5_benchmark_decontamination": OP5, "op7_license_digests": op7(), "op10_hierarchical_mix": op10(),
+        "op2_reply_trees": OP2, "op5_benchmark_decontamination": OP5, "op7_license_digests": op7(), "op10_hierarchical_mix": op10(), "op11_url_filter": op11(),
     }
