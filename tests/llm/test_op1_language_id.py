@@ -114,3 +114,53 @@ def test_the_sample_is_bounded(spark):
         L.ContextTrees.fit = fit
     assert all(0 < len(own) <= 50 and sum(map(len, own)) <= 3000 for own in seen.values())
     assert zlib.crc32(b"9998") % 4 != 2 and set(seen) == {"x", "y", "long"} and sum(map(len, seen["long"])) == 3000
+
+
+def test_both_forms_of_a_tree_give_equal_costs():
+    """Also for bytes and contexts that the sample lacks, at every order."""
+    rnd = random.Random(6)
+    for order, letters in ((0, b"abc"), (1, b"ab"), (2, bytes(range(256))), (3, b"abcdefgh ")):
+        own = L.Contexts([bytes(rnd.choices(letters, k=rnd.randrange(1, 400))) for _ in range(4)], order)
+        table, sparse = L.ContextTree(own), L.SparseTree(own)
+        text = bytes(rnd.choices(letters + b"\x00xyz\xff", k=3000))
+        history = np.frombuffer(b"\x00" * order + text, np.uint8)
+        for starts in (np.array([order]), np.array([order, order + 1, order + 700, order + 2999])):
+            assert np.array_equal(table.costs(history, starts), sparse.costs(history, starts)), order
+
+
+def test_noisy_labels_give_a_result(spark, monkeypatch):
+    """200 labels of random bytes, whose tables would take far more than one broadcast may: trees come group by group, and nothing raises."""
+    rnd = random.Random(7)
+    samples = {f"l{i:03}": [rnd.randbytes(3000)] for i in range(200)} | {"en": [b"the cat sat on the mat and the dog sat on the log "] * 20}
+    trees = L.ContextTrees.fit(samples)
+    assert L.Contexts(samples["l000"], 3).table_bytes * 200 > 10 * L.MODEL_BYTES
+    texts = ["the dog sat on the mat", "Ж" * 30, None, "1 2"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {r.doc_id: tuple(r) for r in L.identify(frame, trees).collect()}
+    assert want[0][1] == "en" and want[2][1] == want[3][1] == "und"
+    monkeypatch.setattr(L, "MODEL_BYTES", 1)
+    monkeypatch.setattr(L, "GROUP_BYTES", 5 << 20)
+    shared = trees.share(spark)
+    assert len(shared.groups) > 2 and not shared.whole
+    assert {r.doc_id: tuple(r) for r in L.identify(frame, trees).collect()} == want
+    assert [r.doc_id for r in L.accept(frame, trees, lang=None).collect()] == [r.doc_id for r in L.accept(frame.withColumn("lang", frame.text), trees, lang="lang").collect()]
+
+
+def test_the_sample_does_not_depend_on_partitions(spark):
+    """Repeated ids with different texts, and equal rows."""
+    rows = [(i % 40, f"text {i % 90} of {i % 7}", "xy"[i % 2]) for i in range(600)]
+    seen = []
+    fit, L.ContextTrees.fit = L.ContextTrees.fit, lambda samples, order: seen.append(samples) or L.ContextTrees({}, order)
+    try:
+        for parts in (1, 5, 9):
+            random.Random(parts).shuffle(rows)
+            L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(parts), sample_rows=20, sample_bytes=300)
+    finally:
+        L.ContextTrees.fit = fit
+    assert seen[0] == seen[1] == seen[2] and set(seen[0]) == {"x", "y"} and all(len(own) <= 20 for own in seen[0].values())
+
+
+def test_accept_can_hand_the_prediction_on(spark):
+    trees = L.ContextTrees.fit({"a": [b"the cat sat on the mat"], "b": [b"der hund lag im sand"]})
+    frame = spark.createDataFrame([("the cat", None, 1), ("hund im sand", "a", 2), (None, "a", 3)], "text string, lang string, spoken int")
+    assert sorted(tuple(r) for r in L.accept(frame, trees, lang="lang").collect()) == [("hund im sand", "b", 2), ("the cat", "a", 1)]
