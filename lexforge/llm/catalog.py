@@ -33,10 +33,10 @@ def op4_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, slop=0)
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, slop=1)
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items",
-        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated", "n_near",
     )
 
 

@@ -10,6 +10,7 @@ shuffles, and a term that every document has is no hot key.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
@@ -64,50 +65,65 @@ class Phrases:
         w = split(pa.array(texts, pa.string()), ALNUM, fold=True)
         self.terms = w.vocabulary.to_pylist()
         found: dict[tuple[int, ...], set[str]] = {}
+        rows: Counter[tuple[int, ...]] = Counter()
         for i, item in enumerate(items):
             own = w.ids[w.first[i] : w.first[i + 1]].tolist()
-            for at in range(max(1, len(own) - window + 1) if own else 0):
-                found.setdefault(tuple(own[at : at + window]), set()).add(item)
-        self.groups = []  # (windows of one length as a matrix of terms, the items of each)
+            windows = {tuple(own[at : at + window]) for at in range(max(1, len(own) - window + 1) if own else 0)}
+            rows.update(windows)
+            for x in windows:
+                found.setdefault(x, set()).add(item)
+        self.groups = []  # (windows of one length as a matrix of terms, the items of each, the benchmark rows of each)
         for n in sorted({len(x) for x in found}):
             same = [x for x in found if len(x) == n]
-            self.groups.append((np.array(same, np.int32), [sorted(found[x]) for x in same]))
+            self.groups.append((np.array(same, np.int32), [sorted(found[x]) for x in same], np.array([rows[x] for x in same], np.int64)))
 
 
-def _matches(windows: np.ndarray, lists: np.ndarray, keys: np.ndarray, first: np.ndarray, slop: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(window, start, exact) of each place where all the terms of a window stand within `slop` words of their offsets, and in one document."""
+def _matches(windows: np.ndarray, lists: np.ndarray, keys: np.ndarray, first: np.ndarray, slop: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(window, document, start, exact) for each start for which every term of a window stands in the document within `slop` words of its offset from there.
+
+    Candidates are the starts within `slop` of where the rarest term puts them; every term is then looked for alike, so
+    that the result does not depend on which term is the rarest of a segment. With `slop` a start may lie before or behind the document's words.
+    """
     n = windows.shape[1]
     windows_at = np.flatnonzero((windows >= 0).all(axis=1))
     lengths = lists[windows[windows_at] + 1] - lists[windows[windows_at]]
     rarest = np.argsort(lengths, axis=1, kind="stable")
     load = lengths[np.arange(len(windows_at)), rarest[:, 0]].astype(np.int64)
-    chunk = (np.cumsum(load) - load) // CANDIDATES
+    chunk = (np.cumsum(load) - load) * (2 * slop + 1) // CANDIDATES
     terms, offsets = windows[windows_at], rarest
+    wide = int(first[-1]) + 2 * (n + slop + 1)
     for c in np.unique(chunk):
         rows = np.flatnonzero(chunk == c)
         win = np.repeat(rows, load[rows])
         lead = terms[rows, offsets[rows, 0]]
         inside = np.arange(len(win)) - np.repeat(np.cumsum(load[rows]) - load[rows], load[rows])
         at = (keys[np.repeat(lists[lead], load[rows]) + inside] & 0xFFFFFFFF).astype(np.int64)
-        start = at - offsets[win, 0]
         doc = np.searchsorted(first, at, "right") - 1
-        ok = (start >= first[doc]) & (start + n <= first[doc + 1])
-        win, start, doc = win[ok], start[ok], doc[ok]
+        start = at - offsets[win, 0]
+        if slop:
+            start = (start[:, None] + np.arange(-slop, slop + 1)).ravel()
+            win, doc = np.repeat(win, 2 * slop + 1), np.repeat(doc, 2 * slop + 1)
+            _, once = np.unique((win * len(first) + doc) * wide + (start + n + slop), return_index=True)
+            win, doc, start = win[once], doc[once], start[once]
         exact = np.ones(len(win), bool)
-        for k in range(1, n):
+        for k in range(0 if slop else 1, n):
             term = terms[win, offsets[win, k]].astype(np.int64) << 32
             place = start + offsets[win, k]
             low, high = np.maximum(place - slop, first[doc]), np.minimum(place + slop, first[doc + 1] - 1)
             here = keys[np.minimum(np.searchsorted(keys, term | low), len(keys) - 1)]
-            near = (here >= (term | low)) & (here <= (term | high))
+            near = (low <= high) & (here >= (term | low)) & (here <= (term | high))
             if slop:
-                there = keys[np.minimum(np.searchsorted(keys, term | place), len(keys) - 1)]
-                exact &= there == (term | place)
+                inner = (place >= first[doc]) & (place < first[doc + 1])
+                there = keys[np.minimum(np.searchsorted(keys, term | np.maximum(place, 0)), len(keys) - 1)]
+                exact &= inner & (there == (term | np.maximum(place, 0)))
             win, start, doc, exact = win[near], start[near], doc[near], exact[near]
-        yield windows_at[win], start, exact
+        if not slop:  # the rarest term's own place is in the document, and the others' are by the look-up
+            whole = (start >= first[doc]) & (start + n <= first[doc + 1])
+            win, start, doc, exact = win[whole], start[whole], doc[whole], exact[whole]
+        yield windows_at[win], doc, start, exact
 
 
-def _search(batches: Iterator[pa.RecordBatch], block, slop: int) -> Iterator[pa.RecordBatch]:
+def _search(batches: Iterator[pa.RecordBatch], block, slop: int, hits_only: bool = False) -> Iterator[pa.RecordBatch]:
     phrases: Phrases = block.value
     for batch in batches:
         for r in range(batch.num_rows):
@@ -119,10 +135,9 @@ def _search(batches: Iterator[pa.RecordBatch], block, slop: int) -> Iterator[pa.
             keys = (np.repeat(np.arange(len(lists) - 1, dtype=np.int64), np.diff(lists)) << 32) | positions
             n_docs = len(first) - 1
             edge, items, near = np.zeros(first[-1] + 1, np.int32), [set() for _ in range(n_docs)], np.zeros(n_docs, np.int64)
-            for windows, owners in phrases.groups if len(keys) else []:
-                for win, start, exact in _matches(mapped[windows], lists, keys, first, slop):
-                    doc = np.searchsorted(first, start, "right") - 1
-                    near += np.bincount(doc[~exact], minlength=n_docs)
+            for windows, owners, rows in phrases.groups if len(keys) else []:
+                for win, doc, start, exact in _matches(mapped[windows], lists, keys, first, slop):
+                    np.add.at(near, doc[~exact], rows[win[~exact]])
                     win, start, doc = win[exact], start[exact], doc[exact]
                     np.add.at(edge, start, 1)
                     np.add.at(edge, start + windows.shape[1], -1)
@@ -135,12 +150,13 @@ def _search(batches: Iterator[pa.RecordBatch], block, slop: int) -> Iterator[pa.
                 new = np.r_[True, (np.diff(marks) > 1) | (np.diff(doc) > 0)]
                 for low, high, d in zip(marks[new], marks[np.r_[np.flatnonzero(new)[1:] - 1, len(marks) - 1]], doc[new], strict=True):
                     spans[d].append({"start": int(low - first[d]), "end": int(high - first[d]) + 1})
-            yield pa.RecordBatch.from_arrays([
+            found = pa.RecordBatch.from_arrays([
                 batch.column("keys").slice(r, 1).flatten(), pa.array(np.diff(first)),
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                 pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(near),
                 pa.array([f"{batch.column('segment')[r]}:{i}" for i in range(n_docs)], pa.string()),
             ], names=["key", "n_words", "spans", "items", "n_near", "place"])
+            yield found.filter(pa.array([bool(x) or m > 0 for x, m in zip(items, near.tolist(), strict=True)], pa.bool_())) if hits_only else found
 
 
 def benchmark_blocks(benchmark: DataFrame, item: str, text: str, window: int, block_words: int) -> Iterator[Phrases]:
@@ -162,9 +178,10 @@ def search(index: DataFrame, benchmark: DataFrame, window: int = 10, slop: int =
 
     A window is `window` consecutive words of an item, or all of an item that has
     fewer. `spans` covers the words inside exact occurrences, `items` lists the items
-    that they come from, and `n_near` counts the further places where each term of a
-    window stands within `slop` words of its offset. A benchmark of several blocks
-    costs a pass over the index for each, and its results meet by document.
+    that they come from. `n_near` counts, for each benchmark row and each of its different windows, the starts for which
+    every term stands in the document within `slop` words of its offset from there, but not all of them exactly. A benchmark of several blocks
+    costs a pass over the index for each, one after another: a pass is written, of the later ones the documents
+    with hits alone, and its broadcast is freed before the next block is read. The results meet by document.
     """
     kind = index.schema["keys"].dataType.elementType
     schema = T.StructType([
@@ -172,13 +189,17 @@ def search(index: DataFrame, benchmark: DataFrame, window: int = 10, slop: int =
         T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
         T.StructField("items", T.ArrayType(T.StringType())), T.StructField("n_near", T.LongType()), T.StructField("place", T.StringType()),
     ])
+    blocks = benchmark_blocks(benchmark, item, text, window, block_words)
+    phrases, after = next(blocks, Phrases([], [], window)), next(blocks, None)
     passes = []
-    for phrases in benchmark_blocks(benchmark, item, text, window, block_words):
+    while phrases is not None:
         block = index.sparkSession.sparkContext.broadcast(phrases)
-        passes.append(index.mapInArrow(partial(_search, block=block, slop=slop), schema))
-    if not passes:
-        block = index.sparkSession.sparkContext.broadcast(Phrases([], [], window))
-        passes.append(index.mapInArrow(partial(_search, block=block, slop=slop), schema))
+        one = index.mapInArrow(partial(_search, block=block, slop=slop, hits_only=bool(passes)), schema)
+        if after is not None or passes:
+            one = settle(one, "hits")
+            block.destroy()
+        passes.append(one)
+        phrases, after = after, next(blocks, None)
     out = passes[0]
     if len(passes) > 1:
         for more in passes[1:]:

@@ -31,7 +31,7 @@ FROM sized GROUP BY conv_id
 WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 OP5 = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS w FROM documents),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS} AS w FROM benchmark),
+b AS (SELECT row_number() OVER () AS bid, CAST(item_id AS VARCHAR) AS item, {WORDS} AS w FROM benchmark),
 win AS (
   SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[k : k + 9], ' ') AS gram
   FROM (SELECT item, w, unnest(range(1, greatest(2, len(w) - 8))) AS k FROM b WHERE len(w) > 0)
@@ -43,10 +43,24 @@ spots AS (
 ),
 hits AS (SELECT DISTINCT rid, spots.n, k, item FROM spots JOIN win ON spots.gram = win.gram AND spots.n = win.n),
 places AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(k, k + n)) AS p FROM hits) GROUP BY rid),
-items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid)
+items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid),
+grams AS (  -- the different windows, and how many benchmark rows have each
+  SELECT g, count(DISTINCT bid) AS weight, row_number() OVER (ORDER BY g) AS wid
+  FROM (SELECT bid, w[k : k + 9] AS g FROM (SELECT bid, w, unnest(range(1, greatest(2, len(w) - 8))) AS k FROM b WHERE len(w) > 0)) GROUP BY g
+),
+wt AS (SELECT wid, len(g) AS n, unnest(g) AS t, generate_subscripts(g, 1) AS k FROM grams),
+dt AS (SELECT rid, unnest(w) AS t, generate_subscripts(w, 1) AS p FROM d),
+df AS (SELECT t, count(*) AS c FROM dt SEMI JOIN wt USING (t) GROUP BY t),
+lead AS (SELECT wid, arg_min(t, (coalesce(c, 0), k)) AS t, arg_min(k, (coalesce(c, 0), k)) AS k FROM wt LEFT JOIN df USING (t) GROUP BY wid),
+starts AS (SELECT DISTINCT wid, rid, p - k + x AS s FROM lead JOIN dt USING (t), (SELECT unnest([-1, 0, 1]) AS x)),
+met AS (
+  SELECT wid, rid, s, wt.n, count(DISTINCT k) AS near, count(*) FILTER (p = s + k) AS exact
+  FROM starts JOIN wt USING (wid) JOIN dt USING (rid, t) WHERE p BETWEEN s + k - 1 AND s + k + 1 GROUP BY wid, rid, s, wt.n
+),
+close AS (SELECT rid, CAST(sum(weight) AS BIGINT) AS n_near FROM met JOIN grams USING (wid) WHERE near = n AND exact < n GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN places USING (rid) LEFT JOIN items USING (rid)
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN places USING (rid) LEFT JOIN items USING (rid) LEFT JOIN close USING (rid)
 """
 
 
