@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from lexforge.llm.shared import settle
 
 OPEN, MIDDLE, CLOSE = "### ", ": ", " </turn>\n"
+#: Rounds of pointer doubling that are run before the size of the trees is counted, to tell long threads from rings.
+ASSURED_ROUNDS = 6
 
 
 def escape(text: Column, role: bool = False) -> Column:
@@ -36,15 +38,25 @@ def unescape(text: Column) -> Column:
     return text
 
 
-def _jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """Pointers to the 1st, 2nd, 4th ... message above, and (tree, node, depth, total score) of every message."""
-    up = nodes.select("tree", "node", F.col("parent").alias("to"))
+def _jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame] | DataFrame:
+    """Pointers to the 1st, 2nd, 4th ... message above, and (tree, node, depth, total score) of every message.
+
+    If after as many rounds as the largest tree's size has binary digits a message still has one further above,
+    parents form a ring; then (tree, node) of the lowest message of each ring is returned instead.
+    """
+    up = nodes.select("tree", "node", F.col("parent").alias("to"), F.col("parent").alias("low"))
     start = nodes.select("tree", "node", F.col("parent").alias("to"), F.lit(1).cast("long").alias("depth"), F.col("score").alias("total"))
-    open_, done, pointers = start.where("to is not null"), start.where("to is null"), []
+    open_, done, pointers, rounds = start.where("to is not null"), start.where("to is null"), [], None
     while True:
         up = settle(up.where("to is not null"), "jump")
         if up.limit(1).count() == 0:
             return pointers, done.select("tree", "node", "depth", "total")
+        if len(pointers) == ASSURED_ROUNDS:
+            rounds = nodes.groupBy("tree").count().agg(F.max("count")).first()[0].bit_length()
+        if rounds is not None and len(pointers) >= rounds:
+            # A message is as many places above some message as that jump is long if and only if it is on a ring.
+            ring = up.select("tree", F.col("to").alias("node")).distinct()
+            return ring.join(up.where(F.col("node") == F.col("low")), ["tree", "node"], "left_semi")
         pointers.append(up)
         # Messages whose branch is summed up to its root are only looked at, not carried on.
         far = open_.union(done).select("tree", F.col("node").alias("to"), F.col("to").alias("to_2"), F.col("depth").alias("depth_2"), F.col("total").alias("total_2"))
@@ -52,24 +64,33 @@ def _jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
             "tree", "node", F.col("to_2").alias("to"), (F.col("depth") + F.col("depth_2")).alias("depth"), (F.col("total") + F.col("total_2")).alias("total"),
         ), "reach")
         open_, done = further.where("to is not null"), done.union(further.where("to is null"))
-        next_up = up.select("tree", F.col("node").alias("to"), F.col("to").alias("to_2"))
-        up = up.join(next_up, ["tree", "to"]).select("tree", "node", F.col("to_2").alias("to"))
+        next_up = up.select("tree", F.col("node").alias("to"), F.col("to").alias("to_2"), F.col("low").alias("low_2"))
+        up = up.join(next_up, ["tree", "to"]).select("tree", "node", F.col("to_2").alias("to"), F.least("low", "low_2").alias("low"))
 
 
 def branches(messages: DataFrame, best: int | None = 1) -> DataFrame:
     """(tree, leaf, rank, step, role, text): the messages of the `best` branches of each tree.
 
-    `messages`: tree, node, parent (null for a root), role, text, score. Branches are
+    `messages`: tree, node, parent (null for a root), role, text, score; other columns are not read. Branches are
     ranked by their mean score, the longer and then the lower leaf first on ties; None takes
-    all. A parent that does not exist ends the branch; parents must not form a ring.
+    all. A parent that does not exist ends the branch. Of parents that form a ring, the lowest node counts as a root, so that
+    what hangs from the ring stays; a ring without anything below it is a chain from that node on. Null tree ids are a tree, null roles and
+    texts stay null here, a null score makes a branch's mean null, which ranks last. Each row is a message, so that rows that
+    share a node are several of its name. An empty table stays empty; a text of any length is only carried.
     """
     # A struct of the tree's id is never null itself, so that a null id is a tree like others.
-    messages = messages.withColumn("tree", F.struct("tree"))
+    messages = messages.select(F.struct("tree").alias("tree"), "node", "parent", "role", "text", "score")
     known = messages.select("tree", F.col("node").alias("parent")).distinct().withColumn("known", F.lit(True))
     nodes = settle(
         messages.join(known, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("parent"), "role", "text", "score"), "messages",
     )
-    pointers, reach = _jumps(nodes)
+    reached = _jumps(nodes)
+    if isinstance(reached, DataFrame):
+        roots = reached.withColumn("root", F.lit(True))
+        parent = F.when(F.col("root").isNull(), F.col("parent")).alias("parent")
+        nodes = settle(nodes.join(roots, ["tree", "node"], "left").select("tree", "node", parent, "role", "text", "score"), "messages")
+        reached = _jumps(nodes)
+    pointers, reach = reached
     inner = nodes.where("parent is not null").select("tree", F.col("parent").alias("node")).distinct()
     leaves = reach.join(inner, ["tree", "node"], "left_anti")
     order = W.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("depth")), F.desc("depth"), "node")
@@ -87,9 +108,9 @@ def format_paths(paths: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """(tree, leaf, rank, formatted, loss_spans): one row a conversation.
 
     `loss_spans` are the code points of `formatted`, end exclusive, that a model learns:
-    the texts of `loss_role`.
+    the texts of `loss_role`. Null roles and texts are empty. A conversation of any length is one row; other columns are not read.
     """
-    turn = F.struct("step", F.concat(F.lit(OPEN), escape(F.col("role"), role=True), F.lit(MIDDLE)).alias("head"), escape(F.col("text")).alias("body"), (F.col("role") == loss_role).alias("learned"))
+    turn = F.struct("step", F.concat(F.lit(OPEN), escape(F.coalesce("role", F.lit("")), role=True), F.lit(MIDDLE)).alias("head"), escape(F.coalesce("text", F.lit(""))).alias("body"), (F.coalesce("role", F.lit("")) == loss_role).alias("learned"))
     rows = paths.groupBy("tree", "leaf", "rank").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     empty = F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)")
 
@@ -133,7 +154,11 @@ def threads(rows: DataFrame, tree: str = "conv_id", turn: str = "turn") -> DataF
 
 
 def chat_digest(messages: DataFrame, best: int | None = 1) -> DataFrame:
-    """Format the branches, read them back, and report what the output says."""
+    """Format the branches, read them back, and report what the output says: a row for each branch taken.
+
+    Null ids are an id, null roles and texts are empty, equal rows are turns of their own, an empty table stays empty, texts of any length
+    are read whole, and other columns than `branches` names are not read.
+    """
     out = format_paths(branches(messages, best))
     turns = parse(F.col("formatted"))
     told = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

@@ -41,3 +41,51 @@ def test_long_threads_and_empty_tables(spark):
     out = chat.chat_digest(chat.threads(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()
     assert len(out) == 1 and out[0].n_turns == 37
     assert chat.chat_digest(chat.threads(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
+
+
+def paths_of(frame, best=None):
+    paths = {}
+    for r in sorted(chat.branches(frame, best).collect(), key=lambda r: (str(r.tree), r["rank"], r.step)):
+        paths.setdefault((r.tree, r["rank"]), []).append(r.text)
+    return paths
+
+
+def test_rings_end(spark, monkeypatch):
+    """A ring of three with a tail, a message that answers itself, and a whole tree beside them."""
+    schema = "tree long, node long, parent long, role string, text string, score double"
+    rows = [(1, 5, 7, "u", "5", 0.0), (1, 6, 5, "u", "6", 0.0), (1, 7, 6, "u", "7", 0.0), (1, 8, 6, "u", "8", 9.0), (1, 9, 8, "u", "9", 9.0), (2, 1, 1, "u", "self", 0.0), (3, 1, None, "u", "a", 0.0), (3, 2, 1, "u", "b", 0.0), (4, 1, 2, "u", "x", 0.0), (4, 2, 1, "u", "y", 0.0)]
+    for assured in (0, 1, 6):
+        monkeypatch.setattr(chat, "ASSURED_ROUNDS", assured)
+        assert paths_of(spark.createDataFrame(rows, schema)) == {(1, 1): ["5", "6", "8", "9"], (1, 2): ["5", "6", "7"], (2, 1): ["self"], (3, 1): ["a", "b"], (4, 1): ["x", "y"]}
+
+
+def test_chains_longer_than_the_assured_rounds(spark, monkeypatch):
+    monkeypatch.setattr(chat, "ASSURED_ROUNDS", 1)
+    for n in (1, 2, 3, 4, 5, 8, 9, 33):
+        rows = [(1, i, i - 1 if i else None, "u", str(i), 0.0) for i in range(n)]
+        assert paths_of(spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double")) == {(1, 1): [str(i) for i in range(n)]}
+
+
+def test_scores_rank_branches_of_random_trees(spark):
+    rnd = random.Random(11)
+    rows, want = [], {}
+    for tree in range(12):
+        parent = {i: (rnd.randrange(i) if i else None) for i in range(rnd.randrange(1, 25))}
+        score = {i: float(rnd.randrange(4)) for i in parent}
+        rows += [(tree, i, p, "u", f"{tree}:{i}", score[i]) for i, p in parent.items()]
+
+        def up(i, parent=parent):
+            return [] if i is None else [*up(parent[i]), i]
+
+        leaves = sorted(set(parent) - set(parent.values()), key=lambda i: (-sum(score[j] for j in up(i)) / len(up(i)), -len(up(i)), i))
+        want |= {(tree, k + 1): [f"{tree}:{j}" for j in up(i)] for k, i in enumerate(leaves[:3])}
+    rnd.shuffle(rows)
+    frame = spark.createDataFrame([(*r, "clash", "clash") for r in rows], "tree long, node long, parent long, role string, text string, score double, depth string, known string")
+    assert paths_of(frame.repartition(5), best=3) == want
+
+
+def test_very_long_texts_and_clashing_columns(spark):
+    body = "### </turn> \\é " * 200_000
+    frame = spark.createDataFrame([(1, 0, "user", "q", "x", "x"), (1, 1, "assistant", body, "x", "x")], "conv_id long, turn long, role string, text string, node string, turns string")
+    r = chat.chat_digest(chat.threads(frame)).first()
+    assert r.n_turns == 2 and r.loss_sha256 == hashlib.sha256(body.encode()).hexdigest() and r.loss_chars == len(body)
