@@ -43,10 +43,8 @@ CLASSES = (
     CharacterClass("entropy_base64", "[A-Za-z0-9+/_-]{20,}={0,2}", 20, 3.7, ("[0-9]", "[a-z]", "[A-Z]")),
     CharacterClass("entropy_single_case", "[a-z0-9]{24,}|[A-Z0-9]{24,}", 24, 3.6, ("(?:[0-9].*){4}", "[A-Za-z]")),
 )
-#: Words that call the whole candidate an example.
-PLACEHOLDERS = "(?i)example|sample|dummy|placeholder|changeme|redacted"
-#: Parts that look random and are known to be harmless: identifiers, alphabets, runs. They are taken out, and what is left of a candidate is scored.
-HARMLESS = r"(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|abcdefghij|0123456789|1234567890)|(.)\1{5,}"
+#: Parts that are known to be harmless: words of examples, and what looks random but is an identifier, an alphabet or a run. They are taken out, and what is left of a candidate is scored.
+HARMLESS = r"(?i:example|sample|dummy|placeholder|changeme|redacted)|(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|abcdefghij|0123456789|1234567890)|(.)\1{5,}"
 #: Matches whose places are added up in one go.
 BLOCK = 256
 #: Bits of a packed count, and the counts in a whole number. A window has fewer than 2^5 characters.
@@ -159,9 +157,9 @@ def peak_entropy(body: Column, window: int, alphabet: str = BASE64) -> Column:
     return bound(cells, slid)
 
 
-def _entropy_spans(text: Column, c: CharacterClass, rank: int, placeholders: str, harmless: str) -> Column:
+def _entropy_spans(text: Column, c: CharacterClass, rank: int, harmless: str) -> Column:
     """The parts of the class's candidates, without what is known to be harmless, that have a window of high entropy."""
-    whole = F.filter(located(text, c.pattern, rank, c.kind), lambda s: ~s["body"].rlike(placeholders))
+    whole = located(text, c.pattern, rank, c.kind)
 
     def part(s: Column) -> Callable[[Column, Column, Column], Column]:
         def span(gap: Column, _: Column, at: Column) -> Column:
@@ -185,7 +183,7 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", classes: tuple[CharacterClass, ...] = CLASSES, placeholders: str = PLACEHOLDERS, harmless: str = HARMLESS) -> DataFrame:
+def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", classes: tuple[CharacterClass, ...] = CLASSES, harmless: str = HARMLESS) -> DataFrame:
     """Per row: key, base (spans of the base kinds), added (spans of high entropy that touch no base span).
 
     Candidates are sought where no base span stands. Spans are in code points, end exclusive, ordered by start, then kind;
@@ -201,7 +199,7 @@ def secret_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", class
         masked = _masked(masked, pattern, least, group)
     maybe = F.col("body").rlike("|".join(f"(?:{c.pattern})" for c in classes))
     rows = rows.select("c0", F.array_sort(slim(F.concat(*base))).alias("base"), F.when(maybe, masked).otherwise(F.lit("")).alias("open"))
-    added = [_entropy_spans(F.col("open"), c, len(BASE_KINDS) + i, placeholders, harmless) for i, c in enumerate(classes)]
+    added = [_entropy_spans(F.col("open"), c, len(BASE_KINDS) + i, harmless) for i, c in enumerate(classes)]
     rows = rows.select("c0", "base", slim(F.concat(*added)).alias("more"))
     touch = lambda x, y: (x["start"] < y["end"]) & (y["start"] < x["end"])
     rows = rows.select("c0", "base", F.filter("more", lambda m: ~F.exists("base", lambda b: touch(b, m))).alias("more"))
