@@ -85,14 +85,32 @@ TITLES = {
 }
 #: Prose that speaks of copyright, as a wrapped line may begin with it; no holder is named so.
 PROSE = "notices?|holders?|owners?|statements?|laws?|licen[sc]es?|permissions?|protections?|interests?|rights?|and|or|in|on|of|to|is|as|act"
-#: A line of its own that names a holder or a year after the word: a mark, a year, or a capitalised name. Prose that a line break puts there stays.
+#: A line of its own that names a holder or a year after the word: a mark, a year, or a capitalised name. Prose that a line break puts there stays, and so do the points (c) of a list.
 COPYRIGHT_LINE = (
     r"(?m)^[\x20\t]*((?i:copyright)[\x20\t:,]*((?i:\(c\)|©|&copy;|\(r\)|®)|(?i:by[\x20\t])|[12][0-9]{3}\b|<year>|\[year\])"
     rf"|[Cc]opyright:?[\x20\t]+(?!(?i:{PROSE})\b)\p{{Lu}}"
-    r"|(?i:\(c\)|©|all rights reserved))[^\n]*"
+    r"|(?i:\(c\)[\x20\t,]*(copyright|[12][0-9]{3}\b|<year>|\[year\])|©|all rights reserved))[^\n]*"
 )
 
 
+#: Digests of the canonical forms of long licences: the whole file as published, without what follows the terms, and the terms alone.
+DIGESTS = {
+    "Apache-2.0": ("6074c3536c43b739207170b87d1681477d0f07374ed3d862ba461334cce848e3", "f70a2718f78121f2da77cd6afbffffbd668d7c1fd36c85a3ef121e83cb5f48fe", "6aa661403864282a4d084f1551e8149a5f1a7b5e8b05b6db8e1a8a28d0badc64"),
+    "Artistic-1.0-Perl": ("08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702",),
+    "CC0-1.0": ("96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",),
+    "GFDL-1.2": ("94541e73869af10ab6bd68a29575eede324e54e7d5237e7386d12444f593af60",),
+    "GFDL-1.3": ("a92fdbaeafedd9cbeb812ebbded06ee07e3b1427c81cfc333e682109c594d826",),
+    "GPL-1.0": ("ec8a6b7d70e9f225b63d3962ed5b4721373f5535d7b967a06722b0d621f6892a", "74d0cd23803c9754c36f6ca0e1af411b418ed6b6564e757472bf0d870a1b5d1b", "af30c0af27b90ec812acdb040f3dcc944a87cd893456690efe35063f39e3eeeb"),
+    "GPL-2.0": ("331b500eb3c5ee796906547305df82fff4a35b3aa03c1d3ea84d32078292b2e6", "1551b61aa183f987ecceedd8966ec1e9b2da3848f8862c2adedc0d82f41904ca", "c67cc53030ae25fe2e2f0143b59060eca5ad89da8d2beca1445641234d29fc88"),
+    "GPL-3.0": ("eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a", "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636", "092a7f3b82e6c22949b46388bca99e725b6e756f1c2b1e3f575447fbd44b6191"),
+    "LGPL-2.0": ("61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908", "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260", "430627da7218a92ab4a6d75d5140cdb70ee750be7a53f913299b37e0d1b0eea2"),
+    "LGPL-2.1": ("4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891", "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4", "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df"),
+    "LGPL-3.0": ("aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",),
+    "MPL-1.1": ("a1b36de49a400e3d3385d5987188db954a084f9876243aa7207cd91de3f24a7b",),
+    "MPL-2.0": ("f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a",),
+}
+
+
 def known_texts() -> list[tuple[str, str, str]]:
     """(licence, kind, text) of all known texts and notices; a list fixed in this file."""
     whole = [(name, "text", text) for name, text in TEXTS.items()]
@@ -112,7 +130,11 @@ def canonical_lines(text: Column) -> Column:
 
 
 def canonical_text(lines: Column) -> Column:
-    return F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
+    """All lines as one; spellings of two words also where a line break stood between them."""
+    out = F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
+    for old, new in SPELLINGS.items():
+        out = F.regexp_replace(out, rf"\b{old}\b", new) if " " in old else out
+    return out
 
 
 def _digest(x: Column) -> Column:
@@ -120,9 +142,10 @@ def _digest(x: Column) -> Column:
 
 
 def known_digests(spark: SparkSession) -> DataFrame:
-    """(digest, license, kind) of the known texts, canonicalised by the same expressions."""
+    """(digest, license, kind) of the known texts, canonicalised by the same expressions, and of the long licences."""
     known = spark.createDataFrame(known_texts(), "license string, kind string, text string")
-    return known.select(_digest(canonical_text(canonical_lines(F.col("text")))).alias("digest"), "license", "kind")
+    long = spark.createDataFrame([(d, name, "text") for name, own in DIGESTS.items() for d in own], "digest string, license string, kind string")
+    return known.select(_digest(canonical_text(canonical_lines(F.col("text")))).alias("digest"), "license", "kind").union(long)
 
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -130,8 +153,9 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
     `notices` lists the licences that lines of the text name, sorted, each once;
     `n_notices` counts those lines. Null texts have a null digest and no license or notice; texts
-    without a letter or digit have the digest of the empty form, which no licence has.
-    Repeated rows are each reported and other columns are not read.
+    without a letter or digit have the digest of the empty form, which no licence has. Of licences that share a
+    form the first by name is told. Repeated rows are each reported, an empty table gives an empty result, texts
+    of any length are read whole, and other columns are not read.
     """
     spark = docs.sparkSession
     known = [tuple(r) for r in known_digests(spark).collect()]  # as many as this file lists

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lexforge.llm.catalog_values import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, URL_RULES
-from lexforge.llm.licenses import SPELLINGS, TEXTS, known_texts
+from lexforge.llm.licenses import DIGESTS, PROSE, SPELLINGS, known_texts
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -65,21 +65,35 @@ FROM d LEFT JOIN places USING (rid) LEFT JOIN items USING (rid) LEFT JOIN close
 
 
 def _canonical(column: str) -> str:
-    out = rf"regexp_replace(lower({column}), '(?m)^[\x20\t]*(copyright|\(c\)|©|all rights reserved)[^\n]*', '', 'g')"
-    out = rf"regexp_replace({out}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+    """Line by line: a line that names a year, a mark or a holder goes; what a line break puts behind the word in prose stays."""
+    head = r"^[\x20\t]*"
+    holder = rf"{head}[Cc]opyright:?[\x20\t]+"
+    marked = rf"{head}(?i:copyright)[\x20\t:,]*((?i:\(c\)|©|&copy;|\(r\)|®)|(?i:by[\x20\t])|[12][0-9]{{3}}\b|<year>|\[year\])"
+    bare = rf"{head}(?i:\(c\)[\x20\t,]*(copyright|[12][0-9]{{3}}\b|<year>|\[year\])|©|all rights reserved)"
+    gone = f"regexp_matches(x, '{marked}') OR regexp_matches(x, '{bare}') OR (regexp_matches(x, '{holder}\\p{{Lu}}') AND NOT regexp_matches(x, '{holder}(?i:{PROSE})\\b'))"
+    kept = f"array_to_string(list_transform(string_split({column}, chr(10)), lambda x: CASE WHEN {gone} THEN regexp_extract(x, '^[\\x20\\t]*') ELSE x END), chr(10))"
+    out = rf"regexp_replace(lower({kept}), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
     for old, new in SPELLINGS.items():
         out = rf"regexp_replace({out}, '\b{old}\b', '{new}', 'g')"
     return out
 
 
+def _one_line(canon: str) -> str:
+    """All lines as one; spellings of two words also where a line break stood between them."""
+    out = rf"trim(regexp_replace({canon}, '[ \n]+', ' ', 'g'))"
+    for old, new in SPELLINGS.items():
+        out = rf"regexp_replace({out}, '\b{old}\b', '{new}', 'g')" if " " in old else out
+    return out
+
+
 def op7() -> str:
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     known = ", ".join(f"({quote(name)}, {quote(kind)}, {quote(text)})" for name, kind, text in known_texts())
-    assert TEXTS
+    long = ", ".join(f"({quote(d)}, {quote(name)}, 'text')" for name, own in DIGESTS.items() for d in own)
     return rf"""
 WITH known AS (
-  SELECT sha256(trim(regexp_replace({_canonical('text')}, '[ \n]+', ' ', 'g'))) AS digest, license, kind
-  FROM (VALUES {known}) AS t(license, kind, text)
+  SELECT sha256({_one_line(_canonical('text'))}) AS digest, license, kind
+  FROM (VALUES {known}) AS t(license, kind, text) UNION ALL SELECT * FROM (VALUES {long}) AS l(digest, license, kind)
 ), whole AS (SELECT digest, min(license) AS license FROM known GROUP BY digest),
 notice AS (SELECT DISTINCT digest FROM known WHERE kind = 'notice'),
 d AS (SELECT row_number() OVER () AS rid, doc_id, {_canonical('text')} AS canon FROM documents),
@@ -87,8 +101,8 @@ hit AS (
   SELECT rid, license FROM (SELECT rid, sha256(unnest(list_transform(string_split(canon, chr(10)), lambda x: trim(x)))) AS digest FROM d)
   JOIN notice USING (digest) JOIN whole USING (digest)
 ), named AS (SELECT rid, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names FROM hit GROUP BY rid)
-SELECT doc_id, sha256(trim(regexp_replace(canon, '[ \n]+', ' ', 'g'))) AS digest, license, coalesce(n, 0) AS n_notices, coalesce(names, '') AS notices
-FROM d LEFT JOIN named USING (rid) LEFT JOIN whole ON whole.digest = sha256(trim(regexp_replace(canon, '[ \n]+', ' ', 'g')))
+SELECT doc_id, e.digest, license, coalesce(n, 0) AS n_notices, coalesce(names, '') AS notices
+FROM (SELECT rid, doc_id, sha256({_one_line('canon')}) AS digest FROM d) e LEFT JOIN named USING (rid) LEFT JOIN whole ON whole.digest = e.digest
 """
 
 
