@@ -12,17 +12,19 @@ from lexforge.llm.shared import free_name, settle, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach stay, each with all its columns.
+    """Documents in a language that the labelled ones teach stay, each with all its columns; `lang` becomes the prediction, by which later stages mix.
 
-    Null, empty and letterless texts go; repeated rows are each judged; an empty table stays empty.
+    Null, empty and letterless texts go; repeated rows are each judged, of languages that code a text alike the first by name is told;
+    a text of any length is scored whole, window by window; an empty table stays empty.
     """
-    return language_id.accept(docs, language_id.fit(docs))
+    return language_id.accept(docs, language_id.fit(docs), lang="lang")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that links connect, the one of smallest id stays; rows without words all stay.
 
     Links are similarities of 80 percent or more of five-word shingles. Rows of one id and text count as one; null ids come last.
+    Texts of any length are compared whole; an empty table stays empty.
     """
     return jaccard_join.JaccardJoin(docs, words=5, percent=80).keep_one(docs)
 
@@ -30,7 +32,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of the benchmark go; what a text holds depends on the text alone.
 
-    Null and empty texts hold none and stay, and so do repeated rows; without benchmark items all stay.
+    Null and empty texts hold none and stay, and so do repeated rows; without benchmark items all stay. Texts of any length are searched
+    whole; an empty table stays empty.
     """
     digest = F.md5(F.col("text").cast("binary"))
     found = decontamination.decontaminate(docs.select(digest.alias("digest"), "text"), table(spark, sf_dir, "benchmark"), key="digest")
@@ -42,7 +45,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents to target weights; one that several passes take comes as often.
 
-    Null languages and sources are branches of their own; rows without words come with those around them; an empty table stays empty.
+    Null languages and sources are branches of their own; rows without words come with those around them; equal rows are drawn together; a text of any length is
+    taken or left whole; an empty table stays empty.
     """
     drawn = mixing.draw(docs, mix_levels(), MIX_WEIGHTS, share=MIX_SHARE, epochs=MIX_EPOCHS, seed=MIX_SEED)
     own = [F.col(f"`{c}`") for c in docs.columns]
@@ -51,7 +55,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of what is left, read back per document; null texts have the end id alone."""
+    """Token files of what is left, read back per document; null and empty texts have the end id alone.
+
+    Repeated rows are each encoded, and rows of one id are ordered by their texts' hashes; a text of any length is encoded whole; an empty table gives an empty result.
+    """
     return token_files.tokens_roundtrip(docs, public_tokenizer("word_bpe_49k.json"))
 
 
