@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexforge.functions.similarity import length_bucket, similar_pairs
 from lexforge.functions.text import joined, pick
+from lexforge.plans.recovery import settle
 
 
 #: Texts of a block; two blocks are compared in a task.
@@ -114,8 +115,11 @@ def not_in(df: DataFrame, column: str, done: DataFrame, done_column: str) -> Dat
 
 
 def align(es: DataFrame, he: DataFrame, bridge: DataFrame | None = None, cutoff: float = 80.0) -> DataFrame:
-    """Direct links, then the bridge for words without one, then fuzzy matches for the rest."""
-    done = align_direct(es, he)
+    """Direct links, then the bridge for words without one, then fuzzy matches for the rest.
+
+    Each strategy's result is written before the next one asks for the words that are done, so that none is computed twice.
+    """
+    done = settle(align_direct(es, he), "direct")
     if bridge is not None:
-        done = done.unionByName(align_bridge(not_in(es, "word", done, "es_word"), he, bridge))
+        done = done.unionByName(settle(align_bridge(not_in(es, "word", done, "es_word"), he, bridge), "bridged"))
     return done.unionByName(align_fuzzy(not_in(es, "word", done, "es_word"), he, cutoff))

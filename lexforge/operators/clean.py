@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexforge.functions.text import count_of
+from lexforge.operators.numbering import placed
+from lexforge.plans.recovery import settle
 
 # Tags of proper nouns, and abbreviations that are none.
 PROPER_TAGS = ("name", "proper noun", "propn", "proper_noun")
@@ -50,12 +52,14 @@ def score_entries(df: DataFrame) -> DataFrame:
 
 
 def dense_rank_desc(df: DataFrame, score: str, name: str) -> DataFrame:
-    """Dense rank of a score, highest first.
+    """Dense rank of a score, highest first; null scores have none.
 
-    The ranking runs over the distinct scores, which are few beside the rows, and comes
-    back by a join, so that no task sorts the table.
+    The distinct scores are ranked by ranges and offsets and come back by a join, so that no task sorts the table, and rows
+    that share a score are no hot key of the ranking. The rows are written first, as both steps read them.
     """
-    ranked = df.select(score).distinct().withColumn(name, F.dense_rank().over(W.orderBy(F.desc(score))))
+    df = settle(df, "scored")
+    ranked = placed(df.select(score).where(F.col(score).isNotNull()).distinct(), [F.desc(score)], "_place")
+    ranked = ranked.select(score, (F.col("_place") + 1).cast("int").alias(name))
     return df.join(ranked, score, "left").select(*df.columns, name)
 
 

@@ -3,18 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexforge.functions.text import tokenize_hebrew, tokenize_spanish
+from lexforge.operators.numbering import placed
+from lexforge.plans.recovery import settle
 
 
 def pair_by_position(sentences: DataFrame, left: str = "es", right: str = "he") -> DataFrame:
-    """The n-th sentence of one language with the n-th of the other."""
-    place = F.row_number().over(W.partitionBy("lang").orderBy("row_idx"))
-    own = sentences.where(F.col("lang").isin(left, right)).withColumn("n", place)
-    a = own.where(F.col("lang") == left).select("n", F.col("text").alias("es"))
-    return a.join(own.where(F.col("lang") == right).select("n", F.col("text").alias("he")), "n").select((F.col("n") - 1).cast("long").alias("row_idx"), "es", "he")
+    """The n-th sentence of one language with the n-th of the other.
+
+    Row numbers alone are put in order, by ranges and offsets, and meet by their place; texts are fetched for the
+    pairs. Rows of one number are ordered by a hash of their texts, equal rows one after another. Null texts are sentences too.
+    """
+    digest = F.coalesce(F.xxhash64("text"), F.lit(0))
+    own = sentences.where(F.col("lang").isin(left, right)).select("lang", "row_idx", digest.alias("digest"), "text")
+    numbers = placed(own.drop("text"), [F.col("row_idx"), F.col("digest")], "n", within="lang")
+    texts = own.dropDuplicates(["lang", "row_idx", "digest"])
+    side = lambda language, name: numbers.where(F.col("lang") == language).select("n", F.col("row_idx").alias(f"{name}_idx"), F.col("digest").alias(f"{name}_digest"))
+    text = lambda language, name: texts.where(F.col("lang") == language).select(F.col("row_idx").alias(f"{name}_idx"), F.col("digest").alias(f"{name}_digest"), F.col("text").alias(name))
+    pairs = side(left, "es").join(side(right, "he"), "n")
+    return pairs.join(text(left, "es"), ["es_idx", "es_digest"]).join(text(right, "he"), ["he_idx", "he_digest"]).select(F.col("n").alias("row_idx"), "es", "he")
 
 
 def pair_by_links(sentences: DataFrame, links: DataFrame, left: str = "es", right: str = "he") -> DataFrame:
@@ -28,19 +37,36 @@ def tokenized(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("es_words", tokenize_spanish(F.col("es"))).withColumn("he_words", tokenize_hebrew(F.col("he")))
 
 
+#: Rows whose numbers stand together in a posting, as a power of two.
+BLOCK_BITS = 14
+
+
+def example_rows(aligned: DataFrame, examples: DataFrame) -> DataFrame:
+    """(es_word, he_word, row_idx, es, he): a row for each pair of words of `aligned` and each example with the one word on its Spanish side and the other on its Hebrew side.
+
+    Examples are numbered as they are written, and a word's posting is cut into blocks of numbers, so that a word that most
+    examples have is many rows of bounded size. A pair of words meets block by block, and there the numbers are intersected; the texts are fetched last,
+    for what was hit. Null words and texts match nothing; equal rows of `examples` are examples of their own; empty tables give an empty result.
+    """
+    keys = settle(aligned.select("es_word", "he_word").where("es_word is not null and he_word is not null").distinct(), "word-pairs")
+    base = settle(examples.select("row_idx", "es", "he", "es_words", "he_words").withColumn("uid", F.monotonically_increasing_id()), "examples")
+
+    def postings(side: str) -> DataFrame:
+        words = base.select("uid", F.explode(F.array_distinct(f"{side}_words")).alias(f"{side}_word"))
+        own = words.join(keys.select(f"{side}_word").distinct(), f"{side}_word", "left_semi")
+        return own.groupBy(f"{side}_word", F.shiftright("uid", BLOCK_BITS).alias("block")).agg(F.collect_list("uid").alias(f"{side}_uids"))
+
+    met = keys.join(postings("es"), "es_word").join(postings("he"), ["he_word", "block"])
+    hits = met.select("es_word", "he_word", F.explode(F.array_intersect("es_uids", "he_uids")).alias("uid"))
+    return hits.join(base.select("uid", "row_idx", "es", "he"), "uid").select("es_word", "he_word", "row_idx", "es", "he")
+
+
 def enrich(aligned: DataFrame, examples: DataFrame) -> DataFrame:
     """Adds `examples`: in order, the pairs with the Spanish word on one side and the Hebrew one on the other.
 
-    Words meet in tables of row numbers; the texts are fetched for the rows that were hit, so that no
-    text is copied for each of its words. Rows of one number (a sentence with several links) are told apart by their words.
+    The nested form, in which a row of `aligned` has all its examples; `example_rows` has them one by one.
     """
-    keys = aligned.select("es_word", "he_word").distinct()
-    es = examples.select("row_idx", F.explode(F.array_distinct("es_words")).alias("es_word")).distinct()
-    he = examples.select("row_idx", F.explode(F.array_distinct("he_words")).alias("he_word")).distinct()
-    rows = keys.join(es, "es_word").join(he, ["row_idx", "he_word"])
-    both = F.array_contains("es_words", F.col("es_word")) & F.array_contains("he_words", F.col("he_word"))
-    hits = rows.join(examples.select("row_idx", "es", "he", "es_words", "he_words"), "row_idx").where(both)
-    lists = hits.groupBy("es_word", "he_word").agg(F.array_sort(F.collect_list(F.struct("row_idx", "es", "he"))).alias("found"))
+    lists = example_rows(aligned, examples).groupBy("es_word", "he_word").agg(F.array_sort(F.collect_list(F.struct("row_idx", "es", "he"))).alias("found"))
     found = F.transform("found", lambda x: F.struct(x["es"].alias("es"), x["he"].alias("he")))
     none = F.expr("cast(array() as array<struct<es:string,he:string>>)")
     return aligned.join(lists, ["es_word", "he_word"], "left").select(*aligned.columns, F.coalesce(found, none).alias("examples"))

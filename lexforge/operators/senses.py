@@ -2,28 +2,50 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexforge.functions.similarity import ratio
+from lexforge.functions.similarity import Block, lcs_lengths
 from lexforge.schemas import SENSE
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _lead(texts: pd.Series) -> pd.Series:
-    def clusters(group, threshold=70.0):
-        leaders, out = [], []
-        for text in group:
-            own = next((i for i, x in enumerate(leaders) if ratio(x, text) > threshold), None)
-            if own is None:
-                leaders.append(text)
-                own = len(leaders) - 1
-            out.append(own + 1)
-        return out
+def leader_numbers(first: np.ndarray, texts: list[str], threshold: float) -> np.ndarray:
+    """For each text the number of its leader, from 1; the texts of list g are first[g] to first[g + 1].
 
-    return texts.map(clusters)
+    All pairs of a list are compared side by side. Then, place by place, the texts that stand there in their lists
+    join the first leader before them that they are more than `threshold` alike, or lead.
+    """
+    sizes = np.diff(first)
+    pairs = [(j, k, first[:-1][sizes > k]) for k in range(1, int(sizes.max(initial=0))) for j in range(k)]
+    block = Block(texts)
+    i, j = (np.concatenate([base + p[side] for p in pairs for base in (p[2],)] or [np.zeros(0, np.int64)]) for side in (0, 1))
+    total = block.length[i] + block.length[j]
+    common = lcs_lengths(block, block, i, j, np.floor(threshold * total / 200).astype(np.int64))
+    near = np.where(total > 0, 100.0 * (2 * common) / np.maximum(total, 1), 100.0) > threshold
+    out, led, at = np.zeros(len(texts), np.int32), np.zeros(len(sizes), np.int32), 0
+    leads = np.zeros(len(texts), bool)
+    for k in range(int(sizes.max(initial=0))):
+        groups = np.flatnonzero(sizes > k)
+        rows, own = first[groups] + k, np.zeros(len(groups), np.int32)
+        for before in range(k):
+            join = (own == 0) & leads[first[groups] + before] & near[at : at + len(groups)]
+            own[join] = out[first[groups[join]] + before]
+            at += len(groups)
+        new = own == 0
+        led[groups[new]] += 1
+        own[new], leads[rows[new]] = led[groups[new]], True
+        out[rows] = own
+    return out
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _lead(lists: pa.Array) -> pa.Array:
+    first = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+    numbers = leader_numbers(first, lists.flatten().to_pylist(), 70.0)
+    return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(numbers, pa.int32()))
 
 
 def cluster_senses(df: DataFrame, word: str = "es_word", text: str = "es_definition", order: str = "ord", largest: int = 10) -> DataFrame:

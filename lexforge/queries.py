@@ -113,8 +113,9 @@ s AS (
 )
 SELECT doc_id, frequency_score, CAST(dense_rank() OVER (ORDER BY frequency_score DESC) AS INT) AS frequency_rank FROM s""")
 def frequency_rank(spark, sf):
-    a, b = F.size(text.tokenize_spanish(F.col("text"))), F.size(text.tokenize_hebrew(F.col("text")))
-    rows = table(spark, sf, "documents").select("doc_id", clean.frequency_score(a, b, a, b, a, F.length("source")).alias("frequency_score"))
+    counts = table(spark, sf, "documents").select("doc_id", F.size(text.tokenize_spanish(F.col("text"))).alias("a"), F.size(text.tokenize_hebrew(F.col("text"))).alias("b"), F.length("source").alias("l"))
+    a, b = F.col("a"), F.col("b")
+    rows = counts.select("doc_id", clean.frequency_score(a, b, a, b, a, F.col("l")).alias("frequency_score"))
     return clean.dense_rank_desc(rows, "frequency_score", "frequency_rank")
 
 

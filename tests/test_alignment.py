@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,8 +70,63 @@ def test_two_forms_of_the_ratio_agree(spark):
     rnd = random.Random(1)
     pairs = [("".join(rnd.choices("abcé ", k=rnd.randrange(12))), "".join(rnd.choices("abcé ", k=rnd.randrange(12)))) for _ in range(120)]
     frame = spark.createDataFrame(pairs, "a string, b string")
-    for r in frame.select("a", "b", similarity.ratio_udf("a", "b").alias("u"), similarity.ratio_sql(F.col("a"), F.col("b")).alias("s")).collect():
-        assert r.u == pytest.approx(r.s) == pytest.approx(similarity.ratio(r.a, r.b))
+    for r in frame.select("a", "b", similarity.ratio_sql(F.col("a"), F.col("b")).alias("s")).collect():
+        assert r.s == pytest.approx(similarity.ratio(r.a, r.b))
+
+
+def plain_lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def some_texts(rnd, alphabet, count, most):
+    return ["".join(rnd.choices(alphabet, k=rnd.randrange(most))) for _ in range(count)]
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefgh ", "אבגד ", "a😀é\ud7ff\ud83d"])
+def test_side_by_side_comparison_equals_the_plain_table(alphabet):
+    """Also over several lanes and their carries, at the edges of a lane, and for texts too long for the lanes."""
+    rnd = random.Random(len(alphabet))
+    a = some_texts(rnd, alphabet, 25, 150) + ["", alphabet[0] * 64, alphabet[0] * 63 + alphabet[1], alphabet[0] * 65, alphabet[0] * 200, alphabet[0] * 520, (alphabet[:2] * 300)[:513]]
+    b = some_texts(rnd, alphabet, 20, 150) + ["", alphabet[0] * 64, alphabet[0] * 128, alphabet[1] * 70, (alphabet[:2] * 300)[:400]]
+    i, j = np.divmod(np.arange(len(a) * len(b)), len(b))
+    want = np.array([plain_lcs(a[x], b[y]) for x, y in zip(i, j, strict=True)])
+    assert want.tolist() == [similarity.lcs_length(a[x], b[y]) for x, y in zip(i, j, strict=True)]
+    one, two = similarity.Block(a), similarity.Block(b)
+    assert np.array_equal(similarity.lcs_lengths(one, two, i, j, np.zeros(len(i), np.int64)), want)
+    least = np.array([rnd.randrange(1, 100) for _ in i])
+    cut = similarity.lcs_lengths(one, two, i, j, least)
+    assert np.all((cut == want) | ((cut == -1) & (want < least))) and (cut[want >= least] >= 0).all()
+    assert np.all(similarity.most_common(one, two)[i, j] >= want)
+
+
+def test_pairs_of_texts_of_one_script_equal_all_pairs():
+    rnd = random.Random(9)
+    words = ["casa", "perro", "grande", "lento", "agua", "el", "la", "de"]
+    texts = [" ".join(rnd.choices(words, k=rnd.randrange(3, 14))) for _ in range(150)]
+    texts = sorted({t if rnd.random() < 0.5 else t.replace("a", "o", 1) + "s" for t in texts} | {""})
+    for cutoff in (60.0, 80.0, 95.0):
+        got = {(r["text"], r["match"]): r["score"] for r in similarity.similar_pairs(texts, texts[::2], cutoff).to_pylist()}
+        assert got == {(x, y): similarity.ratio(x, y) for x in texts for y in texts[::2] if similarity.ratio(x, y) >= cutoff}
+
+
+def test_leader_numbers_equal_a_walk():
+    rnd = random.Random(12)
+    lists = [["".join(rnd.choices("abc", k=rnd.randrange(9))) for _ in range(rnd.randrange(11))] for _ in range(300)]
+    got = senses.leader_numbers(np.cumsum([0, *map(len, lists)]), [t for own in lists for t in own], 70.0).tolist()
+    want = []
+    for own in lists:
+        leaders = []
+        for t in own:
+            at = next((i for i, x in enumerate(leaders) if similarity.ratio(x, t) > 70), len(leaders))
+            if at == len(leaders):
+                leaders.append(t)
+            want.append(at + 1)
+    assert got == want and max(want) > 4
 
 
 def test_length_bands_lose_no_pair(spark):
