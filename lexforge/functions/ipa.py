@@ -90,23 +90,24 @@ MISSING = ("", "None")
 def fill_documents(documents: DataFrame, lookup: DataFrame, variant: str = "modern", skip_existing: bool = True, **options) -> DataFrame:
     """Fill `ipa_hebrew` of the senses; what has one stays when `skip_existing`, and a failure keeps the old value.
 
-    Adds `ipa_total`, `ipa_generated`, `ipa_skipped` and `ipa_failed` for each document.
+    Adds `ipa_total`, `ipa_generated`, `ipa_skipped` and `ipa_failed` for each document. The senses stay where they are: only the distinct
+    words of a document, of senses that are to be filled, leave it, and come back as one map of readings, by which the array is rewritten in place. Documents
+    of one id share the map; one without senses has counts of 0.
     """
-    senses = documents.select("id", F.posexplode("entry.senses").alias("at", "sense"))
-    words = transliterate(senses.select(F.col("sense.hebrew").alias("word")), lookup, variant, **options).drop("method")
-    old = F.col("sense.ipa_hebrew")
-    skip = F.coalesce(~old.isin(*MISSING), F.lit(False)) & F.lit(skip_existing)
-    read = senses.join(words, senses["sense.hebrew"] == words["word"], "left").withColumn("skip", skip)
-    new = F.when(F.col("skip"), old).otherwise(F.coalesce("ipa", old))
-    filled = read.groupBy("id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("at", F.col("sense").withField("ipa_hebrew", new).alias("sense")))), lambda s: s["sense"]).alias("senses"),
-        F.count(F.lit(1)).alias("ipa_total"), F.count_if(~F.col("skip") & F.col("ipa").isNotNull()).alias("ipa_generated"),
-        F.count_if("skip").alias("ipa_skipped"), F.count_if(~F.col("skip") & F.col("ipa").isNull()).alias("ipa_failed"),
+    old = lambda s: F.coalesce(~s["ipa_hebrew"].isin(*MISSING), F.lit(False)) & F.lit(skip_existing)
+    senses = F.col("entry.senses")
+    wanted = F.array_distinct(F.transform(F.filter(senses, lambda s: ~old(s) & s["hebrew"].isNotNull()), lambda s: s["hebrew"]))
+    words = documents.select("id", F.explode(wanted).alias("word")).distinct()
+    readings = transliterate(words, lookup, variant, **options).where("ipa is not null").select("word", "ipa")
+    maps = words.join(readings, "word").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("word", "ipa"))).alias("readings"))
+    own = documents.alias("d").join(maps.alias("m"), F.col("d.id").eqNullSafe(F.col("m.id")), "left").select("d.*", F.coalesce("m.readings", F.expr("cast(map() as map<string,string>)")).alias("readings"))
+    made = lambda s: F.when(~old(s), F.try_element_at(F.col("readings"), s["hebrew"]))
+    filled = F.transform(senses, lambda s: s.withField("ipa_hebrew", F.coalesce(made(s), s["ipa_hebrew"])))
+    count = lambda test: F.coalesce(F.size(F.filter(senses, test)), F.lit(0)).cast("long")
+    return own.select(
+        "id", F.when(senses.isNotNull(), F.col("entry").withField("senses", filled)).otherwise(F.col("entry")).alias("entry"), count(lambda s: F.lit(True)).alias("ipa_total"),
+        count(lambda s: made(s).isNotNull()).alias("ipa_generated"), count(old).alias("ipa_skipped"), count(lambda s: ~old(s) & made(s).isNull()).alias("ipa_failed"),
     )
-    out = documents.join(filled, "id", "left")
-    entry = F.when(F.col("senses").isNotNull(), F.col("entry").withField("senses", F.col("senses"))).otherwise(F.col("entry"))
-    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("ipa_total", "ipa_generated", "ipa_skipped", "ipa_failed")]
-    return out.select("id", entry.alias("entry"), *counts)
 
 
 def compare_known(known: DataFrame, lookup: DataFrame, variant: str = "modern") -> DataFrame:

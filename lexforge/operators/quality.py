@@ -46,6 +46,18 @@ def checks(df: DataFrame, rules: list[tuple[str, Column, float, str]]) -> DataFr
     return counts.select(F.inline(rows))
 
 
+def failing_rows(df: DataFrame, rules: list[tuple[str, Column, float, str]], *shown: str, order: str = "row_idx", n: int = 10) -> DataFrame:
+    """(check, place, order, shown...): the first `n` rows against each rule, by `order` and then by what is shown.
+
+    A row goes on once for each rule that it breaks, and each task keeps its own first `n` of a rule before they meet, so
+    that a rule that most rows break is no hot key. A rule that nothing breaks has no row; an empty table gives an empty result.
+    """
+    broken = F.array_compact(F.array(*(F.when(F.coalesce(bad, F.lit(False)), F.lit(name)) for name, bad, _, _ in rules)))
+    rows = df.select(F.explode(broken).alias("check"), order, *shown)
+    place = F.row_number().over(W.partitionBy("check").orderBy(order, *(c for c in shown if c != order)))
+    return rows.withColumn("place", place).where(F.col("place") <= n).select("check", "place", order, *shown)
+
+
 def enforce(report: DataFrame) -> DataFrame:
     """Raise for failed checks of level `fatal`."""
     if bad := [f"{r.check}: {r.bad} of {r.total}" for r in report.where("level = 'fatal' and not passed").collect()]:
@@ -53,15 +65,19 @@ def enforce(report: DataFrame) -> DataFrame:
     return report
 
 
-def entry_checks(df: DataFrame, hebrew: bool = False) -> DataFrame:
-    require(df, "word", "pos", "definitions")
+def entry_rules(hebrew: bool = False) -> list[tuple[str, Column, float, str]]:
     rules = [
         ("empty_word", blank("word"), 0.0, "fatal"), ("pos_unknown", blank("pos") | (F.col("pos") == "unknown"), 0.2, "warning"),
         ("empty_definitions", F.coalesce(F.size("definitions"), F.lit(0)) <= 0, 0.1, "warning"),
     ]
     if hebrew:
         rules.append(("no_hebrew_script", ~has_script(F.col("word")), 0.05, "warning"))
-    return checks(df, rules)
+    return rules
+
+
+def entry_checks(df: DataFrame, hebrew: bool = False) -> DataFrame:
+    require(df, "word", "pos", "definitions")
+    return checks(df, entry_rules(hebrew))
 
 
 ALIGNED_COLUMNS = ("es_word", "he_word", "sense_id", "match_type", "es_definition", "he_ipa")
@@ -74,16 +90,21 @@ def with_duplicates(df: DataFrame, *keys: str) -> DataFrame:
     return df.join(several, same, "left").select(*df.columns, F.coalesce("copies", F.lit(1)).alias("copies"))
 
 
-def alignment_checks(df: DataFrame) -> DataFrame:
-    require(df, *ALIGNED_COLUMNS)
+def alignment_rules(df: DataFrame) -> list[tuple[str, Column, float, str]]:
+    """The rules of aligned rows that `with_duplicates` has counted."""
     confidence = F.col("confidence") if "confidence" in df.columns else F.lit(None).cast("double")
     fuzzy = F.coalesce(F.startswith("match_type", F.lit("fuzzy")), F.lit(False))
-    return checks(with_duplicates(df, "es_word", "he_word", "sense_id"), [
+    return [
         ("null_es_word", F.col("es_word").isNull(), 0.0, "fatal"), ("null_he_word", F.col("he_word").isNull(), 0.0, "fatal"), ("null_sense_id", F.col("sense_id").isNull(), 0.0, "fatal"),
         ("sense_id_below_1", F.col("sense_id") < 1, 0.0, "error"), ("duplicates", F.col("copies") > 1, 0.0, "warning"),
         ("match_type", ~valid_match_type(F.col("match_type")), 0.0, "warning"), ("confidence", fuzzy & ((confidence < 0) | (confidence > 1)), 0.0, "warning"),
         ("no_hebrew_script", ~has_script(F.col("he_word")), 0.05, "warning"), ("missing_ipa", blank("he_ipa"), 0.2, "warning"),
-    ])
+    ]
+
+
+def alignment_checks(df: DataFrame) -> DataFrame:
+    require(df, *ALIGNED_COLUMNS)
+    return checks(with_duplicates(df, "es_word", "he_word", "sense_id"), alignment_rules(df))
 
 
 def example_checks(df: DataFrame) -> DataFrame:

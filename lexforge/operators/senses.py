@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexforge.functions.similarity import Block, lcs_lengths
+from lexforge.operators.numbering import placed
 from lexforge.schemas import SENSE
 
 
@@ -67,7 +68,7 @@ def _text(x: str) -> Column:
 
 
 def structure(enriched: DataFrame) -> DataFrame:
-    """(id, entry) for each word in ascending order, its senses in row order."""
+    """(id, entry) for each word, its senses in row order. Words have no order here; `dictionary_lines` puts them in order."""
     sense = F.struct(
         F.col("sense_id").cast("int").alias("sense_id"), _text("es_definition").alias("definition"), _text("he_ipa").alias("ipa_hebrew"),
         _text("he_word").alias("hebrew"), _text("es_pos").alias("pos"), F.col("examples").alias("examples"),
@@ -77,7 +78,7 @@ def structure(enriched: DataFrame) -> DataFrame:
         F.col("es_word").alias("word"), F.col("ipa"), F.lit("es").alias("language"), F.lit(None).cast("string").alias("etymology"),
         F.transform("all", lambda x: x["sense"]).cast(f"array<{SENSE}>").alias("senses"),
     )
-    return words.orderBy("es_word").select(F.concat(F.lit("es: "), F.col("es_word")).alias("id"), entry.alias("entry"))
+    return words.select(F.concat(F.lit("es: "), F.col("es_word")).alias("id"), entry.alias("entry"))
 
 
 def document_counts(documents: DataFrame) -> DataFrame:
@@ -89,9 +90,16 @@ def document_counts(documents: DataFrame) -> DataFrame:
     )
 
 
-def publish(documents: DataFrame, date: Column | str | None = None) -> DataFrame:
-    """The whole dictionary as one row: metadata and entries."""
+def metadata(date: Column | str | None = None) -> Column:
     day = F.date_format(F.current_date(), "yyyy-MM-dd") if date is None else F.lit(date) if isinstance(date, str) else date
-    metadata = F.struct(F.lit("es-he | he-es").alias("language_direction"), F.lit("1.0").alias("version"), F.lit("custom (Wiktionary + Tatoeba)").alias("source"), day.alias("generated_at"))
-    entries = F.transform(F.array_sort(F.collect_list(F.struct("id", "entry"))), lambda x: x)
-    return documents.agg(entries.alias("entries")).select(metadata.alias("metadata"), "entries")
+    return F.struct(F.lit("es-he | he-es").alias("language_direction"), F.lit("1.0").alias("version"), F.lit("custom (Wiktionary + Tatoeba)").alias("source"), day.alias("generated_at"))
+
+
+def dictionary_lines(documents: DataFrame) -> DataFrame:
+    """(place, line): the entries in the order of their ids, each a line of JSON, with a comma before all but the first.
+
+    Null fields are kept. Documents of one id follow each other by their JSON. No row holds more than an entry.
+    """
+    lines = documents.select("id", F.to_json(F.struct("id", "entry"), {"ignoreNullFields": "false"}).alias("line"))
+    ordered = placed(lines, [F.col("id"), F.col("line")], "place")
+    return ordered.select("place", F.concat(F.when(F.col("place") > 0, ",").otherwise(""), F.col("line")).alias("line"))

@@ -42,7 +42,7 @@ PIPELINES: dict[str, list[Step]] = {
         Step(senses.cluster_senses, ("enriched_plain",), ("enriched",)), Step(senses.structure, ("enriched",), ("documents",)),
     ],
     "phonemization": [Step(ipa.build_lookup, ("hebrew_entries",), ("lookup",)), Step(ipa.fill_documents, ("documents", "lookup"), ("documents_with_ipa",))],
-    "output": [Step(lambda d: senses.publish(d.select("id", "entry")), ("documents_with_ipa",), ("dictionary",))],
+    "output": [Step(senses.dictionary_lines, ("documents_with_ipa",), ("dictionary",))],
     "statistics": [
         Step(stats.parsing_stats, ("spanish_entries", "hebrew_entries", "examples"), ("parsing_stats",)), Step(stats.parsing_charts, ("parsing_stats",), ("parsing_charts",)),
         Step(stats.alignment_stats, ("aligned", "enriched"), ("alignment_stats",)), Step(stats.alignment_charts, ("alignment_stats",), ("alignment_charts",)),

@@ -8,14 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexforge.functions import ipa as ipa_functions
 from lexforge.functions import similarity, text
 from lexforge.operators import align, clean, examples, monitor, parse, quality, senses, stats
-from lexforge.sources import readers
+from lexforge.plans.recovery import scratch
+from lexforge.sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,12 +77,12 @@ def lang_filter_project(spark, sf):
 
 
 @query(f"""
-WITH t AS (SELECT doc_id, {ES_TOKENS} AS w FROM documents WHERE lang = 'es'),
+WITH t AS (SELECT doc_id, {ES_TOKENS} AS w FROM documents),
 p AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM t),
 f AS (SELECT doc_id, word, min(i) AS i FROM p WHERE word != '' GROUP BY doc_id, word)
 SELECT t.doc_id, coalesce(string_agg(word, ' ' ORDER BY i), '') AS words FROM t LEFT JOIN f USING (doc_id) GROUP BY t.doc_id""")
 def translations_distinct(spark, sf):
-    own = table(spark, sf, "documents").where("lang = 'es'")
+    own = table(spark, sf, "documents")
     return own.select("doc_id", text.joined(text.first_distinct(text.tokenize_spanish(F.col("text")))).alias("words"))
 
 
@@ -94,6 +95,21 @@ def proper_noun_filter(spark, sf):
     return clean.filter_proper_nouns(words).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+TAGS = {"ECONOMY": "Name", "PROMO": "PROPN", "SMALL": "proper noun"}
+
+
+@query(f"""
+SELECT p_partkey, p_brand AS word, pos FROM (SELECT *, CASE p_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in TAGS.items())} WHEN 'LARGE' THEN NULL ELSE lower(p_type) END AS pos, lower(p_name) AS low FROM part)
+WHERE pos IS NULL OR lower(pos) NOT IN ('{"', '".join(clean.PROPER_TAGS)}')""")
+def proper_noun_tags(spark, sf):
+    """Rows with a tag, some of them null; the words themselves are in lower case."""
+    pos = F.when(F.col("p_type") == "LARGE", F.lit(None))
+    for kind, tag in TAGS.items():
+        pos = pos.when(F.col("p_type") == kind, tag)
+    part = table(spark, sf, "part").select("p_partkey", "p_brand", F.col("p_name").alias("word"), pos.otherwise(F.lower("p_type")).alias("pos"))
+    return clean.filter_proper_nouns(part).select("p_partkey", F.col("p_brand").alias("word"), "pos")
+
+
 @query("""
 WITH u AS (
   SELECT *, CASE lang WHEN 'es' THEN 0 WHEN 'fr' THEN 1 ELSE 2 END AS turn FROM documents WHERE lang IN ('es', 'fr', 'de')
@@ -122,13 +138,17 @@ def frequency_rank(spark, sf):
 # JSON lines and what is parsed out of them: a part is a record, with parts of it missing or broken as its own columns have it
 
 
+#: What `code` says where `lang_code` says the key.
+CODES = {"es": "he", "he": "es", "en": "en"}
+
+
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    """(row_idx, value): a line for each part. Lines of the largest sizes lack their end, and those of size 1 are blank."""
+    """(row_idx, value): a line for each part. Lines of the largest sizes lack their end, those of size 1 are blank, and of odd sizes the key of a null tag is absent. `code` names another language than `lang_code`."""
     part = table(spark, sf, "part")
     sound = lambda key, value: F.create_map(F.lit(key), value)
     kind, size = F.col("p_type"), F.col("p_size")
     gloss = lambda *x: F.struct(F.array(*x).cast("array<string>").alias("glosses"))
-    word = lambda language, x: F.struct(F.lit(language).alias("lang_code"), F.lit(language).alias("code"), x.alias("word"))
+    word = lambda language, x: F.struct(F.lit(language).alias("lang_code"), F.lit(CODES[language]).alias("code"), x.alias("word"))
     record = F.struct(
         F.when(size != 2, F.col("p_name")).otherwise("").alias("word"), F.when(kind != "ECONOMY", kind).alias("pos"),
         F.when(size <= 20, "es").when(size <= 40, "he").otherwise("fr").alias("lang_code"),
@@ -136,7 +156,8 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
         F.when(size % 3 == 0, F.array(gloss(), gloss(kind, F.col("p_name")), gloss(F.col("p_brand")))).when(size % 3 == 1, F.array(gloss())).alias("senses"),
         F.when(size % 5 > 0, F.array(*(word(x, F.col(c)) for x, c in (("he", "p_brand"), ("en", "p_name"), ("he", "p_type"), ("he", "p_brand"), ("es", "p_name"))), word("he", F.lit("")))).alias("translations"),
     )
-    text = F.to_json(record, {"ignoreNullFields": "false"})
+    whole = {"ignoreNullFields": "false"}
+    text = F.when((size % 2 == 1) & (kind == "ECONOMY"), F.to_json(record.dropFields("pos"), whole)).otherwise(F.to_json(record, whole))
     lines = part.select(F.col("p_partkey").alias("row_idx"), size.alias("size"), text.alias("text"))
     cut = F.substring(F.col("text"), F.lit(1), F.length("text") - 2)
     return lines.select("row_idx", F.when(F.col("size") == 1, "  ").when(F.col("size") >= 48, cut).otherwise(F.col("text")).alias("value"))
@@ -177,12 +198,47 @@ def malformed_json_lines(spark, sf):
     return readers.malformed_lines(_lines(spark, sf)).select("row_idx")
 
 
+# Files: the same lines, written to the shared folder and scanned
+
+
+def _written(lines: DataFrame, columns: list[str], label: str, files: int, gzip: bool = False) -> str:
+    """A folder of text files that hold `columns`, tab-separated, in the order of `row_idx`."""
+    path = scratch(lines.sparkSession, label)
+    ordered = lines.repartitionByRange(files, "row_idx").sortWithinPartitions("row_idx").select(F.concat_ws("\t", *columns).alias("value"))
+    ordered.write.option("compression", "gzip" if gzip else "none").text(path)
+    return path
+
+
+#: Places of the lines in their files, blank and broken ones included.
+PLACED_SQL = PARSED_SQL + ", placed AS (SELECT r.*, n FROM r JOIN (SELECT p_partkey AS row_idx, row_number() OVER (ORDER BY p_partkey) - 1 AS n FROM part) USING (row_idx))"
+
+
+@query(PLACED_SQL + " SELECT n AS row_idx, word, pos, ipa, definitions, en AS translations_en, '' AS translations_fr, '' AS translations_de, he AS translations_he FROM placed WHERE lang = 'es' AND word != ''")
+def scan_json_lines(spark, sf):
+    return _flat(parse.spanish_entries(readers.read_json_lines(spark, _written(_lines(spark, sf), ["value"], "jsonl", 3))))
+
+
+@query(PLACED_SQL + " SELECT n AS row_idx, lang AS source_lang, word, pos, ipa, definitions, he AS translations_es, es AS translations_he FROM placed WHERE lang IN ('es', 'he') AND s % 5 > 0 AND word != ''")
+def scan_gzip_bridge(spark, sf):
+    """Several gzip files; the language of a translation is that of `code`."""
+    return _flat(parse.bridge_entries(readers.read_translated(spark, _written(_lines(spark, sf), ["value"], "jsonl-gz", 4, gzip=True)), "code"))
+
+
+@query("""
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_idx, CAST(doc_id AS VARCHAR) AS id, lang, md5(trim(regexp_replace(text, '[\\s"]+', ' ', 'g'))) AS digest FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL""")
+def scan_sentences(spark, sf):
+    docs = table(spark, sf, "documents").where("text is not null and lang is not null")
+    flat = docs.select(F.col("doc_id").alias("row_idx"), F.col("doc_id").cast("string").alias("id"), "lang", F.btrim(F.regexp_replace("text", '[\\s"]+', " ")).alias("text"))
+    out = readers.read_sentences(spark, _written(flat, ["id", "lang", "text"], "tsv", 3))
+    return out.select("row_idx", "id", "lang", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest"))
+
+
 # Tokens and pairs
 
 
-@query(f"SELECT word, count(*) AS n FROM (SELECT unnest({ES_TOKENS}) AS word FROM documents WHERE lang = 'es') GROUP BY word")
+@query(f"SELECT word, count(*) AS n FROM (SELECT unnest({ES_TOKENS}) AS word FROM documents) GROUP BY word")
 def tokenize_es(spark, sf):
-    own = table(spark, sf, "documents").where("lang = 'es'")
+    own = table(spark, sf, "documents")
     return own.select(F.explode(text.tokenize_spanish(F.col("text"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -290,33 +346,42 @@ def fuzzy_ratio_sql(spark, sf):
 
 
 def _cascade(spark: SparkSession, sf: str) -> DataFrame:
-    part = table(spark, sf, "part")
-    es = _entries(spark, sf).withColumn("translations_he", F.when(F.col("row_idx") % 3 == 0, F.col("translations_he")).otherwise(F.array().cast("array<string>")))
-    he = _targets(spark, sf)
-    links = part.where("p_partkey % 3 = 1").groupBy("p_brand").agg(F.min("p_partkey").alias("row_idx"), F.array_sort(F.collect_set("p_name")).alias("translations_he"))
-    bridge = links.select("row_idx", F.lit("es").alias("source_lang"), F.col("p_brand").alias("word"), "translations_he")
-    return align.align(clean.add_frequency_ranks(es), he, bridge)
+    """An entry for each brand, size and kind, its word the brand and size. It lists the names of its parts that some order has most of at the highest discount; the bridge
+    lists those that some order has most of; what neither reaches is left to the definitions, which are the kinds."""
+    part = table(spark, sf, "part").withColumn("word", F.concat_ws("|", "p_brand", "p_size"))
+    most = table(spark, sf, "lineitem").where("l_quantity >= 50").select(F.col("l_partkey").alias("p_partkey"), (F.col("l_discount") >= 0.1).alias("cheap")).groupBy("p_partkey").agg(F.bool_or("cheap").alias("cheap"))
+    flagged = part.join(most, "p_partkey", "left")
+    listed = F.when(F.col("cheap"), F.struct("p_partkey", "p_name"))
+    es = flagged.groupBy("word", "p_type").agg(F.transform(F.array_sort(F.collect_list(listed)), lambda r: r["p_name"]).alias("translations_he"), F.min("p_partkey").alias("row_idx"))
+    es = es.select("row_idx", "word", F.lit("i").alias("ipa"), F.lit("noun").alias("pos"), F.array("p_type").alias("definitions"), "translations_he")
+    links = flagged.where("cheap is not null").groupBy("word").agg(F.min("p_partkey").alias("row_idx"), F.array_sort(F.collect_set("p_name")).alias("translations_he"))
+    return align.align(clean.add_frequency_ranks(es), _targets(spark, sf), links.withColumn("source_lang", F.lit("es")))
 
 
 @query("""
-WITH e AS (SELECT p_brand, p_type, min(p_partkey) AS row_idx, list(p_name ORDER BY p_partkey) AS names FROM part GROUP BY p_brand, p_type),
+WITH most AS (SELECT l_partkey AS p_partkey, bool_or(l_discount >= 0.1) AS cheap FROM lineitem WHERE l_quantity >= 50 GROUP BY l_partkey),
+p AS (SELECT part.*, cheap, p_brand || '|' || p_size AS word FROM part LEFT JOIN most USING (p_partkey)),
+e0 AS (SELECT word, p_type, min(p_partkey) AS row_idx, coalesce(list(p_name ORDER BY p_partkey) FILTER (cheap), []) AS names FROM p GROUP BY word, p_type),
+s AS (SELECT *, CAST(0.4 AS DOUBLE) * len(names) + CAST(0.4 AS DOUBLE) * 0 + CAST(0.2 AS DOUBLE) * 0 + CAST(0.1 AS DOUBLE) * 0 + CAST(0.3 AS DOUBLE) * 1 + CAST(0.3 AS DOUBLE) * greatest(0::DOUBLE, (10::DOUBLE - length(word)) / 10::DOUBLE) AS score FROM e0),
+e AS (SELECT *, dense_rank() OVER (ORDER BY score DESC) AS rank FROM s),
 h AS (SELECT p_name AS he_word, arg_min(p_type, p_partkey) AS he_definition FROM part GROUP BY p_name),
 direct AS (
-  SELECT p_brand AS es_word, p_type AS es_definition, he_word, he_definition, CAST(i AS INT) AS sense_id, 'direct' AS match_type, CAST(NULL AS DOUBLE) AS confidence
-  FROM (SELECT p_brand, p_type, unnest(names) AS he_word, generate_subscripts(names, 1) AS i FROM e WHERE row_idx % 3 = 0) JOIN h USING (he_word)
-), rest AS (SELECT * FROM e WHERE p_brand NOT IN (SELECT es_word FROM direct)),
-link AS (SELECT p_brand, min(p_name) AS he_word FROM part WHERE p_partkey % 3 = 1 GROUP BY p_brand),
+  SELECT 1 AS stage, row_idx AS a, i - 1 AS b, word AS es_word, p_type AS es_definition, he_word, he_definition, CAST(i AS INT) AS sense_id, 'direct' AS match_type, CAST(NULL AS DOUBLE) AS confidence
+  FROM (SELECT word, p_type, row_idx, unnest(names) AS he_word, generate_subscripts(names, 1) AS i FROM e) JOIN h USING (he_word)
+), rest AS (SELECT * FROM e WHERE word NOT IN (SELECT es_word FROM direct)),
+link AS (SELECT word, min(p_name) AS he_word FROM p WHERE cheap IS NOT NULL GROUP BY word),
 bridged AS (
-  SELECT p_brand AS es_word, arg_min(p_type, row_idx) AS es_definition, any_value(he_word) AS he_word, any_value(he_definition) AS he_definition, 1 AS sense_id, 'triangulation' AS match_type, CAST(NULL AS DOUBLE) AS confidence
-  FROM rest JOIN link USING (p_brand) JOIN h USING (he_word) GROUP BY p_brand
-), last AS (SELECT * FROM rest WHERE p_brand NOT IN (SELECT es_word FROM bridged)),
+  SELECT 2 AS stage, min(row_idx) AS a, 0 AS b, word AS es_word, arg_min(p_type, row_idx) AS es_definition, any_value(he_word) AS he_word, any_value(he_definition) AS he_definition, 1 AS sense_id, 'triangulation' AS match_type, CAST(NULL AS DOUBLE) AS confidence
+  FROM rest JOIN link USING (word) JOIN h USING (he_word) GROUP BY word
+), last AS (SELECT * FROM rest WHERE word NOT IN (SELECT es_word FROM bridged)),
 txt AS (SELECT p_type, arg_max(p_name, p_partkey) AS he_word FROM part GROUP BY p_type),
 fuzzy AS (
-  SELECT p_brand AS es_word, p_type AS es_definition, he_word, p_type AS he_definition, 1 AS sense_id, 'fuzzy_100.0' AS match_type, CAST(1.0 AS DOUBLE) AS confidence FROM last JOIN txt USING (p_type)
+  SELECT 3 AS stage, rank AS a, row_idx AS b, word AS es_word, p_type AS es_definition, he_word, p_type AS he_definition, 1 AS sense_id, 'fuzzy_100.0' AS match_type, CAST(1.0 AS DOUBLE) AS confidence FROM last JOIN txt USING (p_type)
 )
 SELECT * FROM direct UNION ALL SELECT * FROM bridged UNION ALL SELECT * FROM fuzzy""")
 def align_cascade(spark, sf):
-    return _cascade(spark, sf).select("es_word", "es_definition", "he_word", "he_definition", "sense_id", "match_type", "confidence")
+    """All entries by all strategies, with the order of the rows: the entry and place of a direct link, the entry of a bridged one, the rank and entry of a fuzzy one."""
+    return _cascade(spark, sf).select("ord.stage", "ord.a", "ord.b", "es_word", "es_definition", "he_word", "he_definition", "sense_id", "match_type", "confidence")
 
 
 @query(f"""
@@ -376,12 +441,14 @@ def leader_cluster_guard(spark, sf):
 # Documents
 
 
-def _documents(spark: SparkSession, sf: str) -> DataFrame:
+def _documents(spark: SparkSession, sf: str, words: DataFrame | None = None) -> DataFrame:
+    """A document for each customer, a sense for each line of its orders; the Hebrew word is the part's number, or what `words` (l_partkey, he_word) has for it."""
     lines = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lines.withColumn("he_word", F.col("l_partkey").cast("string")) if words is None else lines.join(words, "l_partkey")
     none = F.expr("cast(array() as array<struct<es:string,he:string>>)")
     rows = lines.select(
         F.struct("o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus").alias("ord"), F.col("o_custkey").cast("string").alias("es_word"), F.lit("e").alias("es_ipa"), F.col("l_returnflag").alias("es_pos"),
-        F.col("o_orderpriority").alias("es_definition"), F.col("l_partkey").cast("string").alias("he_word"), F.when(F.col("l_linestatus") == "F", F.lit("/x/")).alias("he_ipa"),
+        F.col("o_orderpriority").alias("es_definition"), "he_word", F.when(F.col("l_linestatus") == "F", F.lit("/x/")).alias("he_ipa"),
         F.col("l_linenumber").alias("sense_id"), none.alias("examples"),
     )
     return senses.structure(rows)
@@ -404,57 +471,147 @@ def final_document_stats(spark, sf):
 
 
 @query("""
-SELECT 'es-he | he-es' AS language_direction, '1.0' AS version, '2024-01-01' AS generated_at, count(DISTINCT o_custkey) AS entries FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
-def publish_metadata(spark, sf):
-    docs = _documents(spark, sf)
-    return senses.publish(docs, "2024-01-01").select("metadata.language_direction", "metadata.version", "metadata.generated_at", F.size("entries").cast("long").alias("entries"))
+WITH d AS (
+  SELECT 'es: ' || CAST(o_custkey AS VARCHAR) AS id, string_agg(CAST(l_linenumber AS VARCHAR) || '/' || CAST(l_partkey AS VARCHAR) || '/' || o_orderpriority || '/' || CASE WHEN l_linestatus = 'F' THEN '/x/' ELSE 'None' END, ';'
+    ORDER BY o_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus) AS senses
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey
+)
+SELECT row_number() OVER (ORDER BY id) - 1 AS place, id, substr(id, 5) AS word, md5(senses) AS senses, 'es-he | he-es' AS language_direction, '1.0' AS version, '2024-01-01' AS generated_at FROM d""")
+def publish_dictionary(spark, sf):
+    """Written as one JSON document in parts, and every entry read back from the files."""
+    path = scratch(spark, "dictionary")
+    writers.write_dictionary(_documents(spark, sf), path, "2024-01-01")
+    head, entries = readers.read_dictionary(spark, path)
+    one = F.transform("entry.senses", lambda s: F.concat_ws("/", s["sense_id"].cast("string"), s["hebrew"], s["definition"], s["ipa_hebrew"]))
+    rows = entries.select("place", "id", "entry.word", F.md5(F.array_join(one, ";").cast("binary")).alias("senses"))
+    return rows.crossJoin(F.broadcast(head.drop("source")))  # one row
+
+
+# Phonetic script: words of documents and names of parts, their letters taken for Hebrew letters and points
+
+LATIN, SCRIPT = "abcdefghijklmnopqrstuvwxyz", "אבָדֶפגהיִכּמנולקרשֹׂוצחיז"
+
+
+def _hebrew(x: Column) -> Column:
+    return F.translate(F.lower(x), LATIN, SCRIPT)
+
+
+def _hebrew_sql(x: str) -> str:
+    return f"translate(lower({x}), '{LATIN}', '{SCRIPT}')"
+
 
+def _ruled_sql(words: str, variant: str) -> str:
+    """CTEs ending in `ruled_<variant>` (word, sound): a walk over each word, a place or two at a time."""
+    letters = ipa_functions.CONSONANTS | (ipa_functions.SEPHARDIC if variant == "sephardic" else {})
+    pick = lambda of, x: f"CASE {x} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in of.items()) + " END"
+    pairs = {a + b: v for (a, b), v in ipa_functions.POINTED.items()}
+    points = "'" + "', '".join(ipa_functions.VOWELS) + "'"
+    w = f"walk_{variant}"
+    return f"""
+{w} AS (
+  SELECT word, 1 AS i, '' AS out FROM {words}
+  UNION ALL
+  SELECT word, i + CASE WHEN pair IS NOT NULL OR (c = 'י' AND d = 'י') THEN 2 ELSE 1 END,
+    out || coalesce(pair, vowel, CASE WHEN letter IS NULL THEN '' WHEN c = 'ו' AND before IS NOT NULL AND d != '' AND d NOT IN ({points}) THEN 'o' WHEN c = 'י' AND d = 'י' THEN 'jj' ELSE letter END)
+  FROM (
+    SELECT word, i, out, c, d, {pick(pairs, 'c || d')} AS pair, {pick(ipa_functions.VOWELS, 'c')} AS vowel, {pick(letters, 'c')} AS letter, {pick(letters, 'p')} AS before
+    FROM (SELECT *, substr(word, i, 1) AS c, substr(word, i + 1, 1) AS d, CASE WHEN i > 1 THEN substr(word, i - 1, 1) END AS p FROM {w} WHERE i <= length(word))
+  )
+), ruled_{variant} AS (SELECT word, nullif(out, '') AS sound FROM {w} WHERE i > length(word))"""
 
-# Phonetic script, on literal words
 
-WORDS = ("שלום", "בית", "ספר", "בּ", "שׂר", "דו", "שוב", "יי", "יום", "רוֹב", "חָבֵר", "hello", "עץ", "מלך", "אהבה גדולה", "בן-אדם", "שלום hello", "  בית  ", "כּלב", "פּה")
-LOOKUP = (("בית", "ˈba.jit"), ("אהבה", "ahaˈva"), ("שלום", "ʃaˈlom"))
+TOKENS_SQL = f"tokens AS (SELECT DISTINCT {_hebrew_sql('w')} AS word FROM (SELECT unnest({RAW_TOKENS.format(n=0)}) AS w FROM documents) WHERE w != '')"
 
 
-def _words(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in WORDS], "word string")
+def _tokens(spark: SparkSession, sf: str) -> DataFrame:
+    raw = table(spark, sf, "documents").select(F.explode(F.split(text.strip(F.coalesce("text", F.lit(""))), text.SPACE)).alias("w")).where("w != ''").distinct()
+    return raw.select(_hebrew(F.col("w")).alias("word")).distinct()
 
 
-def _lookup(spark: SparkSession, rows=LOOKUP) -> DataFrame:
-    return spark.createDataFrame(list(rows), "word string, ipa string")
+def _known(spark: SparkSession, sf: str) -> DataFrame:
+    """A word table: names of promoted parts whole and first words of other names, read as their brands, which are not clean."""
+    word = F.when(F.col("p_type") == "PROMO", _hebrew(F.col("p_name"))).otherwise(_hebrew(F.substring_index("p_name", " ", 1)))
+    sound = F.when(F.col("p_type") != "ECONOMY", F.concat(F.lit("/"), F.lower("p_brand"), F.lit("(h)/ [x]")))
+    return ipa_functions.build_lookup(table(spark, sf, "part").select(F.col("p_partkey").alias("row_idx"), word.alias("word"), sound.alias("ipa")))
 
 
-def _values(rows: list[tuple[str | None, ...]], *names: str) -> str:
-    cell = lambda x: "CAST(NULL AS VARCHAR)" if x is None else "'" + x.replace("'", "''") + "'"
-    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)}) AS t({', '.join(names)})"
+KNOWN_SQL = f"""
+known AS (
+  SELECT CASE WHEN p_type = 'PROMO' THEN {_hebrew_sql('p_name')} ELSE {_hebrew_sql("split_part(p_name, ' ', 1)")} END AS word, arg_max(lower(p_brand), p_partkey) AS ipa
+  FROM part WHERE p_type != 'ECONOMY' GROUP BY 1
+)"""
 
 
-#: Sounds worked out by hand from the rules.
-RULED = ("ʃlom", "bjt", "spʁ", "b", "sʁ", "dv", "ʃob", "jj", "jom", "ʁvob", "χabeʁ", None, "ʔts", "mlχ", None, None, None, None, "klb", "ph")
+def _read_sql(words: str) -> str:
+    """CTEs ending in `reading` (word, ipa, method) for a relation of words and phrases."""
+    return f"""
+parts AS (
+  SELECT word, CASE WHEN contains(word, ' ') THEN ' ' ELSE '-' END AS mark, unnest(p) AS part, generate_subscripts(p, 1) AS place
+  FROM (SELECT word, list_filter(string_split(word, CASE WHEN contains(word, ' ') THEN ' ' ELSE '-' END), lambda x: x != '') AS p FROM {words})
+), single AS (SELECT DISTINCT part AS word FROM parts), {_ruled_sql('single', 'modern')},
+sounds AS (SELECT parts.*, known.ipa AS looked, coalesce(known.ipa, sound) AS sound FROM parts LEFT JOIN known ON known.word = part LEFT JOIN ruled_modern r ON r.word = part),
+joined AS (SELECT word, CASE WHEN count(sound) = count(*) THEN replace(string_agg(sound, chr(1) ORDER BY place), chr(1), any_value(mark)) END AS ipa, bool_and(looked IS NOT NULL) AS all_looked FROM sounds GROUP BY word),
+reading AS (
+  SELECT w.word, '/' || coalesce(known.ipa, joined.ipa) || '/' AS ipa,
+    CASE WHEN known.ipa IS NOT NULL THEN 'lookup' WHEN joined.ipa IS NULL THEN NULL WHEN all_looked THEN 'lookup' ELSE 'rules' END AS method
+  FROM {words} w LEFT JOIN known USING (word) LEFT JOIN joined USING (word)
+)"""
 
 
-@query(_values([(w, None if r is None else f"/{r}/") for w, r in zip(WORDS, RULED, strict=True) if " " not in w and "-" not in w], "word", "ipa"))
+@query(f"WITH RECURSIVE {TOKENS_SQL}, {_ruled_sql('tokens', 'modern')}, {_ruled_sql('tokens', 'sephardic')} SELECT word, m.sound AS modern, s.sound AS sephardic FROM ruled_modern m JOIN ruled_sephardic s USING (word)")
 def ipa_rules(spark, sf):
-    words = _words(spark).where("not contains(word, ' ') and not contains(word, '-')")
-    return ipa_functions.transliterate(words, _lookup(spark, ()), "modern").select("word", "ipa")
+    """The rules in both variants, on every word of all documents."""
+    return _tokens(spark, sf).select("word", ipa_functions.rules(F.col("word")).alias("modern"), ipa_functions.rules(F.col("word"), "sephardic").alias("sephardic"))
 
 
-@query(_values([("בית", "/ˈba.jit/", "lookup"), ("  בית  ", "/ˈba.jit/", "lookup"), ("ספר", "/spʁ/", "rules"), ("hello", None, None), ("שלום", "/ʃaˈlom/", "lookup")], "word", "ipa", "method"))
+@query(f"""
+WITH RECURSIVE {TOKENS_SQL}, {KNOWN_SQL}, names AS (SELECT DISTINCT {_hebrew_sql('p_name')} AS n, {_hebrew_sql('p_type')} AS t FROM part),
+words AS (SELECT word FROM tokens UNION SELECT n FROM names UNION SELECT replace(n, ' ', '-') FROM names UNION SELECT n || ' ' || t FROM names UNION SELECT n || ' 7' FROM names),
+{_read_sql('words')} SELECT word, ipa, method FROM reading""")
 def ipa_lookup_chain(spark, sf):
-    words = _words(spark).where(F.col("word").isin("בית", "  בית  ", "ספר", "hello", "שלום"))
-    return ipa_functions.transliterate(words, _lookup(spark))
+    """Words of all documents, and phrases of part names with spaces and hyphens, some with a part that nothing reads: whole look-up, parts, rules."""
+    names = table(spark, sf, "part").select(_hebrew(F.col("p_name")).alias("n"), _hebrew(F.col("p_type")).alias("t"))
+    phrases = names.select(F.explode(F.array("n", F.replace("n", F.lit(" "), F.lit("-")), F.concat_ws(" ", "n", "t"), F.concat("n", F.lit(" 7")))).alias("word"))
+    return ipa_functions.transliterate(_tokens(spark, sf).union(phrases), _known(spark, sf))
 
 
-@query(_values([("אהבה גדולה", "/ahaˈva ɡdolh/"), ("בן-אדם", "/bn-ʔdm/"), ("שלום hello", None)], "word", "ipa"))
-def ipa_phrase(spark, sf):
-    words = _words(spark).where(F.col("word").isin("אהבה גדולה", "בן-אדם", "שלום hello"))
-    return ipa_functions.transliterate(words, _lookup(spark)).select("word", "ipa")
+@query(f"""
+WITH RECURSIVE names AS (SELECT DISTINCT p_name, {_hebrew_sql("split_part(p_name, ' ', 1)")} AS word, split_part(p_name, ' ', 1) AS latin FROM part),
+one AS (SELECT DISTINCT word, latin FROM names), {_ruled_sql('one', 'modern')}
+SELECT word, '[' || latin || ']' AS existing_ipa, '/' || sound || '/' AS generated_ipa, coalesce(sound, '') = latin AS exact_match,
+  CASE WHEN coalesce(sound, '') = '' THEN 0.0::DOUBLE ELSE CAST(len(list_filter(string_split(sound, ''), lambda c: contains(latin, c))) AS DOUBLE) / greatest(length(sound), length(latin)) END AS similarity,
+  CASE WHEN sound IS NOT NULL THEN 'rules' END AS method FROM one JOIN ruled_modern USING (word)""")
+def ipa_compare(spark, sf):
+    """What the rules make of the first words of part names, beside the words themselves in brackets."""
+    first = F.substring_index("p_name", " ", 1)
+    known = table(spark, sf, "part").select(_hebrew(first).alias("word"), F.concat(F.lit("["), first, F.lit("]")).alias("ipa")).distinct()
+    return ipa_functions.compare_known(known, _known(spark, sf).limit(0))
+
+
+RAW_SQL = {"ECONOMY": ("'/' || p_name || '/'", "p_name"), "PROMO": ("'[' || p_name || '] '", "p_name"), "SMALL": ("p_name || ' [' || p_brand || ']'", "p_name"), "MEDIUM": ("'/' || p_name || '/ ~ /' || p_brand || '/'", "p_name"),
+    "LARGE": ("'/(' || p_name || ')/'", "NULL"), "STANDARD": ("'  ' || p_name || '   ' || p_brand || '(' || p_size || ')'", "p_name || ' ' || p_brand")}
+
+
+@query(f"SELECT p_partkey, CASE p_type {' '.join(f"WHEN '{k}' THEN {raw}" for k, (raw, _) in RAW_SQL.items())} END AS raw, CASE p_type {' '.join(f"WHEN '{k}' THEN {out}" for k, (_, out) in RAW_SQL.items())} END AS ipa FROM part")
+def ipa_clean(spark, sf):
+    """Names of parts in slashes, brackets, with alternatives and optional parts."""
+    raw = F.expr(f"CASE p_type {' '.join(f"WHEN '{k}' THEN {x}" for k, (x, _) in RAW_SQL.items())} END")
+    return table(spark, sf, "part").select("p_partkey", raw.alias("raw")).withColumn("ipa", text.clean_ipa(F.col("raw")))
 
 
-@query(_values([("ספר", "/spr/"), ("חָבֵר", "/ħaber/"), ("עץ", "/ʕts/")], "word", "ipa"))
-def ipa_sephardic(spark, sf):
-    words = _words(spark).where(F.col("word").isin("ספר", "חָבֵר", "עץ"))
-    return ipa_functions.transliterate(words, _lookup(spark, ()), "sephardic").select("word", "ipa")
+@query(f"""
+WITH RECURSIVE {KNOWN_SQL}, j AS (
+  SELECT o_custkey, l_linestatus = 'F' AS old, {_hebrew_sql('p_name')} AS word, o_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+), words AS (SELECT DISTINCT word FROM j), {_read_sql('words')}
+SELECT 'es: ' || CAST(o_custkey AS VARCHAR) AS id, count(*) AS ipa_total, count(*) FILTER (NOT old AND ipa IS NOT NULL) AS ipa_generated, count(*) FILTER (old) AS ipa_skipped, count(*) FILTER (NOT old AND ipa IS NULL) AS ipa_failed,
+  md5(string_agg(CASE WHEN old THEN '/x/' ELSE coalesce(ipa, 'None') END, ';' ORDER BY o_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus)) AS readings
+FROM j JOIN reading USING (word) GROUP BY o_custkey""")
+def ipa_fill(spark, sf):
+    """The nested documents, filled in place."""
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), _hebrew(F.col("p_name")).alias("he_word"))
+    filled = ipa_functions.fill_documents(_documents(spark, sf, part), _known(spark, sf))
+    readings = F.array_join(F.transform("entry.senses", lambda s: s["ipa_hebrew"]), ";")
+    return filled.select("id", "ipa_total", "ipa_generated", "ipa_skipped", "ipa_failed", F.md5(readings.cast("binary")).alias("readings"))
 
 
 @query("""
@@ -466,14 +623,6 @@ def ipa_overlap(spark, sf):
     return pairs.select("x", "y", text.overlap(F.col("x"), F.col("y")).alias("similarity"))
 
 
-CLEANED = (("/ʃaˈlom/", "ʃaˈlom"), ("[ba.jit]", "ba.jit"), ("/ħɔː(h)/ [alt]", "ħɔː"), ("/a b/ ~ /c/", "a b"), ("/(ʔ)/", None), ("  ", None), ("a  b", "a b"))
-
-
-@query(_values(list(CLEANED), "raw", "ipa"))
-def ipa_clean(spark, sf):
-    return spark.createDataFrame([(a,) for a, _ in CLEANED], "raw string").select("raw", text.clean_ipa(F.col("raw")).alias("ipa"))
-
-
 @query("""
 SELECT c AS char, count(*) AS count FROM (SELECT unnest(string_split(p_name, '')) AS c FROM part) WHERE c NOT IN (' ', '-') GROUP BY c ORDER BY count DESC, char LIMIT 30""")
 def char_frequency(spark, sf):
@@ -621,23 +770,43 @@ ALIGNED_SOURCE = "(SELECT *, count(*) OVER (PARTITION BY lang, source, quality)
     ("no_hebrew_script", ALIGNED_SOURCE, "NOT regexp_matches(source, '[֐-׿]')", "", 0.05, "warning"), ("missing_ipa", ALIGNED_SOURCE, "lang = 'en'", "", 0.2, "warning"),
 ]))
 def alignment_checks(spark, sf):
+    return _checked(quality.alignment_checks(_labelled(spark, sf)))
+
+
+def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
-    rows = docs.select(
-        F.col("lang").alias("es_word"), F.col("source").alias("he_word"), F.col("quality").alias("sense_id"), F.when(F.col("toxic") == 1, "other").otherwise("fuzzy_88.5").alias("match_type"),
+    return docs.select(
+        F.col("doc_id").alias("row_idx"), F.col("lang").alias("es_word"), F.col("source").alias("he_word"), F.col("quality").alias("sense_id"), F.when(F.col("toxic") == 1, "other").otherwise("fuzzy_88.5").alias("match_type"),
         F.lit("").alias("es_definition"), F.when(F.col("lang") != "en", F.lit("/x/")).alias("he_ipa"), (F.col("n_chars") / 1000.0).alias("confidence"),
     )
-    return _checked(quality.alignment_checks(rows))
 
 
-@query("""
-SELECT 'broken_examples' AS check, count(*) FILTER (bad) AS bad, count(*) AS total FROM (
-  SELECT conv_id, bool_or(role = 'system') AS bad FROM conversations GROUP BY conv_id)""")
+EXAMPLE_SOURCE = "(SELECT conv_id, count(*) AS n, bool_or(role = 'system') AS system, max(text) AS word, count(*) OVER (PARTITION BY min(role), max(text), count(*)) AS copies, min(role) AS first FROM conversations GROUP BY conv_id) e"
+
+
+@query(_check_sql([
+    ("null_es_word", EXAMPLE_SOURCE, "first IS NULL", "", 0.0, "fatal"), ("null_he_word", EXAMPLE_SOURCE, "word IS NULL", "", 0.0, "fatal"), ("null_sense_id", EXAMPLE_SOURCE, "n IS NULL", "", 0.0, "fatal"),
+    ("sense_id_below_1", EXAMPLE_SOURCE, "n < 1", "", 0.0, "error"), ("duplicates", EXAMPLE_SOURCE, "copies > 1", "", 0.0, "warning"), ("match_type", EXAMPLE_SOURCE, "n > 2", "", 0.0, "warning"),
+    ("confidence", EXAMPLE_SOURCE, "n <= 2 AND n / 1.5 > 1", "", 0.0, "warning"), ("no_hebrew_script", EXAMPLE_SOURCE, "NOT regexp_matches(coalesce(word, ''), '[֐-׿]')", "", 0.05, "warning"),
+    ("missing_ipa", EXAMPLE_SOURCE, "first IS NULL OR first = 'assistant'", "", 0.2, "warning"), ("broken_examples", EXAMPLE_SOURCE, "system", "", 0.0, "warning"),
+]))
 def example_checks(spark, sf):
-    turn = F.struct(F.when(F.col("role") != "system", F.col("text")).alias("es"), F.col("text").alias("he"))
-    rows = table(spark, sf, "conversations").groupBy("conv_id").agg(F.collect_list(turn).alias("examples")).select(
-        F.col("conv_id").alias("es_word"), F.lit("x").alias("he_word"), F.lit(1).alias("sense_id"), F.lit("direct").alias("match_type"), F.lit("").alias("es_definition"), F.lit("/x/").alias("he_ipa"), "examples",
+    """All checks, over all conversations: a turn of the system lacks its Spanish side, and conversations of more than two turns have no known match type."""
+    turn = F.struct(F.when(F.col("role") != "system", F.coalesce("text", F.lit(""))).alias("es"), F.coalesce("text", F.lit("")).alias("he"))
+    rows = table(spark, sf, "conversations").groupBy("conv_id").agg(F.collect_list(turn).alias("examples"), F.min("role").alias("es_word"), F.max("text").alias("he_word"), F.count(F.lit(1)).alias("sense_id")).select(
+        "es_word", "he_word", "sense_id", F.when(F.col("sense_id") > 2, "other").otherwise("fuzzy_80").alias("match_type"), F.lit("").alias("es_definition"), F.nullif("es_word", F.lit("assistant")).alias("he_ipa"), "examples", (F.col("sense_id") / 1.5).alias("confidence"),
     )
-    return quality.example_checks(rows).where(F.col("check") == "broken_examples").select("check", "bad", "total")
+    return _checked(quality.example_checks(rows))
+
+
+FAILING = (("duplicates", "copies > 1"), ("sense_id_below_1", "quality < 1"), ("match_type", "toxic = 1"), ("confidence", "toxic = 0 AND n_chars / 1000.0 > 1"), ("no_hebrew_script", "NOT regexp_matches(source, '[֐-׿]')"), ("missing_ipa", "lang = 'en'"))
+
+
+@query(" UNION ALL ".join(f"(SELECT '{name}' AS check, CAST(row_number() OVER (ORDER BY doc_id) AS INT) AS place, doc_id AS row_idx, lang AS es_word, source AS he_word FROM {ALIGNED_SOURCE} WHERE {bad} ORDER BY doc_id LIMIT 10)" for name, bad in FAILING))
+def failing_rows(spark, sf):
+    """The first ten rows against each rule of aligned rows; some rules nearly all rows break."""
+    rows = quality.with_duplicates(_labelled(spark, sf), "es_word", "he_word", "sense_id")
+    return quality.failing_rows(rows, quality.alignment_rules(rows), "es_word", "he_word")
 
 
 @query("""
@@ -715,10 +884,10 @@ def metrics_counter(spark, sf):
     return monitor.counters(_samples(spark, sf).withColumn("user_id", F.col("labels")["user"]), "name", "user_id")
 
 
-@query("""SELECT DISTINCT event_type AS name, event_type || '{user="' || CAST(user_id AS VARCHAR) || '"}' AS head FROM events""")
+@query("""SELECT event_type AS name, event_type || '{user="' || CAST(user_id AS VARCHAR) || '"}' AS head, arg_max(value, event_id) AS value FROM events GROUP BY event_type, user_id""")
 def metrics_exposition(spark, sf):
-    """The name and labels of each line; its value is held against SQL by `metrics_latest`."""
-    return monitor.prometheus_lines(_samples(spark, sf)).select("name", F.substring_index("line", " ", 1).alias("head"))
+    """Name, labels and value of each line, read back from its text."""
+    return monitor.prometheus_lines(_samples(spark, sf)).select("name", F.substring_index("line", " ", 1).alias("head"), F.substring_index("line", " ", -1).cast("double").alias("value"))
 
 
 @query("""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexforge.schemas import RAW, SENTENCES, schema
+from lexforge.schemas import DICTIONARY, RAW, SENTENCES, schema
 
 #: The languages that can be fetched.
 LANGUAGE_NAMES = {"es": "Spanish", "he": "Hebrew", "en": "English", "fr": "French", "de": "German"}
@@ -70,6 +70,14 @@ def read_json_document(spark: SparkSession, path: str, ddl: str | None = None) -
     return (reader.schema(ddl) if ddl else reader).json(path)
 
 
+def read_dictionary(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(metadata, entries) of a dictionary that `writers.write_dictionary` wrote: one row, and (place, id, entry)."""
+    head = spark.read.text(f"{folder}/1-head").select(F.from_json(F.concat("value", F.lit("]}")), "metadata struct<language_direction:string,version:string,source:string,generated_at:string>").alias("h"))
+    lines = with_row_idx(spark.read.text(f"{folder}/2-entries"), "place")
+    entry = F.from_json(F.regexp_replace("value", "^,", ""), DICTIONARY)
+    return head.select("h.metadata.*"), lines.select("place", entry.alias("e")).select("place", "e.id", "e.entry")
+
+
 def download(language: str, path: str, opener: Callable[[str], bytes], base: str, tries: int = 3, pause: float = 5.0, sleep: Callable[[float], None] = time.sleep) -> str:
     """Fetch a dump to `path` on the driver unless it is there; returns the path.
 

@@ -1,3 +1,4 @@
+import json
 import random
 
 import numpy as np
@@ -6,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lexforge.functions import similarity
 from lexforge.operators import align, examples, senses
+from lexforge.schemas import DICTIONARY
+from lexforge.sources import readers, writers
 from tests.helpers import BRIDGE, ES, HE, hebrew, one, spanish
 
 
@@ -167,15 +170,35 @@ def test_pairs_examples_and_documents(spark):
     found = {r.es_word: [x.es for x in r.examples] for r in enriched.collect()}
     assert found == {"casa": ["La casa es grande.", "Otra casa, casa!"], "banco": [], "gato": []}
     documents = senses.structure(senses.cluster_senses(enriched))
-    ids = [r.id for r in documents.collect()]
-    assert ids == ["es: banco", "es: casa", "es: gato"]
+    ids = ["es: banco", "es: casa", "es: gato"]
+    assert sorted(r.id for r in documents.collect()) == ids
     entry = documents.where("id = 'es: banco'").first().entry
     assert entry.word == "banco" and entry.language == "es" and entry.etymology is None
     assert [(s.sense_id, s.hebrew, s.definition) for s in entry.senses] == [(1, "ספסל", "Asiento largo"), (2, "בנק", "Institución financiera")]
     counts = senses.document_counts(documents).first()
     assert (counts.entries, counts.senses, counts.senses_with_ipa) == (3, 4, 4)
-    whole = senses.publish(documents, "2024-05-06").first()
-    assert whole.metadata.generated_at == "2024-05-06" and [e.id for e in whole.entries] == ids
+    lines = [r.line for r in senses.dictionary_lines(documents).orderBy("place").collect()]
+    assert [json.loads(x.lstrip(","))["id"] for x in lines] == ids and [x[0] for x in lines] == ["{", ",", ","]
+
+
+def test_the_written_dictionary_is_one_json_document(spark, tmp_path):
+    """Put together in the order of names; the manifest says where each file begins; null fields and equal ids stay."""
+    sense = lambda i: (i, f"d{i}", None, "ספר", "noun", [("x, y", "א\n\"")])
+    docs = [(f"es: {w}", (w, "", "es", None, [sense(k) for k in range(i % 3)])) for i, w in enumerate(["b", "a", "ñ", "c", "a", *(f"w{i}" for i in range(40))])]
+    frame = spark.createDataFrame(docs, DICTIONARY).repartition(5)
+    manifest = writers.write_dictionary(frame, f"file://{tmp_path}/out", "2024-05-06").collect()
+    whole = b"".join((tmp_path / "out" / r.file).read_bytes() for r in manifest)
+    for r in manifest:
+        assert whole[r.start : r.start + r.bytes] == (tmp_path / "out" / r.file).read_bytes()
+    assert len(manifest) > 4 and [r.file for r in manifest] == sorted(r.file for r in manifest)
+    read = json.loads(whole)
+    assert read["metadata"]["generated_at"] == "2024-05-06" and [e["id"] for e in read["entries"]] == sorted(i for i, _ in docs)
+    assert all(e["entry"]["etymology"] is None and "etymology" in e["entry"] for e in read["entries"])
+    head, back = readers.read_dictionary(spark, f"file://{tmp_path}/out")
+    assert head.first().version == "1.0" and sorted((r.id, r.entry) for r in back.drop("place").collect()) == sorted((r.id, r.entry) for r in frame.collect())
+    assert [r.place for r in back.orderBy("id").collect()] == list(range(len(docs)))
+    writers.write_dictionary(frame.limit(0), f"file://{tmp_path}/none")
+    assert readers.read_dictionary(spark, f"file://{tmp_path}/none")[1].count() == 0
 
 
 def test_pairs_by_links(spark):

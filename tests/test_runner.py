@@ -23,8 +23,8 @@ def test_from_dumps_to_dictionary(spark, tmp_path):
     catalog = Catalog(spark, {n: Dataset("jsonl", write(tmp_path / f"{n}.jsonl", r)) for n, r in files.items()} | {"sentences": Dataset("sentences", str(tmp_path / "s.tsv"))})
     metrics = MetricsCollector()
     runner.run(catalog, folder=str(tmp_path / "work"), metrics=metrics)
-    whole = catalog.load("dictionary").first()
-    got = {e.entry.word: [(s.sense_id, s.hebrew, s.ipa_hebrew, len(s.examples)) for s in e.entry.senses] for e in whole.entries}
+    entries = json.loads("[" + "".join(r.line for r in catalog.load("dictionary").orderBy("place").collect()) + "]")
+    got = {e["entry"]["word"]: [(s["sense_id"], s["hebrew"], s["ipa_hebrew"], len(s["examples"])) for s in e["entry"]["senses"]] for e in entries}
     assert got == {"banco": [(1, "ספסל", "/saf.sal/", 0), (2, "בנק", "/bank/", 1)], "libro": [(1, "ספר", "/spʁ/", 0)]}
     assert catalog.load("data_quality_report").first().total_entries == 3
     assert {r.check: r.bad for r in catalog.load("document_checks").collect()}["senses_without_ipa"] == 0
