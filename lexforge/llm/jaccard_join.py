@@ -316,8 +316,8 @@ class JaccardJoin:
         """(node, component) of all nodes that have a link."""
         return self._components(rows)[0]
 
-    def _components(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The components, and the shingles of the nodes that may have a link."""
+    def _components(self, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The components, and the shingles and the prefix lists of the nodes that may have a link."""
         bodies = self.survivors(rows)
         full = self.shingles(bodies)
         lists = self.lists(bodies, full)
@@ -332,29 +332,40 @@ class JaccardJoin:
                 break
             before = remaining
         if not entries:
-            return connected_components(links), full
+            return connected_components(links), full, lists
         left = settle(left.join(full.select("node", "sketch"), "node"), "sketched-lists")
         x, y = left.alias("x"), left.alias("y")
         across = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") < F.col("y.component")) & self._may_link("x", "y") & self._place_allows("x", "y") & self._sketch_allows("x", "y"))
         across = across.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x.k", "y.k")).alias("k"))
         rest = across.where("shared >= k").select("a", "b")
-        return connected_components(links.union(self.verify(rest, bodies))), full
+        return connected_components(links.union(self.verify(rest, bodies))), full, lists
 
     def _nodes(self, rows: DataFrame) -> DataFrame:
         """(node, copies, size, smallest): the documents of each set, its shingles, and its smallest key."""
         return rows.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("size"), F.min("key").alias("smallest"))
 
-    def _linked(self, nodes: DataFrame, found: DataFrame, full: DataFrame, count: bool) -> DataFrame:
+    def _linked(self, nodes: DataFrame, found: DataFrame, full: DataFrame, lists: DataFrame, count: bool) -> DataFrame:
         """Per node and block the documents of other sets that it is linked with, or else all pairs of linked sets.
 
-        A row goes to as many groups as its component has blocks: one for all but large components.
+        Two linked sets share a shingle of their prefixes. So a set meets only those blocks of its component in which some set has one of its
+        prefix shingles: all blocks where near copies are many, and few in a component that is a long chain of small groups. A block holds sets whose
+        smallest shingles are alike, which similar sets mostly share. A component of one block is one group.
         """
         held = found.join(nodes.select("node", "copies", "size"), "node")
         many = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int")
-        held = held.join(held.groupBy("component").agg(many.alias("blocks")), "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        held = held.join(held.groupBy("component").agg(many.alias("blocks")), "component").join(full.select("node", F.get("shingles", F.lit(0)).alias("smallest")), "node")
+        single, several = held.where("blocks = 1"), held.where("blocks > 1")
+        alike = several.groupBy("component", "smallest").agg(many.alias("parts"))  # sets of one smallest shingle stay together as far as a block holds them
+        place = F.xxhash64("smallest", F.pmod(F.xxhash64("node"), F.col("parts")))
+        blocks = several.join(alike, ["component", "smallest"]).withColumn("block", F.pmod(place, F.col("blocks")).cast("int")).drop("parts")
+        held = single.withColumn("block", F.lit(0)).unionByName(blocks)
         # Written without the sets, so that Spark knows whether the members may be broadcast to where the sets are.
         held = settle(held.select("component", "blocks", "block", "node", "copies"), "members")
-        each = held.join(full.select("node", "shingles"), "node").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        entries = lists.select("shingle", "node").join(held.where("blocks > 1").select("component", "block", "node"), "node")
+        spots = entries.select("shingle", "component", F.col("block").alias("other")).distinct()
+        meets = entries.join(spots, ["shingle", "component"]).select("node", "other").distinct()
+        meets = settle(meets.union(held.where("blocks = 1").select("node", F.lit(0).alias("other"))), "meetings")
+        each = held.drop("blocks").join(meets, "node").join(full.select("node", "shingles"), "node")
         each = each.select("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "copies", "shingles")
         schema = "node long, linked long" if count else "a long, b long, common long, union long"
         percent = self.percent
@@ -367,9 +378,9 @@ class JaccardJoin:
         the set's documents (null if all are null), and copies are its documents, all linked with each other.
         """
         rows = self.measure()
-        found, full = self._components(rows)
+        found, full, lists = self._components(rows)
         nodes = self._nodes(rows)
-        out = self._linked(nodes, found, full, count=False)
+        out = self._linked(nodes, found, full, lists, count=False)
         for x in ("a", "b"):
             out = out.join(nodes.select(F.col("node").alias(x), F.col("smallest").alias(f"key_{x}"), F.col("copies").alias(f"copies_{x}")), x)
         return out.select("a", "b", "common", "union", "key_a", "key_b", "copies_a", "copies_b")
@@ -377,9 +388,9 @@ class JaccardJoin:
     def run_with_links(self) -> DataFrame:
         """`run`, and n_links: the other documents that each is linked with, those of an equal set among them."""
         rows = self.measure()
-        found, full = self._components(rows)
+        found, full, lists = self._components(rows)
         nodes = settle(self._nodes(rows), "nodes")
-        linked = self._linked(nodes, found, full, count=True).groupBy("node").agg(F.sum("linked").alias("linked"))
+        linked = self._linked(nodes, found, full, lists, count=True).groupBy("node").agg(F.sum("linked").alias("linked"))
         own = nodes.join(linked, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
         return self._placed(rows, found.join(own, "node", "right"), "n_links").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
 

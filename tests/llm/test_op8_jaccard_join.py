@@ -161,3 +161,16 @@ def test_bitmap_misses_no_listed_row(spark):
     assert not may_match(rows, listed.where("false"), ["digest", "digest_2"], "may_be").where("may_be").count()
     nulls = spark.createDataFrame([(None, 1), (None, None), (5, 1)], "digest long, digest_2 int")
     assert may_match(nulls, nulls, ["digest", "digest_2"], "may_be").where("may_be").count() == 3
+
+
+def test_a_set_meets_only_blocks_that_it_may_be_linked_with(spark, monkeypatch):
+    """A component that is a long chain: every set has two links, and goes to a few of its many blocks."""
+    monkeypatch.setattr(J, "BLOCK_NODES", 8)
+    written = {}
+    settle = J.settle
+    monkeypatch.setattr(J, "settle", lambda df, label, *a: written.setdefault(label, []).append(settle(df, label, *a)) or written[label][-1])
+    rows = [(k, " ".join(f"w{i}" for i in range(4 * k, 4 * k + 63))) for k in range(160)]
+    got = {r.doc_id: (r.component_id, r.n_links) for r in J.jaccard_links(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: (0, 1 if k in (0, 159) else 2) for k in range(160)}
+    assert written["members"][0].select("block").distinct().count() > 10
+    assert written["meetings"][0].count() < 160 * 8
