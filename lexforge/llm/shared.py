@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bits of a filter by `may_match`, 8 MB however long the list is.
-FILTER_BITS = 1 << 26
-#: Scratch folders of this process, oldest first.
-SCRATCH: list[str] = []
+from lexforge.plans.recovery import clear, scratch, settle, shared_dir  # noqa: F401
+
+#: Bits of a filter by `may_match` for each listed row, and the least and most of them: 8 and 64 MB.
+BITS_A_ROW, FILTER_BITS, MOST_BITS = 16, 1 << 26, 1 << 29
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,36 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`.
-
-    Only where a session names none and runs in one process (tests) is a temporary folder
-    made and set; a cluster has to name one.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="lexforge-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder, which `clear` removes."""
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    SCRATCH.append(path)
-    return path
-
-
-def clear(spark: SparkSession, *paths: str) -> None:
-    """Remove scratch folders, all that this process has made if none is named; only when no result that reads them is needed any more."""
-    for path in paths or tuple(SCRATCH):
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-        SCRATCH.remove(path)
-
-
 def free_name(name: str, taken: list[str]) -> str:
     """`name`, with as many underscores behind it as it takes to differ from those taken."""
     while name.lower() in {x.lower() for x in taken}:
@@ -56,30 +23,20 @@ def free_name(name: str, taken: list[str]) -> str:
     return name
 
 
-def settle(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
-    """Write `df` to the shared folder and read it back.
-
-    Cuts the lineage at files every executor sees, so that a lost executor costs
-    the tasks it was running and nothing upstream.
-    """
-    path = scratch(df.sparkSession, label)
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def may_match(rows: DataFrame, listed: DataFrame, columns: list[str], name: str) -> DataFrame:
     """`rows` and a boolean `name`, which is true wherever `listed` has a row of the same hash of `columns`.
 
     `rows` has no columns _at, _bucket or _bits. It may be true for others too, so that a join has to follow, but that join need not shuffle the
-    rows where it is false. The list is a bitmap of FILTER_BITS, which is all that is broadcast: with a
-    list of n the share of others that are true is about n / FILTER_BITS, and beyond it, nearly all.
+    rows where it is false. The list is a bitmap, which is all that is broadcast. Its size follows the list's, so that one in BITS_A_ROW of the
+    others is true, up to MOST_BITS; beyond some 30 million listed rows more are, and beyond a billion nearly all.
     """
+    size = FILTER_BITS
+    count = listed.count()
+    while size < min(MOST_BITS, BITS_A_ROW * count):
+        size *= 2
 
     def place(of: DataFrame) -> Column:
-        return F.pmod(F.xxhash64(*(of[c] for c in columns)), F.lit(FILTER_BITS)) + 1
+        return F.pmod(F.xxhash64(*(of[c] for c in columns)), F.lit(size)) + 1
 
     bits = listed.select(place(listed).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_bits"))
     own = rows.select("*", place(rows).alias("_at"))
