@@ -38,6 +38,8 @@ from lexforge.llm.words import slices, text_bytes
 UNKNOWN = "und"
 #: A model is fitted on at most so many labelled rows of each language, and so many bytes of them.
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 2 << 20
+#: Of one text so many bytes are learned from, so that a very long one isn't the whole sample.
+TEXT_BYTES = 1 << 17
 #: Bytes for which a score weighs the languages against each other (fewer if a text has fewer).
 SCORE_BYTES = 64
 #: Bytes that one pass scores, and bytes of text that are handled together.
@@ -290,11 +292,11 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, order: int = 3, sample_rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_bytes: int = SAMPLE_BYTES) -> ContextTrees:
+def fit(docs: DataFrame, order: int = 3, sample_rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_bytes: int = SAMPLE_BYTES, text_bytes: int = TEXT_BYTES) -> ContextTrees:
     """Context trees from a bounded sample of the labelled rows that are not held out.
 
     Of each language at most `sample_rows` rows and `sample_bytes` bytes are learned from, the first in
-    an order by a hash of the id, the id and a hash of the text, equal rows once; a text that alone has more bytes counts with that many. Rows are
+    an order by a hash of the id, the id and a hash of the text, equal rows once; a text counts with its first `text_bytes` bytes. Rows are
     drawn in a scan of ids, labels, lengths and hashes; only the drawn texts reach the driver. Labels
     are counted first, so that only rows whose hash is low enough are sorted, a few hundred of a language.
     """
@@ -302,7 +304,7 @@ def fit(docs: DataFrame, order: int = 3, sample_rows: int = SAMPLE_ROWS, key: st
     rows = rows.where(F.col("lang").isNotNull() & F.col("key").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("key")))
     place = F.pmod(F.xxhash64("key"), F.lit(1 << 40))
     rows = rows.withColumn("place", place).withColumn("digest", F.xxhash64("text"))
-    listed = rows.select("lang", "key", "place", "digest", F.octet_length("text").cast("long").alias("size"))
+    listed = rows.select("lang", "key", "place", "digest", F.least(F.octet_length("text"), F.lit(text_bytes)).cast("long").alias("size"))
     # Both lists are written, so that Spark knows by their size whether they may be broadcast.
     low = settle(rows.groupBy("lang").agg((F.lit(float(1 << 40)) * (2 * sample_rows + 100) / F.count(F.lit(1))).alias("most")), "labels")
     near = listed.join(low, "lang").where("place <= most").select("lang", "key", "place", "digest", "size").distinct()
@@ -310,7 +312,7 @@ def fit(docs: DataFrame, order: int = 3, sample_rows: int = SAMPLE_ROWS, key: st
     first = near.withColumn("n", F.row_number().over(order_by)).where(F.col("n") <= sample_rows)
     before = F.coalesce(F.sum("size").over(W.partitionBy("lang").orderBy("n").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     drawn = settle(first.withColumn("before", before).where(F.col("before") < sample_bytes).select("lang", "key", "digest", "n"), "drawn")
-    head = F.substring(F.col("text").cast("binary"), 1, sample_bytes).alias("head")
+    head = F.substring(F.col("text").cast("binary"), 1, min(text_bytes, sample_bytes)).alias("head")
     texts = rows.join(drawn, ["lang", "key", "digest"]).select("lang", "n", head).dropDuplicates(["lang", "n"])
     samples: dict[str, list[bytes]] = {}
     for r in texts.orderBy("lang", "n").toLocalIterator():  # sample_rows of each language at most
