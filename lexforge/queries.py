@@ -337,14 +337,18 @@ def fuzzy_score_matrix(spark, sf):
 
 
 @query(f"""
-WITH RECURSIVE n AS (SELECT DISTINCT p_name FROM part), pairs AS (SELECT a.p_name AS x, b.p_name AS y FROM n a, n b WHERE a.p_name < b.p_name), {lcs_sql('pairs')}
+WITH RECURSIVE pairs AS (SELECT DISTINCT p_name AS x, lower(p_type || ' ' || p_brand) AS y FROM part), {lcs_sql('pairs')}
 SELECT x, y, score FROM scored""")
 def fuzzy_ratio_sql(spark, sf):
-    names = table(spark, sf, "part").select(F.col("p_name").alias("x")).distinct()
-    pairs = names.join(names.withColumnRenamed("x", "y"), F.col("x") < F.col("y"))
+    """The name of each part beside its kind and brand, by built-in functions alone."""
+    pairs = _named(spark, sf)
     return pairs.select("x", "y", similarity.ratio_sql(F.col("x"), F.col("y")).alias("score"))
 
 
+def _named(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select(F.col("p_name").alias("x"), F.lower(F.concat_ws(" ", "p_type", "p_brand")).alias("y")).distinct()
+
+
 def _cascade(spark: SparkSession, sf: str) -> DataFrame:
     """An entry for each brand, size and kind, its word the brand and size. It lists the names of its parts that some order has most of at the highest discount; the bridge
     lists those that some order has most of; what neither reaches is left to the definitions, which are the kinds."""
@@ -614,13 +618,13 @@ def ipa_fill(spark, sf):
     return filled.select("id", "ipa_total", "ipa_generated", "ipa_skipped", "ipa_failed", F.md5(readings.cast("binary")).alias("readings"))
 
 
-@query("""
-WITH n AS (SELECT DISTINCT p_name FROM part), p AS (SELECT a.p_name AS x, b.p_name AS y FROM n a, n b)
-SELECT x, y, CAST(len(list_filter(string_split(x, ''), lambda c: contains(y, c))) AS DOUBLE) / greatest(length(x), length(y)) AS similarity FROM p""")
+OVERLAP_SQL = "CAST(len(list_filter(string_split(x, ''), lambda c: contains(y, c))) AS DOUBLE) / greatest(length(x), length(y))"
+
+
+@query(f"WITH p AS (SELECT DISTINCT p_name AS x, lower(p_type || ' ' || p_brand) AS y FROM part) SELECT x, y, {OVERLAP_SQL} AS similarity FROM p")
 def ipa_overlap(spark, sf):
-    names = table(spark, sf, "part").select(F.col("p_name").alias("x")).distinct()
-    pairs = names.join(names.withColumnRenamed("x", "y"), F.lit(True))
-    return pairs.select("x", "y", text.overlap(F.col("x"), F.col("y")).alias("similarity"))
+    """The name of each part beside its kind and brand."""
+    return _named(spark, sf).select("x", "y", text.overlap(F.col("x"), F.col("y")).alias("similarity"))
 
 
 @query("""
@@ -907,9 +911,8 @@ def best_worst(spark, sf):
     return stats.best_and_worst(table(spark, sf, "part").select("p_partkey", "p_retailprice"), "p_retailprice", "p_partkey")
 
 
-@query("""
-WITH n AS (SELECT DISTINCT p_name FROM part), p AS (
-  SELECT CAST(len(list_filter(string_split(a.p_name, ''), lambda c: contains(b.p_name, c))) AS DOUBLE) / greatest(length(a.p_name), length(b.p_name)) AS s FROM n a, n b)
+@query(f"""
+WITH p AS (SELECT {OVERLAP_SQL} AS s FROM (SELECT DISTINCT p_name AS x, lower(p_type || ' ' || p_brand) AS y FROM part))
 SELECT count(*) AS pairs, round(avg(s), 9) AS mean, count(*) FILTER (s = 1) AS exact, count(*) FILTER (s >= 0.7) AS high, count(*) FILTER (s < 0.3) AS low FROM p""")
 def similarity_summary(spark, sf):
     return stats.similarity_summary(ipa_overlap(spark, sf)).withColumn("mean", F.round("mean", 9))
