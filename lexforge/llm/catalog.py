@@ -24,6 +24,15 @@ def op2_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.threads(rows.union(probe)))
 
 
+def reply_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three best branches of each tree of documents: a document answers the one of half its number, if that has its language, and is scored by its length."""
+    docs = table(spark, sf_dir, "documents")
+    half = F.floor(F.col("doc_id") / 2).alias("parent")
+    messages = docs.select(F.col("lang").alias("tree"), F.col("doc_id").alias("node"), half, F.col("source").alias("role"), F.col("doc_id").cast("string").alias("text"), (F.col("n_chars") % 7).cast("double").alias("score"))
+    paths = chat.branches(messages, best=3).groupBy("tree", "leaf", "rank").agg(F.array_sort(F.collect_list(F.struct("step", "text"))).alias("x"))
+    return paths.select("tree", "leaf", "rank", F.size("x").cast("long").alias("n_messages"), F.array_join(F.transform("x", lambda m: m["text"]), ">").alias("path"))
+
+
 def op3_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(table(spark, sf_dir, "documents"))
 
@@ -94,5 +103,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_ppm_language_id, op2_reply_trees, op3_repetition_rules, op4_entropy_secrets, op5_benchmark_decontamination, op6_lpt_sharding, op7_license_digests, op8_adaptive_jaccard_join,
-        op9_token_files, op10_hierarchical_mix, op11_url_filter, op12_embedding_whitening, op13_periodic_runs,
+        op9_token_files, op10_hierarchical_mix, op11_url_filter, op12_embedding_whitening, op13_periodic_runs, reply_branches,
     )}

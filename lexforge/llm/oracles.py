@@ -28,6 +28,18 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+BRANCHES = """
+WITH RECURSIVE d AS (
+  SELECT c.lang AS tree, c.doc_id AS node, c.n_chars % 7 AS score, p.doc_id AS parent
+  FROM documents c LEFT JOIN documents p ON p.doc_id = c.doc_id // 2 AND p.lang IS NOT DISTINCT FROM c.lang AND p.doc_id != c.doc_id
+), up AS (
+  SELECT tree, node AS leaf, parent, 1 AS depth, score AS total, CAST(node AS VARCHAR) AS path FROM d WHERE node NOT IN (SELECT parent FROM d WHERE parent IS NOT NULL)
+  UNION ALL
+  SELECT up.tree, leaf, d.parent, depth + 1, total + score, d.node || '>' || path FROM up JOIN d ON d.node = up.parent
+), whole AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY CAST(total AS DOUBLE) / depth DESC, depth DESC, leaf) AS rank FROM up WHERE parent IS NULL)
+SELECT tree, leaf, CAST(rank AS INT) AS rank, depth AS n_messages, path FROM whole WHERE rank <= 3
+"""
+
 WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 OP5 = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS w FROM documents),
@@ -178,5 +190,5 @@ SELECT page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN CASE rule {ver
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op2_reply_trees": OP2, "op5_benchmark_decontamination": OP5, "op7_license_digests": op7(), "op10_hierarchical_mix": op10(), "op11_url_filter": op11(),
+        "op2_reply_trees": OP2, "op5_benchmark_decontamination": OP5, "op7_license_digests": op7(), "op10_hierarchical_mix": op10(), "op11_url_filter": op11(), "reply_branches": BRANCHES,
     }

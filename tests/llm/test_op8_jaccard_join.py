@@ -174,3 +174,17 @@ def test_a_set_meets_only_blocks_that_it_may_be_linked_with(spark, monkeypatch):
     assert got == {k: (0, 1 if k in (0, 159) else 2) for k in range(160)}
     assert written["members"][0].select("block").distinct().count() > 10
     assert written["meetings"][0].count() < 160 * 8
+
+
+def test_the_bitmap_follows_the_list(spark, monkeypatch):
+    from lexforge.llm import shared
+
+    monkeypatch.setattr(shared, "FILTER_BITS", 1 << 15)
+    rows = spark.range(40_000).select(F.col("id").alias("a"), (F.col("id") * 3).alias("b"))
+    listed = rows.where("a % 5 = 0")
+    for most in (1 << 15, 1 << 24):
+        monkeypatch.setattr(shared, "MOST_BITS", most)
+        marked = may_match(rows, listed, ["a", "b"], "may_be")
+        assert marked.where("a % 5 = 0 and not may_be").count() == 0
+        others = marked.where("a % 5 != 0 and may_be").count()
+        assert others > 5000 if most == 1 << 15 else others < 4000
