@@ -123,3 +123,16 @@ def test_streams(spark, tmp_path):
     assert [r.value for r in run(monitoring.latest_stream(stream()), "complete", "latest_s")] == [70.0]
     assert sorted(r.alert for r in run(monitoring.alert_stream(stream(), monitor.quality_alert(F.col("value"))), "append", "alerts_s")) == ["data_quality_critical", "data_quality_degraded"]
     assert [r.value for r in run(monitoring.counter_stream(stream(), "ts", "name"), "complete", "counts_s")] == [2.0]
+
+
+def test_failing_rows_are_the_first_of_each_rule(spark):
+    rows = [(i, "" if i % 3 == 0 else f"w{i}", None if i % 2 else "noun", [] if i == 7 else ["d"]) for i in range(200)] + [(3, "x", None, ["d"])]
+    frame = spark.createDataFrame(rows, "row_idx long, word string, pos string, definitions array<string>").repartition(6)
+    got = {}
+    for r in quality.failing_rows(frame, quality.entry_rules(hebrew=True), "word", n=5).orderBy("check", "place").collect():
+        got.setdefault(r.check, []).append((r.row_idx, r.word))
+    assert got["empty_word"] == [(0, ""), (3, ""), (6, ""), (9, ""), (12, "")] and got["empty_definitions"] == [(7, "w7")]
+    assert got["pos_unknown"] == [(1, "w1"), (3, ""), (3, "x"), (5, "w5"), (7, "w7")] and len(got["no_hebrew_script"]) == 5
+    assert quality.failing_rows(frame.limit(0), quality.entry_rules(), "word").count() == 0
+    plan = quality.failing_rows(frame, quality.entry_rules(), "word")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2  # each task keeps its own first rows before the shuffle
