@@ -8,9 +8,9 @@ whole family cannot take is left to the families around it. Each leaf then fills
 passes over its documents, and with a prefix of one more pass in an order seeded by the
 pass.
 
-Budgets are worked out on one row a node. The prefix is found in two steps, first
-over blocks of the order and then inside the one block where it ends, so that a leaf
-with a third of all rows is never in one task.
+Budgets are worked out on one row a node. The prefix is found step by step, first over 256
+blocks of the order, then over 256 parts of the one block where it ends, and so on, and at last over the rows of
+the smallest part, so that no task ever has more than a few hundred sums of a leaf or a sliver of its rows.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from lexforge.llm.shared import free_name, settle
 
-#: Hexadecimal digits of the order key that name a block: 65,536 blocks a leaf.
-BLOCK_DIGITS = 4
+#: Hexadecimal digits of the order key that name a block of a step, and the steps: the last part is one in 16 million of a leaf.
+STEP_DIGITS, STEPS = 2, 3
 
 
 def count_words(text: Column) -> Column:
@@ -93,13 +93,16 @@ def draw(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str
 
     wanted = plan.select(*tag, "passes", "need").where("need > 0")
     rows = slim.join(wanted, tag).withColumn("place", _order(F.col("_key"), F.col("_n"), seed, F.col("passes")))
-    rows = rows.withColumn("block", F.substring("place", 1, BLOCK_DIGITS))
-    blocks = rows.groupBy(*tag, "need", "block").agg(F.sum("_n").alias("n"))
-    before = F.coalesce(F.sum("n").over(W.partitionBy(*tag).orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    last = blocks.withColumn("before", before).where("before < need").groupBy(*tag).agg(F.max_by(F.struct("block", "before"), "block").alias("end"))
-    last = last.select(*tag, F.col("end.block").alias("block"), F.col("end.before").alias("before"))
-    ending = rows.join(last, [*tag, "block"]).groupBy(*tag, "block", "before", "need", "place").agg(F.sum("_n").alias("n"))
-    inside = F.coalesce(F.sum("n").over(W.partitionBy(*tag, "block").orderBy("place").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ending = rows.select(*tag, "need", "place", "_n", F.lit(0).cast("long").alias("before"))
+    for step in range(STEPS):
+        ending = ending.withColumn("block", F.substring("place", 1 + step * STEP_DIGITS, STEP_DIGITS))
+        blocks = ending.groupBy(*tag, "need", "before", "block").agg(F.sum("_n").alias("n"))
+        start = F.col("before") + F.coalesce(F.sum("n").over(W.partitionBy(*tag).orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        last = blocks.withColumn("start", start).where("start < need").groupBy(*tag).agg(F.max_by(F.struct("block", "start"), "block").alias("end"))
+        last = settle(last.select(*tag, F.col("end.block").alias("block"), F.col("end.start").alias("start")), "mix-block")
+        ending = settle(ending.join(last, [*tag, "block"]).select(*tag, "need", "place", "_n", F.col("start").alias("before")), "mix-ending")
+    ending = ending.groupBy(*tag, "before", "need", "place").agg(F.sum("_n").alias("n"))
+    inside = F.coalesce(F.sum("n").over(W.partitionBy(*tag).orderBy("place").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     cut = ending.withColumn("at", F.col("before") + inside).where("at < need").groupBy(*tag).agg(F.max("place").alias("cut"))
     rule = settle(plan.join(cut, tag, "left").select(*tag, "passes", "cut"), "mix-rule")
 
