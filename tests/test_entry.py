@@ -2,6 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from lexforge.functions.similarity import ratio
 from lexforge.queries import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -51,3 +52,16 @@ def test_examples_of_all_benchmark_words(spark, tmp_path):
     got = {r.es_word: (r.n_examples, r.ids) for r in QUERIES["enrich_examples"](spark, str(tmp_path)).collect()}
     want = {f"word{i}": (0, "") for i in range(14)} | {"word3": (1, "1"), "word12": (2, "1,3"), "word13": (1, "2"), "shared": (2, "1,2"), "tail": (0, "")}
     assert got == want
+
+
+@pytest.fixture()
+def named_parts(spark, tmp_path):
+    rows = [(1, "red pin", "Brand#1", "SMALL"), (2, "red pin", "Brand#2", "LARGE"), (3, "tin", "Brand#1", "SMALL"), (4, "blue nut", "Brand#3", "PROMO")]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    return str(tmp_path)
+
+
+def test_every_two_names_are_scored(spark, named_parts):
+    got = {(r.x, r.y): r.score for r in QUERIES["fuzzy_ratio_sql"](spark, named_parts).collect()}
+    names = sorted({"red pin", "tin", "blue nut"})
+    assert got == pytest.approx({(a, b): ratio(a, b) for i, a in enumerate(names) for b in names[i + 1 :]})
