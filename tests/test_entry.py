@@ -65,3 +65,9 @@ def test_every_two_names_are_scored(spark, named_parts):
     got = {(r.x, r.y): r.score for r in QUERIES["fuzzy_ratio_sql"](spark, named_parts).collect()}
     names = sorted({"red pin", "tin", "blue nut"})
     assert got == pytest.approx({(a, b): ratio(a, b) for i, a in enumerate(names) for b in names[i + 1 :]})
+
+
+def test_every_name_beside_every_name_is_summed_up(spark, named_parts):
+    """Of 9 pairs the 3 of a name with itself are exact."""
+    got = QUERIES["similarity_summary"](spark, named_parts).first()
+    assert (got.pairs, got.exact) == (9, 3)
