@@ -71,3 +71,9 @@ def test_every_name_beside_every_name_is_summed_up(spark, named_parts):
     """Of 9 pairs the 3 of a name with itself are exact."""
     got = QUERIES["similarity_summary"](spark, named_parts).first()
     assert (got.pairs, got.exact) == (9, 3)
+
+
+def test_every_name_is_compared_with_every_name(spark, named_parts):
+    got = {(r.x, r.y): r.similarity for r in QUERIES["ipa_overlap"](spark, named_parts).collect()}
+    names = ("red pin", "tin", "blue nut")
+    assert got == pytest.approx({(a, b): sum(c in b for c in a) / max(len(a), len(b)) for a in names for b in names})
