@@ -42,30 +42,27 @@ def _jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame] | DataFrame:
     """Pointers to the 1st, 2nd, 4th ... message above, and (tree, node, depth, total score) of every message.
 
     If after as many rounds as the largest tree's size has binary digits a message still has one further above,
-    parents form a ring; then (tree, node) of the lowest message of each ring is returned instead.
+    parents form a ring; then (tree, node) of the lowest message of each ring is returned instead. Joins here are sorted and merged: pointers are
+    small on disk and large in memory, and the driver would hold each that Spark takes for small enough to broadcast.
     """
-    up = nodes.select("tree", "node", F.col("parent").alias("to"), F.col("parent").alias("low"))
-    start = nodes.select("tree", "node", F.col("parent").alias("to"), F.lit(1).cast("long").alias("depth"), F.col("score").alias("total"))
+    start = nodes.select("tree", "node", F.col("parent").alias("to"), F.col("parent").alias("low"), F.lit(1).cast("long").alias("depth"), F.col("score").alias("total"))
+    # Messages whose branch is not summed up to its root yet are those that have one as many places above them as the jump is long: their pointers are the jump.
     open_, done, pointers, rounds = start.where("to is not null"), start.where("to is null"), [], None
-    while True:
-        up = settle(up.where("to is not null"), "jump")
-        if up.limit(1).count() == 0:
-            return pointers, done.select("tree", "node", "depth", "total")
+    while not open_.isEmpty():
         if len(pointers) == ASSURED_ROUNDS:
             rounds = nodes.groupBy("tree").count().agg(F.max("count")).first()[0].bit_length()
         if rounds is not None and len(pointers) >= rounds:
             # A message is as many places above some message as that jump is long if and only if it is on a ring.
-            ring = up.select("tree", F.col("to").alias("node")).distinct()
-            return ring.join(up.where(F.col("node") == F.col("low")), ["tree", "node"], "left_semi")
-        pointers.append(up)
-        # Messages whose branch is summed up to its root are only looked at, not carried on.
-        far = open_.union(done).select("tree", F.col("node").alias("to"), F.col("to").alias("to_2"), F.col("depth").alias("depth_2"), F.col("total").alias("total_2"))
-        further = settle(open_.join(far, ["tree", "to"]).select(
-            "tree", "node", F.col("to_2").alias("to"), (F.col("depth") + F.col("depth_2")).alias("depth"), (F.col("total") + F.col("total_2")).alias("total"),
-        ), "reach")
+            ring = open_.select("tree", F.col("to").alias("node")).distinct()
+            return ring.join(open_.where(F.col("node") == F.col("low")).hint("merge"), ["tree", "node"], "left_semi")
+        pointers.append(open_.select("tree", "node", "to"))
+        # Messages whose branch is summed up are only looked at, not carried on.
+        far = open_.union(done).select("tree", F.col("node").alias("to"), F.col("to").alias("to_2"), F.col("low").alias("low_2"), F.col("depth").alias("depth_2"), F.col("total").alias("total_2"))
+        further = settle(open_.join(far.hint("merge"), ["tree", "to"]).select(
+            "tree", "node", F.col("to_2").alias("to"), F.least("low", "low_2").alias("low"), (F.col("depth") + F.col("depth_2")).alias("depth"), (F.col("total") + F.col("total_2")).alias("total"),
+        ), "jump")
         open_, done = further.where("to is not null"), done.union(further.where("to is null"))
-        next_up = up.select("tree", F.col("node").alias("to"), F.col("to").alias("to_2"), F.col("low").alias("low_2"))
-        up = up.join(next_up, ["tree", "to"]).select("tree", "node", F.col("to_2").alias("to"), F.least("low", "low_2").alias("low"))
+    return pointers, done.select("tree", "node", "depth", "total")
 
 
 def branches(messages: DataFrame, best: int | None = 1) -> DataFrame:
@@ -82,26 +79,26 @@ def branches(messages: DataFrame, best: int | None = 1) -> DataFrame:
     messages = messages.select(F.struct("tree").alias("tree"), "node", "parent", "role", "text", "score")
     known = messages.select("tree", F.col("node").alias("parent")).distinct().withColumn("known", F.lit(True))
     nodes = settle(
-        messages.join(known, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("parent"), "role", "text", "score"), "messages",
+        messages.join(known.hint("merge"), ["tree", "parent"], "left").select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("parent"), "role", "text", "score"), "messages",
     )
     reached = _jumps(nodes)
     if isinstance(reached, DataFrame):
         roots = reached.withColumn("root", F.lit(True))
         parent = F.when(F.col("root").isNull(), F.col("parent")).alias("parent")
-        nodes = settle(nodes.join(roots, ["tree", "node"], "left").select("tree", "node", parent, "role", "text", "score"), "messages")
+        nodes = settle(nodes.join(roots.hint("merge"), ["tree", "node"], "left").select("tree", "node", parent, "role", "text", "score"), "messages")
         reached = _jumps(nodes)
     pointers, reach = reached
     inner = nodes.where("parent is not null").select("tree", F.col("parent").alias("node")).distinct()
-    leaves = reach.join(inner, ["tree", "node"], "left_anti")
+    leaves = reach.join(inner.hint("merge"), ["tree", "node"], "left_anti")
     order = W.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("depth")), F.desc("depth"), "node")
     ranked = leaves.withColumn("rank", F.row_number().over(order))
     if best is not None:
         ranked = ranked.where(F.col("rank") <= best)
     path = settle(ranked.select("tree", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("long").alias("above")), "paths")
     for power, up in reversed(list(enumerate(pointers))):
-        higher = path.join(up, ["tree", "node"]).select("tree", "leaf", "rank", F.col("to").alias("node"), (F.col("above") + (1 << power)).alias("above"))
-        path = settle(path.union(higher), "paths")
-    return path.join(nodes.select("tree", "node", "role", "text"), ["tree", "node"]).select("tree.tree", "leaf", "rank", (-F.col("above")).alias("step"), "role", "text")
+        higher = path.join(up.hint("merge"), ["tree", "node"]).select("tree", "leaf", "rank", F.col("to").alias("node"), (F.col("above") + (1 << power)).alias("above"))
+        path = path.union(settle(higher, "paths"))
+    return path.join(nodes.select("tree", "node", "role", "text").hint("merge"), ["tree", "node"]).select("tree.tree", "leaf", "rank", (-F.col("above")).alias("step"), "role", "text")
 
 
 def format_paths(paths: DataFrame, loss_role: str = "assistant") -> DataFrame:

@@ -89,3 +89,21 @@ def test_very_long_texts_and_clashing_columns(spark):
     frame = spark.createDataFrame([(1, 0, "user", "q", "x", "x"), (1, 1, "assistant", body, "x", "x")], "conv_id long, turn long, role string, text string, node string, turns string")
     r = chat.chat_digest(chat.threads(frame)).first()
     assert r.n_turns == 2 and r.loss_sha256 == hashlib.sha256(body.encode()).hexdigest() and r.loss_chars == len(body)
+
+
+def test_pointers_are_written_once_a_round_and_never_broadcast(spark, monkeypatch):
+    """What the driver holds does not grow with the messages; ten messages in a chain and a ring of three."""
+    plans, real = [], chat.settle
+
+    def settle(df, label, *more):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df, label, *more)
+
+    monkeypatch.setattr(chat, "settle", settle)
+    schema = "tree long, node long, parent long, role string, text string, score double"
+    chain, ring = [(1, i, i - 1 if i else None, "u", str(i), 0.0) for i in range(10)], [(2, i, (i + 1) % 3, "u", str(i), 0.0) for i in range(3)]
+    for rows, most in ((chain, 4), (ring, 12)):  # jumps of 1, 2, 4 and 8; a ring is told after the assured rounds
+        plans.clear()
+        plans.append(("result", chat.branches(spark.createDataFrame(rows, schema))._jdf.queryExecution().executedPlan().toString()))
+        assert not any("Broadcast" in plan for _, plan in plans)
+        assert len([1 for label, _ in plans if label in ("jump", "reach")]) <= most
