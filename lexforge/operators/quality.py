@@ -37,13 +37,21 @@ def require(df: DataFrame, *columns: str) -> None:
 
 def checks(df: DataFrame, rules: list[tuple[str, Column, float, str]]) -> DataFrame:
     """(check, bad, total, rate, limit, level, passed); rules: name, condition of a bad row, allowed rate, level."""
-    counts = df.agg(F.count(F.lit(1)).alias("total"), *(F.count_if(F.coalesce(bad, F.lit(False))).alias(f"r{i}") for i, (_, bad, _, _) in enumerate(rules)))
-    rate = lambda i: F.when(F.col("total") > 0, F.col(f"r{i}") / F.col("total")).otherwise(F.lit(0.0))
-    rows = F.array(*(F.struct(
-        F.lit(name).alias("check"), F.col(f"r{i}").alias("bad"), F.col("total").alias("total"), rate(i).alias("rate"), F.lit(float(limit)).alias("limit"),
-        F.lit(level).alias("level"), (rate(i) <= limit).alias("passed"),
-    ) for i, (name, _, limit, level) in enumerate(rules)))
-    return counts.select(F.inline(rows))
+    counts = df.agg(F.count(F.lit(1)).alias("total"), *_bad(rules))
+    return counts.select(F.inline(F.array(*_verdicts(rules))))
+
+
+def _bad(rules: list[tuple[str, Column, float, str]]) -> list[Column]:
+    return [F.count_if(F.coalesce(bad, F.lit(False))).alias(f"r_{name}") for name, bad, _, _ in rules]
+
+
+def _verdicts(rules: list[tuple[str, Column, float, str]], total: str = "total") -> list[Column]:
+    """A struct for each rule from the counts of bad rows and of all."""
+    rate = lambda name: F.when(F.col(total) > 0, F.col(f"r_{name}") / F.col(total)).otherwise(F.lit(0.0))
+    return [F.struct(
+        F.lit(name).alias("check"), F.col(f"r_{name}").alias("bad"), F.col(total).alias("total"), rate(name).alias("rate"), F.lit(float(limit)).alias("limit"),
+        F.lit(level).alias("level"), (rate(name) <= limit).alias("passed"),
+    ) for name, _, limit, level in rules]
 
 
 def failing_rows(df: DataFrame, rules: list[tuple[str, Column, float, str]], *shown: str, order: str = "row_idx", n: int = 10) -> DataFrame:
@@ -114,16 +122,21 @@ def example_checks(df: DataFrame) -> DataFrame:
 
 
 def document_checks(documents: DataFrame, ipa: float = 0.8) -> DataFrame:
-    """Checks of nested documents; the share of senses with a transcription is a check on senses."""
+    """Checks of nested documents; the share of senses with a transcription is a check on senses. The documents are gone through once."""
     senses = F.col("entry.senses")
     lost = lambda field: F.coalesce(F.exists(senses, lambda s: s[field].isNull()), F.lit(False))
-    out = checks(documents, [
+    rules = [
         ("missing_id_or_entry", F.col("id").isNull() | F.col("entry").isNull(), 0.01, "fatal"), ("missing_word", blank("entry.word"), 0.0, "error"),
         ("language", ~F.coalesce(F.col("entry.language").isin("es", "he"), F.lit(False)), 0.0, "error"), ("no_senses", F.coalesce(F.size(senses), F.lit(0)) <= 0, 0.0, "error"),
         ("missing_sense_id", lost("sense_id"), 0.0, "error"), ("missing_hebrew", lost("hebrew"), 0.0, "error"),
-    ])
-    each = documents.select(F.explode("entry.senses").alias("s"))
-    return out.unionByName(checks(each, [("senses_without_ipa", F.coalesce(F.col("s.ipa_hebrew"), F.lit("")).isin("", "None"), round(1 - ipa, 10), "warning")]))
+    ]
+    silent = ("senses_without_ipa", None, round(1 - ipa, 10), "warning")
+    number = lambda x: F.coalesce(F.sum(F.when(senses.isNotNull(), F.size(x))), F.lit(0)).cast("long")
+    counts = documents.agg(
+        F.count(F.lit(1)).alias("total"), *_bad(rules), number(senses).alias("senses"),
+        number(F.filter(senses, lambda s: F.coalesce(s["ipa_hebrew"], F.lit("")).isin("", "None"))).alias("r_senses_without_ipa"),
+    )
+    return counts.select(F.inline(F.array(*_verdicts(rules), *_verdicts([silent], "senses"))))
 
 
 def quality_score(coverage: Column, duplicates: Column, n: Column) -> Column:

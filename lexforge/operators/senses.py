@@ -73,7 +73,8 @@ def structure(enriched: DataFrame) -> DataFrame:
         F.col("sense_id").cast("int").alias("sense_id"), _text("es_definition").alias("definition"), _text("he_ipa").alias("ipa_hebrew"),
         _text("he_word").alias("hebrew"), _text("es_pos").alias("pos"), F.col("examples").alias("examples"),
     )
-    words = enriched.groupBy("es_word").agg(F.array_sort(F.collect_list(F.struct(F.col("ord"), sense.alias("sense")))).alias("all"), F.min_by(_text("es_ipa"), "ord").alias("ipa"))
+    rows = enriched.select("es_word", F.struct(F.col("ord"), sense.alias("sense")).alias("row"), "ord", _text("es_ipa").alias("es_ipa"))
+    words = rows.groupBy("es_word").agg(F.sort_array(F.collect_list("row")).alias("all"), F.min_by("es_ipa", "ord").alias("ipa"))
     entry = F.struct(
         F.col("es_word").alias("word"), F.col("ipa"), F.lit("es").alias("language"), F.lit(None).cast("string").alias("etymology"),
         F.transform("all", lambda x: x["sense"]).cast(f"array<{SENSE}>").alias("senses"),

@@ -136,3 +136,17 @@ def test_failing_rows_are_the_first_of_each_rule(spark):
     assert quality.failing_rows(frame.limit(0), quality.entry_rules(), "word").count() == 0
     plan = quality.failing_rows(frame, quality.entry_rules(), "word")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2  # each task keeps its own first rows before the shuffle
+
+
+def test_documents_are_gone_through_once(spark, tmp_path):
+    """All checks come from one scan; a null list has no senses, a null sense no transcription."""
+    from lexforge.operators.quality import document_checks
+
+    ddl = "id string, entry struct<word:string,language:string,senses:array<struct<sense_id:int,hebrew:string,ipa_hebrew:string>>>"
+    rows = [("a", ("a", "es", [(1, "x", "/x/"), (2, None, "None"), None])), ("b", ("b", "xx", None)), (None, None), ("c", ("", "es", []))]
+    spark.createDataFrame(rows, ddl).write.parquet(f"{tmp_path}/d")
+    out = document_checks(spark.read.parquet(f"{tmp_path}/d"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    assert {r.check: (r.bad, r.total) for r in out.collect()} == {
+        "missing_id_or_entry": (1, 4), "missing_word": (2, 4), "language": (2, 4), "no_senses": (3, 4), "missing_sense_id": (1, 4), "missing_hebrew": (1, 4), "senses_without_ipa": (2, 3),
+    }
