@@ -27,7 +27,8 @@ def placed(df: DataFrame, order: list[Column], name: str, within: str | None = N
     own = df.columns
     keys = ([F.col(within).asc()] if within else []) + order
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
+    # Written first, as Spark goes through the rows twice: once to find the ranges, once to deal the rows.
+    dealt = settle(df, "to-place").repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
     dealt = settle(dealt, "placed").withColumn("_range", F.shiftright("_id", TASK_BITS))
     group = ["_range", within] if within else ["_range"]
     counts = dealt.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("low")).collect()
