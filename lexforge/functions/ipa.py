@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.functions.text import clean_ipa, strip
+from lexforge.plans.recovery import settle
 
 # Consonants, vowel points and the letters of the traditional variant.
 CONSONANTS = {
@@ -92,12 +93,13 @@ def fill_documents(documents: DataFrame, lookup: DataFrame, variant: str = "mode
 
     Adds `ipa_total`, `ipa_generated`, `ipa_skipped` and `ipa_failed` for each document. The senses stay where they are: only the distinct
     words of a document, of senses that are to be filled, leave it, and come back as one map of readings, by which the array is rewritten in place. Documents
-    of one id share the map; one without senses has counts of 0.
+    of one id share the map; one without senses has counts of 0. The documents are written first, and so are their words: both are read more than once.
     """
+    documents = settle(documents, "documents")
     old = lambda s: F.coalesce(~s["ipa_hebrew"].isin(*MISSING), F.lit(False)) & F.lit(skip_existing)
     senses = F.col("entry.senses")
     wanted = F.array_distinct(F.transform(F.filter(senses, lambda s: ~old(s) & s["hebrew"].isNotNull()), lambda s: s["hebrew"]))
-    words = documents.select("id", F.explode(wanted).alias("word")).distinct()
+    words = settle(documents.select("id", F.explode(wanted).alias("word")).distinct(), "document-words")
     readings = transliterate(words, lookup, variant, **options).where("ipa is not null").select("word", "ipa")
     maps = words.join(readings, "word").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("word", "ipa"))).alias("readings"))
     own = documents.alias("d").join(maps.alias("m"), F.col("d.id").eqNullSafe(F.col("m.id")), "left").select("d.*", F.coalesce("m.readings", F.expr("cast(map() as map<string,string>)")).alias("readings"))

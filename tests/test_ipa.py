@@ -68,3 +68,13 @@ def test_cleaning(spark):
     pair = spark.createDataFrame([("abc", "bcd"), ("", "a")], "a string, b string")
     assert [r[0] for r in pair.select(text.overlap(F.col("a"), F.col("b"))).collect()] == [pytest.approx(2 / 3), 0.0]
     assert pair.select(text.missing_characters(F.col("b"), F.col("a"))).first()[0] == ["d"]
+
+
+def test_documents_are_made_once_and_filled_from_what_was_written(spark, tmp_path):
+    from lexforge.functions.ipa import fill_documents
+
+    ddl = "id string, entry struct<word:string,senses:array<struct<hebrew:string,ipa_hebrew:string>>>"
+    spark.createDataFrame([("a", ("a", [("אב", "None"), ("גד", "/x/")]))], ddl).write.parquet(f"{tmp_path}/d")
+    filled = fill_documents(spark.read.parquet(f"{tmp_path}/d"), spark.createDataFrame([("אב", "av")], "word string, ipa string"))
+    assert not any(str(tmp_path) in f for f in filled.inputFiles())
+    assert [s.ipa_hebrew for s in filled.first().entry.senses] == ["/av/", "/x/"]
