@@ -77,3 +77,20 @@ def test_every_name_is_compared_with_every_name(spark, named_parts):
     got = {(r.x, r.y): r.similarity for r in QUERIES["ipa_overlap"](spark, named_parts).collect()}
     names = ("red pin", "tin", "blue nut")
     assert got == pytest.approx({(a, b): sum(c in b for c in a) / max(len(a), len(b)) for a in names for b in names})
+
+
+def test_files_follow_the_number_of_partitions(spark, tmp_path, monkeypatch):
+    """No fixed number of tasks writes all sentences."""
+    from lexforge import queries
+
+    seen = []
+    monkeypatch.setattr(queries.readers, "read_sentences", lambda spark, path, real=queries.readers.read_sentences: seen.append(len(spark.read.text(path).inputFiles())) or real(spark, path))
+    spark.range(3000).selectExpr("id as doc_id", "concat('text ', id) as text", "'es' as lang").repartition(9).write.parquet(f"{tmp_path}/documents.parquet")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        rows = QUERIES["scan_sentences"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert seen[0] >= 7
+    assert sorted((r.row_idx, r.id) for r in rows) == [(i, str(i)) for i in range(3000)]
