@@ -65,7 +65,8 @@ def transliterate(
     """
     own = words.select(F.col(column).alias("raw")).where("raw is not null").distinct().withColumn("bare", strip(F.col("raw"))).where("bare != ''")
     table = lookup.select(F.col("word").alias("bare"), F.col("ipa").alias("known"))
-    whole = own.join(table, "bare", "left")
+    # Written, as the words are read twice: for their parts and for the result.
+    whole = settle(own.join(table, "bare", "left"), "words")
     mark = F.when(F.contains(F.col("bare"), F.lit(" ")), " ").when(F.contains(F.col("bare"), F.lit("-")), "-").otherwise("")
     split = F.when(mark == " ", F.split("bare", " ")).when(mark == "-", F.split("bare", "-")).otherwise(F.array("bare"))
     parts = whole.where("known is null").select("raw", mark.alias("mark"), F.posexplode(F.filter(F.transform(split, strip), lambda x: x != "")).alias("at", "part"))
