@@ -39,6 +39,45 @@ def tokenized(pairs: DataFrame) -> DataFrame:
 
 #: Rows whose numbers stand together in a posting, as a power of two.
 BLOCK_BITS = 14
+#: What a written word of an example stands for.
+ES, HE, TEXT = range(3)
+
+
+def _numbered_pairs(aligned: DataFrame) -> DataFrame:
+    """(pair, es_word, he_word): the distinct pairs of words, numbered as they are written."""
+    pairs = aligned.select("es_word", "he_word").where("es_word is not null and he_word is not null").distinct()
+    return settle(pairs.withColumn("pair", F.monotonically_increasing_id()), "word-pairs")
+
+
+def _found(pairs: DataFrame, examples: DataFrame) -> DataFrame:
+    """(pair, row_idx, es, he) for each pair and each example that has its words.
+
+    One pass over `examples`, which may be dear to make, writes the numbers of those of their words that are in a pair, and each example once. From there on
+    words, pairs and examples are numbers.
+    """
+    listed = pairs.select(F.col("es_word").alias("word"), F.lit(ES).alias("of")).union(pairs.select("he_word", F.lit(HE)))
+    known = listed.groupBy("word").agg(F.bool_or(F.col("of") == ES).alias("in_es"), F.bool_or(F.col("of") == HE).alias("in_he"))
+    known = settle(known.withColumn("id", F.monotonically_increasing_id()), "words")
+
+    numbered = examples.select(F.monotonically_increasing_id().alias("uid"), F.struct("row_idx", "es", "he").alias("example"), "es_words", "he_words")
+    # An example stands under a word of its own, so that no task gets all of them if the join is a shuffle.
+    sides = ((ES, F.col("es_words")), (HE, F.col("he_words")), (TEXT, F.array(F.col("uid").cast("string"))))
+    each = numbered.select("uid", "example", F.inline(F.array(*(F.struct(F.lit(side).alias("side"), words.alias("words")) for side, words in sides))))
+    words = each.select("uid", "side", F.when(F.col("side") == TEXT, F.col("example")).alias("example"), F.explode("words").alias("word"))
+    wanted = F.when(F.col("side") == ES, F.col("in_es")).when(F.col("side") == HE, F.col("in_he")).otherwise(F.lit(True))
+    own = settle(words.join(known, "word", "left").where(wanted).select("uid", "side", "id", "example"), "example-words")
+
+    # What Parquet packs into little is large in memory, so neither postings nor texts are broadcast on the word of their files' sizes.
+    def postings(side: int, name: str) -> DataFrame:
+        met = own.where(F.col("side") == side).select("uid", F.col("id").alias(f"{name}_id"))
+        return met.groupBy(f"{name}_id", F.shiftright("uid", BLOCK_BITS).alias("block")).agg(F.collect_set("uid").alias(f"{name}_uids")).hint("merge")
+
+    number = lambda name: known.select(F.col("word").alias(f"{name}_word"), F.col("id").alias(f"{name}_id"))
+    ids = pairs.join(number("es"), "es_word").join(number("he"), "he_word").select("pair", "es_id", "he_id")
+    met = ids.join(postings(ES, "es"), "es_id").join(postings(HE, "he"), ["he_id", "block"])
+    hits = met.select("pair", F.explode(F.array_intersect("es_uids", "he_uids")).alias("uid"))
+    texts = own.where(F.col("side") == TEXT).select("uid", "example.*").hint("merge")
+    return hits.join(texts, "uid").select("pair", "row_idx", "es", "he")
 
 
 def example_rows(aligned: DataFrame, examples: DataFrame) -> DataFrame:
@@ -48,17 +87,8 @@ def example_rows(aligned: DataFrame, examples: DataFrame) -> DataFrame:
     examples have is many rows of bounded size. A pair of words meets block by block, and there the numbers are intersected; the texts are fetched last,
     for what was hit. Null words and texts match nothing; equal rows of `examples` are examples of their own; empty tables give an empty result.
     """
-    keys = settle(aligned.select("es_word", "he_word").where("es_word is not null and he_word is not null").distinct(), "word-pairs")
-    base = settle(examples.select("row_idx", "es", "he", "es_words", "he_words").withColumn("uid", F.monotonically_increasing_id()), "examples")
-
-    def postings(side: str) -> DataFrame:
-        words = base.select("uid", F.explode(F.array_distinct(f"{side}_words")).alias(f"{side}_word"))
-        own = words.join(keys.select(f"{side}_word").distinct(), f"{side}_word", "left_semi")
-        return own.groupBy(f"{side}_word", F.shiftright("uid", BLOCK_BITS).alias("block")).agg(F.collect_list("uid").alias(f"{side}_uids"))
-
-    met = keys.join(postings("es"), "es_word").join(postings("he"), ["he_word", "block"])
-    hits = met.select("es_word", "he_word", F.explode(F.array_intersect("es_uids", "he_uids")).alias("uid"))
-    return hits.join(base.select("uid", "row_idx", "es", "he"), "uid").select("es_word", "he_word", "row_idx", "es", "he")
+    pairs = _numbered_pairs(aligned)
+    return _found(pairs, examples).join(pairs, "pair").select("es_word", "he_word", "row_idx", "es", "he")
 
 
 def enrich(aligned: DataFrame, examples: DataFrame) -> DataFrame:
@@ -66,7 +96,9 @@ def enrich(aligned: DataFrame, examples: DataFrame) -> DataFrame:
 
     The nested form, in which a row of `aligned` has all its examples; `example_rows` has them one by one.
     """
-    lists = example_rows(aligned, examples).groupBy("es_word", "he_word").agg(F.array_sort(F.collect_list(F.struct("row_idx", "es", "he"))).alias("found"))
+    pairs = _numbered_pairs(aligned)
+    lists = _found(pairs, examples).groupBy("pair").agg(F.array_sort(F.collect_list(F.struct("row_idx", "es", "he"))).alias("found"))
     found = F.transform("found", lambda x: F.struct(x["es"].alias("es"), x["he"].alias("he")))
     none = F.expr("cast(array() as array<struct<es:string,he:string>>)")
-    return aligned.join(lists, ["es_word", "he_word"], "left").select(*aligned.columns, F.coalesce(found, none).alias("examples"))
+    # The lists stay where they were made; the rows of `aligned` come to them.
+    return aligned.join(pairs, ["es_word", "he_word"], "left").join(lists, "pair", "left").select(*(aligned[c] for c in aligned.columns), F.coalesce(found, none).alias("examples"))

@@ -54,6 +54,16 @@ def test_examples_of_all_benchmark_words(spark, tmp_path):
     assert got == want
 
 
+def test_documents_are_split_once_for_their_examples(spark, sf, monkeypatch):
+    from lexforge.operators import examples
+
+    plans = {}
+    monkeypatch.setattr(examples, "settle", lambda df, label, real=examples.settle: plans.update({label: df._jdf.queryExecution().optimizedPlan().toString()}) or real(df, label))
+    QUERIES["enrich_examples"](spark, sf)
+    over = [p for p in plans.values() if "documents.parquet" in p or "n_chars" in p or "doc_id" in p]
+    assert len(over) == 1 and over[0].count("split(") == 1 and "regexp_replace" not in over[0]
+
+
 @pytest.fixture()
 def named_parts(spark, tmp_path):
     rows = [(1, "red pin", "Brand#1", "SMALL"), (2, "red pin", "Brand#2", "LARGE"), (3, "tin", "Brand#1", "SMALL"), (4, "blue nut", "Brand#3", "PROMO")]

@@ -112,3 +112,9 @@ def test_tokens(spark):
     assert frame.select(text.tokenize_hebrew(F.col("t"))).first()[0] == ["La", "casa", "es", "GRANDE", "¿Qué", "", "no", "bien"]
     picks = spark.createDataFrame([(["a", "b"], 1), (["a"], 4), ([], 0), (None, 0)], "d array<string>, i int")
     assert [r[0] for r in picks.select(text.pick(F.col("d"), F.col("i"))).collect()] == ["b", "a", "", ""]
+
+
+def test_white_space_at_the_ends_makes_no_token(spark):
+    frame = spark.createDataFrame([(t,) for t in ["", " ", None, "\x1c ab abc,\u3000", "\n\u2028ABC\x85 (", "...", "\u00a0x"]], "t string")
+    got = frame.select(text.tokenize_spanish(F.col("t")), text.tokenize_hebrew(F.col("t"))).collect()
+    assert [tuple(r) for r in got] == [([], []), ([], []), ([], []), (["abc"], ["ab", "abc"]), (["abc"], ["ABC"]), ([""], [""]), ([], [])]
